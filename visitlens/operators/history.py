@@ -133,22 +133,30 @@ def add_history(
     visits: Visits = Visits(),
     heavy: HeavyKeys | None = None,
     slices: int | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
-    """Append the features to ``df``. ``heavy`` names the entities to be split."""
+    """Append the features to ``df``.
+
+    ``heavy`` names the entities to be split. ``source`` may be a cheaper frame with the
+    same (entity, group, time, row id) rows, for what is looked up across entities.
+    """
     if heavy is None:
         (heavy,) = find_heavy_keys(df, [visits.entity])
     tracks = _merge(features)
     firsts = [f.first_time for f in features if f.first_time]
-    across = {f.across[0]: _last_of_previous_entity(df, visits, *f.across) for f in features if f.across}
-
-    if not heavy:
-        out = _attach(_plain(df, tracks, firsts, visits), across, visits)
-    else:
-        rest = df.where(~heavy.matches())
+    across = [
+        _last_of_previous_entity(df if source is None else source, visits, *f.across) for f in features if f.across
+    ]
+
+    out = _plain(df.where(~heavy.matches()) if heavy else df, tracks, firsts, visits)
+    for table in across:
+        out = out.join(table, visits.entity, "left")
+    if heavy:
         hot = cut_lineage(df.where(heavy.matches()))
-        out = _attach(_plain(rest, tracks, firsts, visits), across, visits).unionByName(
-            _attach(_split(hot, tracks, firsts, visits, slices), across, visits)
-        )
+        split = _split(hot, tracks, firsts, visits, slices)
+        for table in across:
+            split = _attach_small(split, table.where(heavy.matches()), visits)
+        out = out.unionByName(split)
     return out.select(*df.columns, *[f.result.alias(f.name) for f in features])
 
 
@@ -195,11 +203,3 @@ def _last_of_previous_entity(df: DataFrame, v: Visits, name: str, order: tuple[s
     """For every entity, the time of the last row of the entity that sorts just before it."""
     last = df.groupBy(v.entity).agg(F.max_by(v.time, order_key(order)).alias("_last"))
     return OrderedScan(last, [v.entity]).apply([Shift(name, "_last", 1)]).select(v.entity, name)
-
-
-def _attach(df: DataFrame, across: dict[str, DataFrame], v: Visits) -> DataFrame:
-    for table in across.values():
-        key = f"_key_{v.entity}"
-        named = table.withColumnRenamed(v.entity, key)
-        df = df.join(named, F.col(v.entity).eqNullSafe(F.col(key)), "left").drop(key)
-    return df

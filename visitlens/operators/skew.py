@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,16 +23,26 @@ SALT_COPIES = 64
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Hashes of the key tuples that need special routing (at most a few hundred)."""
+    """Hashes of the key tuples that need special routing (at most a few hundred).
+
+    ``nulls`` says that rows with a null in the key exist; they are routed with the
+    heavy ones, so the remaining rows always have a full key.
+    """
 
     keys: tuple[str, ...]
     hashes: tuple[int, ...] = ()
+    nulls: bool = False
 
     def __bool__(self) -> bool:
-        return bool(self.hashes)
+        return self.nulls or bool(self.hashes)
 
     def matches(self) -> Column:
-        return F.xxhash64(*self.keys).isin(list(self.hashes))
+        listed = F.xxhash64(*self.keys).isin(list(self.hashes)) if self.hashes else F.lit(False)
+        return listed | _any_null(self.keys) if self.nulls else listed
+
+
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
 
 
 def find_heavy_keys(
@@ -53,7 +64,8 @@ def find_heavy_keys(
         F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {top}, {TRACKED_ITEMS})").alias(f"top{i}")
         for i, keys in enumerate(key_sets)
     ]
-    summary = df.agg(F.count(F.lit(1)).alias("rows"), *sketches).first()
+    nulls = [F.max(_any_null(keys)).alias(f"null{i}") for i, keys in enumerate(key_sets)]
+    summary = df.agg(F.count(F.lit(1)).alias("rows"), *sketches, *nulls).first()
     floor = summary["rows"] * share
     return [
         HeavyKeys(
@@ -61,6 +73,7 @@ def find_heavy_keys(
             ()
             if summary["rows"] < small_input
             else tuple(sorted(t["item"] for t in summary[f"top{i}"] if t["count"] > floor)),
+            bool(summary[f"null{i}"]),
         )
         for i, keys in enumerate(key_sets)
     ]

@@ -105,7 +105,7 @@ def build_features(
     if recipe.shifted_dates:
         history += [LEAD_DATE, LAG_DATE]
         dates += [LEAD_DATE, LAG_DATE]
-    data = h.add_history(data, [available[f] for f in history], v, heavy.get(v.entity))
+    data = h.add_history(data, [available[f] for f in history], v, heavy.get(v.entity), source=source)
     data = data.withColumns({n: c for n, c in row_features(v, recipe).items() if n in wanted})
     if "num_people_in_camp" in wanted:
         data = add_distinct_count(
