@@ -1,0 +1,163 @@
+"""Contract of the smaller operators on tiny frames."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from visitlens.functions.calendar import date_parts, days_between
+from visitlens.functions.values import fill_numbers, null_out
+from visitlens.operators import camps, columns, counts, encode, metrics, split
+from visitlens.operators.history import Visits
+from visitlens.plans import assemble as asm
+
+DAY = dt.datetime(2005, 1, 3)
+
+
+def day(n):
+    return None if n is None else DAY + dt.timedelta(days=n)
+
+
+def test_rare_values_are_masked_and_nulls_not_counted(spark):
+    rows = [(1, 7, "x"), (2, 7, None), (3, 8, "y"), (4, None, "y")]
+    df = spark.createDataFrame(rows, "row_id bigint, v bigint, w string")
+    got = {r["row_id"]: (r["v"], r["w"]) for r in counts.mask_rare_values(df, ["v", "w"]).collect()}
+    assert got == {1: (7, None), 2: (7, None), 3: (None, "y"), 4: (None, "y")}
+    assert sorted(map(tuple, counts.value_counts(df, "v").collect())) == [(7, 2), (8, 1)]
+
+
+def test_distinct_count_of_null_key_is_null(spark):
+    rows = [(1, day(0), 4), (2, day(0), 4), (3, day(0), 5), (4, None, 6)]
+    df = spark.createDataFrame(rows, "row_id bigint, t timestamp_ntz, p bigint")
+    got = {r["row_id"]: r["n"] for r in counts.add_distinct_count(df, "t", "p", "n").collect()}
+    assert got == {1: 2, 2: 2, 3: 2, 4: None}
+
+
+def test_next_group_start(spark):
+    rows = [
+        (1, 10, day(0), None, day(2)),
+        (2, 10, day(1), day(0), day(3)),
+        (3, 11, day(5), day(4), day(6)),
+        (4, 12, day(5), day(4), day(9)),
+    ]
+    df = spark.createDataFrame(
+        rows, "row_id bigint, g bigint, t timestamp_ntz, s timestamp_ntz, e timestamp_ntz"
+    )
+    bounds = {r["g"]: (r["start_date"], r["end_date"]) for r in camps.group_bounds(df, "g", "s", "e", "row_id").collect()}
+    assert bounds[10] == (day(0), day(3))
+    got = {r["row_id"]: r["next_camp_in"] for r in camps.add_next_in(df, "g", "t", "s", "e", "row_id").collect()}
+    assert got == {1: 3.0, 2: 3.0, 3: -1.0, 4: None}
+
+
+def test_codes_rank_levels_of_train_and_test_with_null_level(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "a"), (3, None), (4, "c")], "row_id bigint, c string")
+    got = {r["row_id"]: (r["c"], r["c_code"]) for r in encode.label_encode(df, "c").collect()}
+    assert got == {1: ("b", 2), 2: ("a", 1), 3: ("Is Null", 0), 4: ("c", 3)}
+    assert encode.one_hot_long(df, "c", "row_id").count() == 4
+
+
+@pytest.mark.parametrize("slices", [1, 4])
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 7, 9, 10, 12])
+def test_last_n_rows_with_null_dates_and_ties(spark, slices, n):
+    rows = [(1, None), (2, day(3)), (3, day(3)), (4, day(1)), (5, None), (6, day(9)), (7, day(3)), (8, day(2)), (9, day(9)), (10, day(4))]
+    df = spark.createDataFrame(rows, "row_id bigint, t timestamp_ntz")
+    want = {r[0] for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or DAY, r[0]))[max(0, len(rows) - n):]} if n else set()
+    train, valid = split.split_last_n(df, n, "t", "row_id", slices)
+    assert {r["row_id"] for r in valid.collect()} == want
+    assert {r["row_id"] for r in train.collect()} == {r[0] for r in rows} - want
+
+
+def test_group_split_keeps_null_groups_for_training(spark):
+    df = spark.createDataFrame([(1, 5), (2, 6), (3, None)], "row_id bigint, g bigint")
+    train, valid = split.split_by_group(df, "g", [6])
+    assert [r["row_id"] for r in valid.collect()] == [2]
+    assert sorted(r["row_id"] for r in train.collect()) == [1, 3]
+
+
+def brute_auc(rows):
+    pos = [s for s, y in rows if y]
+    neg = [s for s, y in rows if not y]
+    if not pos or not neg:
+        return None
+    return sum((p > q) + (p == q) / 2 for p in pos for q in neg) / (len(pos) * len(neg))
+
+
+@pytest.mark.parametrize("slices", [1, 3, 30])
+def test_auc_equals_pair_count(spark, slices):
+    rows = [("a", (i * 7919 % 31) / 31, float(i % 3 == 0)) for i in range(200)]
+    rows += [("b", (i * 31 % 17) / 17, float(i * 13 % 7 < 3)) for i in range(90)] + [("one", 0.1, 1.0), ("one", 0.2, 1.0)]
+    df = spark.createDataFrame(rows, "m string, s double, y double")
+    got = {r["m"]: r["auc"] for r in metrics.auc(df, "s", "y", ["m"], slices).collect()}
+    for model in ("a", "b"):
+        assert got[model] == pytest.approx(brute_auc([(s, y) for m, s, y in rows if m == model]))
+    assert got["one"] is None
+    flipped = metrics.auc(df.withColumn("s", -F.col("s")), "s", "y", ["m"], slices)
+    assert {r["m"]: r["auc"] for r in flipped.collect()}["a"] == pytest.approx(1 - got["a"])
+    whole = metrics.auc(df, "s", "y", slices=slices).first()["auc"]
+    assert whole == pytest.approx(brute_auc([(s, y) for _, s, y in rows]))
+
+
+def test_mean_by_key_skips_missing_predictions(spark):
+    rows = [("m1", 1, 0.2), ("m2", 1, 0.4), ("m3", 1, None), ("m1", 2, 0.6), ("m2", 2, 0.8)]
+    df = spark.createDataFrame(rows, "model string, k bigint, Outcome double")
+    got = {r["k"]: r["Outcome"] for r in metrics.mean_by_key(df, ["k"], "Outcome").collect()}
+    assert got == {1: pytest.approx(0.3), 2: pytest.approx(0.7)}
+
+
+def test_shares_sum_to_one(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 3)], "f string, n bigint")
+    got = {r["f"]: r["share"] for r in metrics.share_of_total(df, "n", "share").collect()}
+    assert got == {"a": 0.25, "b": 0.75}
+
+
+def test_target_rule(spark):
+    rows = [(1, None, None, None), (2, 0.0, None, None), (3, None, 0.5, None), (4, None, None, 0), (5, None, None, 1)]
+    df = spark.createDataFrame(
+        rows, f"id bigint, {asm.SCORE_1} double, {asm.SCORE_2} double, {asm.STALLS} bigint"
+    )
+    got = {r["id"]: r["y"] for r in df.select("id", asm.target().alias("y")).collect()}
+    assert got == {1: 0.0, 2: 1.0, 3: 1.0, 4: 0.0, 5: 1.0}
+
+
+def test_repeated_attendance_fans_out_and_is_renumbered(spark):
+    v = Visits()
+    reg = "row_id bigint, Patient_ID bigint, Health_Camp_ID bigint, Registration_Date timestamp_ntz"
+    train = spark.createDataFrame([(0, 1, 1, day(0)), (1, 2, 1, day(1))], reg)
+    test = spark.createDataFrame([(0, 1, 2, day(5)), (1, 9, 2, day(6))], reg)
+    pair = "Patient_ID bigint, Health_Camp_ID bigint"
+    tables = {
+        "camps": spark.createDataFrame([(1, day(0)), (2, day(5))], "Health_Camp_ID bigint, Camp_Start_Date timestamp_ntz"),
+        "patients": spark.createDataFrame([(1, "x")], "Patient_ID bigint, City string"),
+        "first": spark.createDataFrame([(1, 1, 0.4), (1, 1, 0.2)], f"{pair}, Health_Score double"),
+        "second": spark.createDataFrame([], f"{pair}, `Health Score` double"),
+        "third": spark.createDataFrame([(2, 1, 0)], f"{pair}, Number_of_stall_visited bigint"),
+    }
+    out, out_test = asm.renumber(*asm.assemble(train, test, tables, v), v)
+    assert {(r["row_id"], r["Patient_ID"], r["F_Health_Score"], r["target"]) for r in out.collect()} == {
+        (0, 1, 0.2, 1.0), (1, 1, 0.4, 1.0), (2, 2, None, 0.0),
+    }
+    assert {(r["row_id"], r["Patient_ID"], r["PD_City"]) for r in out_test.collect()} == {(3, 1, "x"), (4, 9, None)}
+    assert "F_Health_Score" not in out_test.columns
+
+
+def test_union_and_roles(spark):
+    train = spark.createDataFrame([(1, "a", day(0), 1.0)], "id bigint, c string, t timestamp_ntz, target double")
+    test = train.drop("target")
+    both = columns.union_train_test(train, test)
+    assert sorted((r["is_train"], r["target"]) for r in both.collect()) == [(False, None), (True, 1.0)]
+    roles = columns.column_roles(test, ["id"])
+    assert (roles.categorical, roles.dates, roles.general) == (["c"], ["t"], [])
+    extra = both.withColumn("kind", F.lit("k"))
+    moved, rest = columns.move_string_features(extra, roles, ["kind", "target"])
+    assert moved.categorical == ["c", "kind"] and rest == ["target"]
+    back = columns.split_train_test(both)
+    assert [p.count() for p in back] == [1, 1]
+
+
+def test_calendar_and_fill(spark):
+    df = spark.createDataFrame([(day(0), day(1.25), "B", None), (None, day(1), "C", 2)], "a timestamp_ntz, b timestamp_ntz, c string, n bigint")
+    first = df.select(*[c.alias(n) for n, c in date_parts(["a"]).items()]).first().asDict()
+    assert first == {"a_month": 1, "a_year": 2005, "a_day": 3, "a_weekday": 0}
+    assert [r[0] for r in df.select(days_between("a", "b")).collect()] == [1.25, None]
+    assert [r[0] for r in df.select(null_out("c", "B")).collect()] == [None, "C"]
+    assert [r["n"] for r in fill_numbers(df, ["n"]).collect()] == [-9999.0, 2.0]

@@ -193,7 +193,7 @@ def _split(
 
 
 def _attach_small(df: DataFrame, table: DataFrame, v: Visits) -> DataFrame:
-    """Join a table of one row per heavy entity, of which there are at most a few hundred."""
+    """Join a table of one row per heavy entity, whose number is bounded by the heavy-key threshold."""
     key = f"_key_{v.entity}"
     named = table.withColumnRenamed(v.entity, key)
     return df.join(F.broadcast(named), F.col(v.entity).eqNullSafe(F.col(key)), "left").drop(key)

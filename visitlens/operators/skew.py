@@ -16,14 +16,15 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TRACKED_ITEMS = 4096
+TRACKED_ITEMS = 65_536
+MIN_SHARE = 1e-4
 SMALL_INPUT_ROWS = 1_000_000
 SALT_COPIES = 64
 
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Hashes of the key tuples that need special routing (at most a few hundred).
+    """Hashes of the key tuples that need special routing (at most 1 / MIN_SHARE of them).
 
     ``nulls`` says that rows with a null in the key exist; they are routed with the
     heavy ones, so the remaining rows always have a full key.
@@ -58,7 +59,7 @@ def find_heavy_keys(
     """
     if share is None:
         partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        share = min(0.1, max(1.0 / partitions, 0.002))
+        share = min(0.1, max(1.0 / partitions, MIN_SHARE))
     top = int(1 / share) + 1
     sketches = [
         F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {top}, {TRACKED_ITEMS})").alias(f"top{i}")
