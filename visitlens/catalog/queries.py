@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,8 +19,17 @@ from visitlens.operators.skew import find_heavy_keys
 from visitlens.plans import assemble as asm
 from visitlens.plans import training
 from visitlens.plans.ensemble import ensemble
-from visitlens.plans.features import LAG_DATE, LEAD_DATE, FeatureTable, build_features, history_features
-from visitlens.plans.recipes import CONFIGS, RECIPES
+from visitlens.plans.features import (
+    LAG_DATE,
+    LEAD_DATE,
+    FeatureTable,
+    all_features,
+    build_features,
+    history_features,
+    select_recipe,
+)
+from visitlens.plans.recipes import CONFIGS, RECIPES, Recipe
+from visitlens.session import cut_lineage
 from visitlens.sources import roles
 
 V = h.Visits()
@@ -358,16 +368,14 @@ def one_hot(spark: SparkSession, d: str) -> DataFrame:
     return encode.one_hot_long(rows, "o_orderpriority", "o_orderkey")
 
 
-def features_of(spark: SparkSession, d: str, recipe: str) -> FeatureTable:
+def features_of(spark: SparkSession, d: str, recipe: Recipe) -> FeatureTable:
     train, test, heavy = assembled(spark, d)
-    return build_features(
-        train, test, RECIPES[recipe], V, unshared=UNSHARED, heavy=heavy, keys_only=with_camps(spark, d)
-    )
+    return build_features(train, test, recipe, V, unshared=UNSHARED, heavy=heavy, keys_only=with_camps(spark, d))
 
 
 def feature_table(recipe: str) -> Query:
     def query(spark: SparkSession, d: str) -> DataFrame:
-        table = features_of(spark, d, recipe)
+        table = features_of(spark, d, RECIPES[recipe])
         return rounded(table.df)
 
     return query
@@ -399,7 +407,7 @@ def ensemble_mean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, d: str, recipe: str = "R1") -> DataFrame:
-    return training.vectorise(features_of(spark, d, recipe))
+    return training.vectorise(features_of(spark, d, RECIPES[recipe]))
 
 
 def _held_out(vectors: DataFrame, holdout: str) -> Column:
@@ -441,7 +449,9 @@ def feature_importance(spark: SparkSession, d: str) -> DataFrame:
 
 def sweep(spark: SparkSession, d: str) -> DataFrame:
     """Mean prediction over all thirteen configurations, per test row."""
-    vectors = {r: _vectors(spark, d, r) for r in RECIPES}
+    table = features_of(spark, d, all_features())
+    table = replace(table, df=cut_lineage(table.df))
+    vectors = {name: training.vectorise(select_recipe(table, r)) for name, r in RECIPES.items()}
     splits = {r: _held_out(v, RECIPES[r].holdout) for r, v in vectors.items()}
     trained = training.sweep(
         vectors.get, list(CONFIGS.values()), splits.get, KEYS, SWEEP_ROUNDS, SWEEP_DEPTH

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from visitlens.functions.values import fill_levels
 from visitlens.operators.ordered import row_number
 from visitlens.operators.skew import HeavyKeys, left_join
+from visitlens.session import cut_lineage
 
 
 def category_codes(df: DataFrame, column: str) -> DataFrame:
     """Each level of ``column`` with its rank in sorted order; null is a level of its own."""
-    levels = df.select(fill_levels(column).alias(column)).distinct()
+    levels = cut_lineage(df.select(fill_levels(column).alias(column)).distinct())
     return row_number(levels, [column], f"{column}_code")
 
 

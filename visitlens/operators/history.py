@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.calendar import days_between
-from visitlens.operators.ordered import Counter, OrderedScan, Shift, add_features, nulls_last, order_key
+from visitlens.operators.ordered import Counter, OrderedScan, Shift, add_features, nulls_last, order_key, over
 from visitlens.operators.skew import HeavyKeys, find_heavy_keys
 from visitlens.session import cut_lineage
 
@@ -161,24 +161,44 @@ def add_history(
 
 
 def _merge(features: Sequence[Feature]) -> list[Track]:
-    """One track per (partition, order); the entity's own tracks first, so they set the shuffle."""
+    """One track per partition and order."""
     merged: dict[tuple, dict[str, Counter | Shift]] = {}
     for feature in features:
         for track in feature.tracks:
             merged.setdefault((track.within, track.order), {}).update({f.name: f for f in track.features})
-    tracks = [Track(within, order, tuple(raw.values())) for (within, order), raw in merged.items()]
-    return sorted(tracks, key=lambda t: (len(t.within), t.within, t.order))
+    return [Track(within, order, tuple(raw.values())) for (within, order), raw in merged.items()]
 
 
 def _plain(df: DataFrame, tracks: list[Track], firsts: list[str], v: Visits) -> DataFrame:
-    for name in firsts:
-        earliest = Window.partitionBy(v.entity).orderBy(*nulls_last(v.by_time))
-        df = df.withColumn(name, F.first(v.time).over(earliest))
+    """Plain windows on one shuffle by entity, with as few sorts as possible.
+
+    A count within (entity, x) in order o is the position in (x, o) order less the
+    position where x starts. Where the entity has features in (x, o) order anyway, the
+    count shares their sort; otherwise it gets a partition of its own.
+    """
+    whole = {t.order: list(t.features) for t in tracks if not t.within}
+    if firsts:
+        whole.setdefault(v.by_time, [])
+    shared = [t for t in tracks if t.within and (*t.within, *t.order) in whole and _only_counts(t)]
+    for order, features in whole.items():
+        window = Window.partitionBy(v.entity).orderBy(*nulls_last(order))
+        guests = [t for t in shared if (*t.within, *t.order) == order]
+        made = {name: F.first(v.time).over(window) for name in firsts if order == v.by_time}
+        made |= {f.name: over(f, window) for f in [*features, *(f for t in guests for f in t.features)]}
+        df = df.withColumns(made)
+        for track in guests:
+            start = F.rank().over(Window.partitionBy(v.entity).orderBy(*nulls_last(track.within))) - 1
+            df = df.withColumns({f.name: F.col(f.name) - start for f in track.features})
     for track in tracks:
-        df = add_features(df, track.features, [v.entity, *track.within], track.order)
+        if track.within and track not in shared:
+            df = add_features(df, track.features, [v.entity, *track.within], track.order)
     return df
 
 
+def _only_counts(track: Track) -> bool:
+    return all(isinstance(f, Counter) for f in track.features)
+
+
 def _split(
     hot: DataFrame, tracks: list[Track], firsts: list[str], v: Visits, slices: int | None
 ) -> DataFrame:
@@ -201,5 +221,5 @@ def _attach_small(df: DataFrame, table: DataFrame, v: Visits) -> DataFrame:
 
 def _last_of_previous_entity(df: DataFrame, v: Visits, name: str, order: tuple[str, ...]) -> DataFrame:
     """For every entity, the time of the last row of the entity that sorts just before it."""
-    last = df.groupBy(v.entity).agg(F.max_by(v.time, order_key(order)).alias("_last"))
+    last = cut_lineage(df.groupBy(v.entity).agg(F.max_by(v.time, order_key(order)).alias("_last")))
     return OrderedScan(last, [v.entity]).apply([Shift(name, "_last", 1)]).select(v.entity, name)

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -223,19 +223,18 @@ class OrderedScan:
         )
 
 
+def over(feature: Counter | Shift, window: WindowSpec) -> Column:
+    if isinstance(feature, Counter):
+        return (F.row_number().over(window) - 1).cast("bigint")
+    return F.lag(F.col(feature.value), feature.k).over(window)
+
+
 def add_features(
     df: DataFrame, features: Sequence[Counter | Shift], group: Sequence[str], order: Sequence[str]
 ) -> DataFrame:
     """The same features with plain windows, for groups that fit into a task."""
     window = Window.partitionBy(*group).orderBy(*nulls_last(order))
-    return df.withColumns(
-        {
-            f.name: (F.row_number().over(window) - 1).cast("bigint")
-            if isinstance(f, Counter)
-            else F.lag(F.col(f.value), f.k).over(window)
-            for f in features
-        }
-    )
+    return df.withColumns({f.name: over(f, window) for f in features})
 
 
 def row_number(

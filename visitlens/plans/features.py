@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +16,17 @@ from visitlens.operators.columns import ColumnRoles, column_roles, move_string_f
 from visitlens.operators.counts import add_distinct_count, mask_rare_values
 from visitlens.operators.skew import HeavyKeys
 from visitlens.plans.assemble import heavy_visit_keys
-from visitlens.plans.recipes import CAMP_TYPES, DATE_LAG, DATE_LEAD, RARE_VALUE_COLUMNS, UNSHARED_VALUES, Recipe
-
+from visitlens.plans.recipes import (
+    CAMP_TYPES,
+    DATE_LAG,
+    DATE_LEAD,
+    RARE_VALUE_COLUMNS,
+    RECIPES,
+    UNSHARED_VALUES,
+    Recipe,
+)
+
+CAMP_TIME_FROM_END = "camp_time_from_end"
 LEAD_DATE, LAG_DATE = "Registration_Date_lead", "Registration_Date_lag"
 INTERACTION, START, END = "PD_First_Interaction", "CD_Camp_Start_Date", "CD_Camp_End_Date"
 
@@ -27,9 +36,15 @@ class FeatureTable:
     """The rows with their keys, flag, target, numeric and categorical feature columns."""
 
     df: DataFrame
-    numeric: list[str]
+    keys: list[str]
+    general: list[str]
+    dates: list[str]
+    extra: list[str]
     categorical: list[str]
-    keys: list[str] = field(default_factory=list)
+
+    @property
+    def numeric(self) -> list[str]:
+        return [*self.general, *date_part_names(self.dates), *self.extra]
 
 
 def history_features(v: h.Visits) -> dict[str, h.Feature]:
@@ -59,12 +74,13 @@ def history_features(v: h.Visits) -> dict[str, h.Feature]:
 
 def row_features(v: h.Visits, recipe: Recipe) -> dict[str, Column]:
     """Features that need nothing but their own row."""
-    span = (END, START) if recipe.camp_time_from_end else (START, END)
+    forward, backward = days_between(START, END), days_between(END, START)
     return {
         "time_since_interaction": days_between(INTERACTION, v.time),
         "time_since_camp_start": days_between(START, v.time),
         "time_before_camp_ends": days_between(v.time, END),
-        "camp_time": days_between(*span),
+        "camp_time": backward if recipe.camp_time_from_end else forward,
+        CAMP_TIME_FROM_END: backward,
     }
 
 
@@ -122,7 +138,25 @@ def build_features(
 
     data = data.withColumns(date_parts(dates))
     roles, extra = move_string_features(data, ColumnRoles(roles.categorical, dates, roles.general), wanted)
-    numeric = [*roles.general, *date_part_names(dates), *extra]
-    data = fill_numbers(data, numeric).withColumns({c: fill_levels(c) for c in roles.categorical})
     keys = [v.row_id, v.entity, v.group, v.time, "is_train", "target"]
-    return FeatureTable(data.select(*keys, *numeric, *roles.categorical), numeric, roles.categorical, keys)
+    made = FeatureTable(data, keys, roles.general, dates, extra, roles.categorical)
+    filled = fill_numbers(data, made.numeric).withColumns({c: fill_levels(c) for c in made.categorical})
+    return replace(made, df=filled.select(*keys, *made.numeric, *made.categorical))
+
+
+def all_features() -> Recipe:
+    """The union of all recipes, so that one table can serve every model."""
+    names = dict.fromkeys(f for r in RECIPES.values() for f in r.features)
+    return Recipe("all", (*names, CAMP_TIME_FROM_END), "time", shifted_dates=True)
+
+
+def select_recipe(table: FeatureTable, recipe: Recipe) -> FeatureTable:
+    """A recipe's columns of the table built with ``all_features``."""
+    df = table.df
+    if recipe.camp_time_from_end:
+        df = df.withColumn("camp_time", F.col(CAMP_TIME_FROM_END))
+    shifted = (LEAD_DATE, LAG_DATE)
+    dates = [d for d in table.dates if recipe.shifted_dates or d not in shifted]
+    extra = [f for f in recipe.features if f in table.extra]
+    picked = replace(table, dates=dates, extra=extra)
+    return replace(picked, df=df.select(*table.keys, *picked.numeric, *table.categorical))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,10 @@ from pyspark.sql import functions as F
 from visitlens.operators.history import Visits
 from visitlens.plans import training
 from visitlens.plans.ensemble import ensemble_run
-from visitlens.plans.features import build_features
+from visitlens.plans.features import all_features, build_features, select_recipe
 from visitlens.plans.recipes import CONFIGS, HELD_OUT_CAMPS, HELD_OUT_ROWS, MAX_DEPTH, MAX_ROUNDS, RECIPES, Config
 from visitlens.sources.files import write_predictions
+from visitlens.session import cut_lineage
 
 
 def run_models(
@@ -27,12 +29,17 @@ def run_models(
     groups: Sequence[int] = HELD_OUT_CAMPS,
     parallelism: int = 4,
 ) -> list[training.Trained]:
-    """Train every configuration on ``folder``/train and /test; write predictions, metrics and their mean."""
+    """Train every configuration on ``folder``/train and /test; write predictions, metrics and their mean.
+
+    All recipes are cut out of one feature table that is built and written once.
+    """
     v = Visits()
     keys = [v.row_id, v.entity, v.group]
     train, test = (spark.read.parquet(f"{folder}/{side}") for side in ("train", "test"))
     names = dict.fromkeys(c.recipe for c in configs)
-    vectors = {r: training.vectorise(build_features(train, test, RECIPES[r], v)) for r in names}
+    table = build_features(train, test, all_features(), v)
+    table = replace(table, df=cut_lineage(table.df))
+    vectors = {r: training.vectorise(select_recipe(table, RECIPES[r])) for r in names}
     splits = {
         r: training.holdout(
             RECIPES[r].holdout, df.where(F.col("is_train")), v.time, v.group, v.row_id, last_rows, groups

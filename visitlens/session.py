@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,20 +30,28 @@ def build_session(cpus: int | str = "*", app: str = "visitlens", **conf: str) ->
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the session names; fall back to a temporary one in local mode only."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate tables that the session names in ``spark.checkpoint.dir``.
+
+    Only a local session without that setting gets a temporary folder of its own.
+    """
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = tempfile.mkdtemp(prefix="visitlens-checkpoint-")
-    context.setCheckpointDir(shared)
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = tempfile.mkdtemp(prefix="visitlens-checkpoint-")
+        context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder once and go on from the written table.
+
+    Later passes read only the columns they need, and a lost executor costs no more
+    than reading its part again.
+    """
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
