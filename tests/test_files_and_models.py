@@ -140,9 +140,9 @@ def test_csv_round_trip(spark, tmp_path):
 
 def test_round_choice():
     curve = [(1, 0.5), (2, 0.7), (3, 0.6), (4, 0.7), (5, 0.9)]
-    assert training.best_round(curve, 10) == (5, 0.9)
-    assert training.best_round(curve, 2) == (2, 0.7)
-    assert training.best_round([(1, None), (2, None)], 5) == (1, None)
+    assert training.best_round(curve, 10) == training.Choice(5, 0.9, False)
+    assert training.best_round(curve, 2) == training.Choice(2, 0.7, True)
+    assert training.best_round([(1, None), (2, None)], 5) == training.Choice(1, None, False)
 
 
 def test_running_margin_equals_model_margin(spark):
@@ -159,6 +159,12 @@ def test_running_margin_equals_model_margin(spark):
     full = BinaryClassificationEvaluator(labelCol="target", numBins=0).evaluate(model.transform(vectors))
     assert curve[5] == pytest.approx(full)
 
+    longer = training.classifier(CONFIGS["model1"], 7, depth=3).fit(vectors)
+    extended = {r["round"]: r["auc"] for r in training.rounds_by_auc(longer, vectors).collect()}
+    assert {n: extended[n] for n in curve} == pytest.approx(curve)
+    chosen = training.choose_rounds(vectors, vectors, CONFIGS["model1"], 7, 3, first=2)
+    assert (chosen.rounds, chosen.auc) == (training.best_round(list(extended.items()), 30).rounds, pytest.approx(max(extended.values())))
+
     names = training.feature_map(vectors)
     assert [tuple(r) for r in names.collect()] == [(0, "a", "q"), (1, "b", "q")]
     shares = training.feature_importance(model, names).collect()

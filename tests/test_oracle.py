@@ -15,6 +15,9 @@ def duck(data):
 def test_query_equals_sql(spark, data, duck, name):
     df = entry_points.queries()[name](spark, data)
     assert difference(df, entry_points.oracle_sql()[name], duck) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for slow in ("Python", "CartesianProduct", "NestedLoopJoin"):
+        assert slow not in plan
 
 
 def test_entry_gives_rows(spark):

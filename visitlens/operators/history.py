@@ -202,12 +202,12 @@ def _only_counts(track: Track) -> bool:
 def _split(
     hot: DataFrame, tracks: list[Track], firsts: list[str], v: Visits, slices: int | None
 ) -> DataFrame:
-    out = hot
+    out, rows = hot, hot.count()
     if firsts:
         earliest = hot.groupBy(v.entity).agg(*[F.min(v.time).alias(name) for name in firsts])
         out = _attach_small(out, earliest, v)
     for track in tracks:
-        scan = OrderedScan(hot, track.order, [v.entity, *track.within], slices)
+        scan = OrderedScan(hot, track.order, [v.entity, *track.within], slices, rows)
         out = scan.apply(track.features, out)
     return out
 

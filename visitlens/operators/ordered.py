@@ -82,12 +82,18 @@ class Cuts:
         return df.withColumn(SLICE, self.slice_of())
 
 
-def cut_points(df: DataFrame, columns: Sequence[str], slices: int | None = None) -> Cuts:
-    """Sample the sort key and pick one point per slice; no points for an input of one slice."""
+def cut_points(
+    df: DataFrame, columns: Sequence[str], slices: int | None = None, rows: int | None = None
+) -> Cuts:
+    """Sample the sort key and pick one point per slice; no points for an input of one slice.
+
+    ``rows`` saves the count where the caller knows it.
+    """
     columns = tuple(columns)
     keyed = df.select(order_key(columns).alias("key"))
     key_type = keyed.schema["key"].dataType
-    rows = keyed.count()
+    if rows is None:
+        rows = keyed.count()
     if slices is None:
         slices = _slice_count(df, rows)
     if slices <= 1 or rows == 0:
@@ -120,11 +126,12 @@ class OrderedScan:
         order: Sequence[str],
         group: Sequence[str] = (),
         slices: int | None = None,
+        rows: int | None = None,
     ):
         self.df = df
         self.order = list(order)
         self.group = list(group)
-        self.cuts = cut_points(df, [*group, *order], slices)
+        self.cuts = cut_points(df, [*group, *order], slices, rows)
 
     def apply(self, features: Sequence[Counter | Shift], df: DataFrame | None = None) -> DataFrame:
         df = self.df if df is None else df
