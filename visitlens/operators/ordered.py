@@ -61,25 +61,31 @@ class Cuts:
     key_type: T.StructType
     points: tuple[str, ...]
 
-    def slice_of(self) -> Column:
-        """Number of cut points at or below the row's key, by binary search."""
+    def assign(self, df: DataFrame) -> DataFrame:
+        """Append the slice: the number of cut points at or below the row's key.
+
+        A binary search, one generated-code step per halving. Every step refers to the
+        result of the one before more than once, so Spark keeps the steps apart.
+        """
         if not self.points:
-            return F.lit(0)
-        key = order_key(self.columns)
+            return df.withColumn(SLICE, F.lit(0))
+        points, found, key = self._sorted(), F.col(SLICE), F.col("_key")
+        out = df.withColumns({"_key": order_key(self.columns), SLICE: F.lit(0)})
+        for i in reversed(range(len(self.points).bit_length())):
+            step = 1 << i
+            out = out.withColumn(SLICE, F.when(F.get(points, found + (step - 1)) <= key, found + step).otherwise(found))
+        return out.drop("_key")
+
+    def inside(self, number: int) -> Column:
+        """Predicate of the rows of one slice, as a plain range of the key."""
+        points, key = self._sorted(), order_key(self.columns)
+        above = F.get(points, F.lit(number - 1)) <= key if number > 0 else F.lit(True)
+        below = key < F.get(points, F.lit(number)) if number < len(self.points) else F.lit(True)
+        return above & below
+
+    def _sorted(self) -> Column:
         literal = F.from_json(F.lit("[" + ",".join(self.points) + "]"), T.ArrayType(self.key_type))
-        points = F.sort_array(literal)
-        size = len(self.points)
-        steps = [1 << i for i in reversed(range(size.bit_length()))]
-        return F.aggregate(
-            F.array(*[F.lit(s) for s in steps]),
-            F.lit(0),
-            lambda found, step: F.when(
-                (found + step <= size) & (F.get(points, found + step - 1) <= key), found + step
-            ).otherwise(found),
-        )
-
-    def assign(self, df: DataFrame) -> DataFrame:
-        return df.withColumn(SLICE, self.slice_of())
+        return F.sort_array(literal)
 
 
 def cut_points(
