@@ -132,7 +132,11 @@ def test_repeated_attendance_fans_out_and_is_renumbered(spark):
         "second": spark.createDataFrame([], f"{pair}, `Health Score` double"),
         "third": spark.createDataFrame([(2, 1, 0)], f"{pair}, Number_of_stall_visited bigint"),
     }
-    out, out_test = asm.renumber(*asm.assemble(train, test, tables, v), v)
+    joined, joined_test = asm.assemble(train, test, tables, v)
+    assert asm.has_repeated_keys([tables["first"], tables["third"]], [v.entity, v.group])
+    assert not asm.has_repeated_keys([tables["second"], tables["third"]], [v.entity, v.group])
+    out = asm.renumber(joined, joined_test, v)
+    out_test = asm.after_train(out, joined_test, v)
     assert {(r["row_id"], r["Patient_ID"], r["F_Health_Score"], r["target"]) for r in out.collect()} == {
         (0, 1, 0.2, 1.0), (1, 1, 0.4, 1.0), (2, 2, None, 0.0),
     }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,7 +28,6 @@ from visitlens.plans.features import (
     select_recipe,
 )
 from visitlens.plans.recipes import CONFIGS, RECIPES, Recipe
-from visitlens.session import cut_lineage
 from visitlens.sources import roles
 
 V = h.Visits()
@@ -407,7 +405,7 @@ def ensemble_mean(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _vectors(spark: SparkSession, d: str, recipe: str = "R1") -> DataFrame:
-    return training.vectorise(features_of(spark, d, RECIPES[recipe]))
+    return training.vectorise(features_of(spark, d, RECIPES[recipe]).stored())
 
 
 def _held_out(vectors: DataFrame, holdout: str) -> Column:
@@ -449,8 +447,7 @@ def feature_importance(spark: SparkSession, d: str) -> DataFrame:
 
 def sweep(spark: SparkSession, d: str) -> DataFrame:
     """Mean prediction over all thirteen configurations, per test row."""
-    table = features_of(spark, d, all_features())
-    table = replace(table, df=cut_lineage(table.df))
+    table = features_of(spark, d, all_features()).stored()
     vectors = {name: training.vectorise(select_recipe(table, r)) for name, r in RECIPES.items()}
     splits = {r: _held_out(v, RECIPES[r].holdout) for r, v in vectors.items()}
     trained = training.sweep(

@@ -11,6 +11,7 @@ from visitlens.operators.columns import prefix_columns
 from visitlens.operators.history import Visits
 from visitlens.operators.ordered import row_number
 from visitlens.operators.skew import HeavyKeys, find_heavy_keys, left_join
+from visitlens.session import cut_lineage
 from visitlens.sources.files import read_csv, write_table
 
 SCORE_1 = "F_Health_Score"
@@ -97,17 +98,21 @@ def assemble(
     return joined.withColumn("target", target()), joined_test
 
 
-def renumber(train: DataFrame, test: DataFrame, v: Visits = Visits()) -> tuple[DataFrame, DataFrame]:
-    """New unique row ids: training rows first, then test rows, each in their present order.
+def after_train(train: DataFrame, test: DataFrame, v: Visits = Visits()) -> DataFrame:
+    """The test table with its row ids, counted from 0, moved behind those of the training table."""
+    offset = train.agg(F.count(F.lit(1)).alias("n")).scalar()
+    return test.withColumn(v.row_id, F.col(v.row_id) + offset)
+
 
-    Needed after a fan-out, where joined copies of a row share its id; they are told
-    apart by the columns only the training table has.
+def renumber(train: DataFrame, test: DataFrame, v: Visits = Visits()) -> DataFrame:
+    """New unique row ids for a training table whose rows have fanned out, in their present order.
+
+    Joined copies of a row share its id; they are told apart by the columns that only
+    the training table has.
     """
     copies = [c for c in train.columns if c not in test.columns and c != "target"]
     numbered = row_number(train, [v.row_id, *copies], "_new_id")
-    offset = train.agg(F.count(F.lit(1)).alias("n")).scalar()
-    moved = row_number(test, [v.row_id], "_new_id").withColumn("_new_id", F.col("_new_id") + offset)
-    return tuple(df.drop(v.row_id).withColumnRenamed("_new_id", v.row_id) for df in (numbered, moved))
+    return numbered.drop(v.row_id).withColumnRenamed("_new_id", v.row_id)
 
 
 def assemble_files(spark: SparkSession, folder: str, target_folder: str, schemas: dict | None = None) -> None:
@@ -124,6 +129,8 @@ def assemble_files(spark: SparkSession, folder: str, target_folder: str, schemas
     stray = [c for c in STRAY_COLUMNS if c in frames["first"].columns]
     frames["first"] = frames["first"].drop(*stray)
     train, test = assemble(frames.pop("train"), frames.pop("test"), frames, v)
-    train, test = renumber(train, test, v)
+    if has_repeated_keys([frames[name] for name in ("first", "second", "third")], [v.entity, v.group]):
+        train = renumber(cut_lineage(train), test, v)
     write_table(train, f"{target_folder}/train")
-    write_table(test, f"{target_folder}/test")
+    stored = train.sparkSession.read.parquet(f"{target_folder}/train")
+    write_table(after_train(stored, test, v), f"{target_folder}/test")

@@ -25,6 +25,7 @@ from visitlens.plans.recipes import (
     UNSHARED_VALUES,
     Recipe,
 )
+from visitlens.session import cut_lineage
 
 CAMP_TIME_FROM_END = "camp_time_from_end"
 LEAD_DATE, LAG_DATE = "Registration_Date_lead", "Registration_Date_lag"
@@ -46,6 +47,10 @@ class FeatureTable:
     def numeric(self) -> list[str]:
         return [*self.general, *date_part_names(self.dates), *self.extra]
 
+    def stored(self) -> FeatureTable:
+        """The same table, computed once and read from the shared folder from here on."""
+        return replace(self, df=cut_lineage(self.df))
+
 
 def history_features(v: h.Visits) -> dict[str, h.Feature]:
     """Every per-entity feature by name."""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import replace
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,6 @@ from visitlens.plans.ensemble import ensemble_run
 from visitlens.plans.features import all_features, build_features, select_recipe
 from visitlens.plans.recipes import CONFIGS, HELD_OUT_CAMPS, HELD_OUT_ROWS, MAX_DEPTH, MAX_ROUNDS, RECIPES, Config
 from visitlens.sources.files import write_predictions
-from visitlens.session import cut_lineage
 
 
 def run_models(
@@ -37,8 +35,7 @@ def run_models(
     keys = [v.row_id, v.entity, v.group]
     train, test = (spark.read.parquet(f"{folder}/{side}") for side in ("train", "test"))
     names = dict.fromkeys(c.recipe for c in configs)
-    table = build_features(train, test, all_features(), v)
-    table = replace(table, df=cut_lineage(table.df))
+    table = build_features(train, test, all_features(), v).stored()
     vectors = {r: training.vectorise(select_recipe(table, RECIPES[r])) for r in names}
     splits = {
         r: training.holdout(
