@@ -363,7 +363,8 @@ def label_encode(spark: SparkSession, d: str) -> DataFrame:
 
 def one_hot(spark: SparkSession, d: str) -> DataFrame:
     rows = roles.table(spark, d, "orders").select("o_orderkey", "o_orderpriority")
-    return encode.one_hot_long(rows, "o_orderpriority", "o_orderkey")
+    (heavy,) = find_heavy_keys(rows, ["o_orderpriority"])
+    return encode.one_hot_long(rows, "o_orderpriority", "o_orderkey", heavy)
 
 
 def features_of(spark: SparkSession, d: str, recipe: Recipe) -> FeatureTable:

@@ -25,9 +25,9 @@ def label_encode(
     return left_join(named, category_codes(df, column), [column], heavy, spread)
 
 
-def one_hot_long(df: DataFrame, column: str, row_id: str) -> DataFrame:
+def one_hot_long(df: DataFrame, column: str, row_id: str, heavy: HeavyKeys | None = None) -> DataFrame:
     """Long form of the one-hot block: the (row, level) pairs whose value is 1."""
-    return label_encode(df, column, spread=row_id).select(
+    return label_encode(df, column, heavy, row_id).select(
         row_id,
         F.lit(column).alias("feature"),
         F.col(column).alias("level"),
