@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 SLICE = "_slice"
 MIN_SLICE_ROWS = 100_000
 MAX_SLICE_ROWS = 5_000_000
-MAX_SLICES = 16_384
+MAX_SLICES = 2_048
 SAMPLE_PER_SLICE = 32
 SAMPLE_SEED = 17
 
