@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def on_workers(docs: DataFrame) -> DataFrame:
+    """``docs``, with this package importable by Python workers of a local session.
+
+    A cluster gets the package from --py-files or its installation, as any library.
+    """
+    context = docs.sparkSession.sparkContext
+    if context.master.startswith("local["):
+        folder = Path(__file__).resolve().parents[1]
+        if not any(f.endswith(f"/{folder.name}") for f in context.listFiles):
+            context.addFile(str(folder), recursive=True)
+    return docs
+
+
 def words(text: Column) -> Column:
     """The words of a text; a null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from visitlens.llm import line_dedup, mixing, quality_rules
+import public_tokenizers
+
+from visitlens.llm import language, line_dedup, mixing, pieces, quality_rules
 from visitlens.llm.common import table
 
 
@@ -10,6 +12,14 @@ def op1_quality_rules(spark, folder):
     return quality_rules.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_pieces(spark, folder, model_file=public_tokenizers.path("piece_bpe_32k.model")):
+    return pieces.digest(table(spark, folder, "documents"), model_file)
+
+
+def op7_language(spark, folder):
+    return language.digest(table(spark, folder, "documents"))
+
+
 def op8_line_dedup(spark, folder):
     return line_dedup.digest(table(spark, folder, "documents"))
 
@@ -18,7 +28,7 @@ def op10_mixing(spark, folder):
     return mixing.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op8_line_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op5_pieces, op7_language, op8_line_dedup, op10_mixing)}
 
 ORACLE = {
     "op8_line_dedup": line_dedup.SQL,
