@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from visitlens.llm import kneser_ney, language, line_dedup, mixing, pieces, quality_rules
+from visitlens.llm import kneser_ney, language, line_dedup, mixing, near_dups, pieces, quality_rules
 from visitlens.llm.common import table
 
 
@@ -12,6 +12,10 @@ def op1_quality_rules(spark, folder):
     return quality_rules.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op2_near_dups(spark, folder):
+    return near_dups.digest(table(spark, folder, "documents"))
+
+
 def op3_kneser_ney(spark, folder):
     return kneser_ney.digest(table(spark, folder, "documents"))
 
@@ -32,7 +36,7 @@ def op10_mixing(spark, folder):
     return mixing.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_kneser_ney, op5_pieces, op7_language, op8_line_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_near_dups, op3_kneser_ney, op5_pieces, op7_language, op8_line_dedup, op10_mixing)}
 
 ORACLE = {
     "op8_line_dedup": line_dedup.SQL,
