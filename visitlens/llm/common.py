@@ -6,9 +6,12 @@ import string
 from collections.abc import Callable
 from pathlib import Path
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from visitlens.session import cut_lineage
+
 #: Separators of words and characters stripped from lines: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 GAP = r"[\x20\x09-\x0D]+"
@@ -31,6 +34,18 @@ def on_workers(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def located(df: DataFrame) -> DataFrame:
+    """``df`` with ``_file`` and ``_row``, where each row's content is found again.
+
+    A frame that does not come straight from files is stored first.
+    """
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    try:
+        return df.select("*", *place)
+    except AnalysisException:
+        return cut_lineage(df).select("*", *place)
+
+
 def words(text: Column) -> Column:
     """The words of a text; a null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")

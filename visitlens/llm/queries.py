@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from visitlens.llm import kneser_ney, language, line_dedup, mixing, near_dups, pieces, quality_rules
+from visitlens.llm import exact_dedup, kneser_ney, language, line_dedup, mixing, near_dups, pieces, quality_rules
 from visitlens.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op3_kneser_ney(spark, folder):
     return kneser_ney.digest(table(spark, folder, "documents"))
 
 
+def op4_exact_dedup(spark, folder):
+    return exact_dedup.digest_rows(table(spark, folder, "documents"))
+
+
 def op5_pieces(spark, folder, model_file=public_tokenizers.path("piece_bpe_32k.model")):
     return pieces.digest(table(spark, folder, "documents"), model_file)
 
@@ -36,9 +40,10 @@ def op10_mixing(spark, folder):
     return mixing.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_near_dups, op3_kneser_ney, op5_pieces, op7_language, op8_line_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_near_dups, op3_kneser_ney, op4_exact_dedup, op5_pieces, op7_language, op8_line_dedup, op10_mixing)}
 
 ORACLE = {
+    "op4_exact_dedup": exact_dedup.SQL,
     "op8_line_dedup": line_dedup.SQL,
     "op10_mixing": mixing.SQL,
 }
