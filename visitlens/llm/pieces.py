@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from visitlens.llm.common import on_workers
 
 MARK = "▁"
-REMEMBERED = 400_000
+REMEMBERED = 700_000
+PAIRS = 1_000_000
 NEVER = 1 << 60
 UNKNOWN = " ⁇ "
 
@@ -50,10 +51,12 @@ class PieceModel:
         self.silent = {i for i in special if reader.is_control(i)}
         usable = [i for i in range(len(self.text)) if i not in special and i not in self.byte_of and not reader.is_unused(i)]
         self.ids = {self.text[i]: i for i in usable}
+        self.plain = {i: self.text[i].replace(MARK, " ") for i in usable}
         order = sorted(usable, key=lambda i: -reader.get_score(i))
         self.rank = {self.text[i]: r for r, i in enumerate(order)}
-        self.left_spine: dict[str, list[str]] = {}
-        self.right_spine: dict[str, list[str]] = {}
+        # what stands at either end of a piece while it forms, with the rank of its merge inward
+        self.left_spine: dict[str, list[tuple[str, int]]] = {}
+        self.right_spine: dict[str, list[tuple[str, int]]] = {}
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
             if self._derive(piece):
@@ -67,8 +70,8 @@ class PieceModel:
             self.parts = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
         else:
             self.parts = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
-        self.apart: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, tuple[str, str, int]] = {}
+        self.apart: dict[int, bool] = {}  # by pair of ids
+        self.known = Known(self)
 
     def _derive(self, piece: str) -> bool:
         """Merge the characters of a piece; keep what stood at its ends over time. False if it never forms."""
@@ -83,40 +86,45 @@ class PieceModel:
                 left.append(symbols[0])
             if symbols[-1] != right[-1]:
                 right.append(symbols[-1])
-        self.left_spine[piece], self.right_spine[piece] = left, right
+        self.left_spine[piece] = list(zip(left, [*(self.rank[p] for p in left[1:]), NEVER]))
+        self.right_spine[piece] = list(zip(right, [*(self.rank[p] for p in right[1:]), NEVER]))
         return True
 
-    def stay_apart(self, before: str, after: str) -> bool:
-        key = (before, after)
-        known = self.apart.get(key)
-        if known is None:
-            if len(self.apart) > REMEMBERED:
-                self.apart.clear()
-            known = self.apart[key] = self._test_apart(self.right_spine[before], self.left_spine[after])
-        return known
-
-    def _test_apart(self, ends: list[str], starts: list[str]) -> bool:
+    def _test_apart(self, ends: list[tuple[str, int]], starts: list[tuple[str, int]]) -> bool:
         rank, i, j = self.rank, 0, 0
+        left, inward_left = ends[0]
+        right, inward_right = starts[0]
         while True:
-            inward_left = rank[ends[i + 1]] if i + 1 < len(ends) else NEVER
-            inward_right = rank[starts[j + 1]] if j + 1 < len(starts) else NEVER
-            across = rank.get(ends[i] + starts[j], NEVER)
-            if across < inward_left and across <= inward_right and across != NEVER:
+            across = rank.get(left + right, NEVER)
+            if across < inward_left and across <= inward_right:
                 return False
-            if inward_left == inward_right == NEVER:
-                return True
             if inward_left <= inward_right:
+                if inward_left == NEVER:
+                    return True
                 i += 1
+                left, inward_left = ends[i]
             else:
                 j += 1
+                right, inward_right = starts[j]
 
     def encode_part(self, part: str) -> list[int]:
         last: list[tuple[int, int, str] | None] = [None] * len(part)
+        apart, size = self.apart, len(self.text)
         for end, match in self.automaton.iter(part):
+            if last[end] is not None:  # there is only one
+                continue
             begin = end - match[1]
             before = last[begin] if begin >= 0 else None  # also None behind a character without a piece
-            if before is None or self.stay_apart(before[2], match[2]):
-                last[end] = match
+            if before is not None:
+                key = before[0] * size + match[0]
+                stays = apart.get(key)
+                if stays is None:
+                    stays = apart[key] = self._test_apart(self.right_spine[before[2]], self.left_spine[match[2]])
+                if not stays:
+                    continue
+            last[end] = match
+        if len(apart) > PAIRS:
+            apart.clear()
         ids: list[int] = []
         at = len(part) - 1
         while at >= 0:
@@ -132,6 +140,10 @@ class PieceModel:
 
     def decode_ids(self, ids: list[int]) -> str:
         """Text of ids without the leading word mark's space being removed."""
+        try:
+            return "".join([self.plain[i] for i in ids])
+        except KeyError:  # bytes or special ids
+            pass
         out, raw = [], bytearray()
         for i in ids:
             if i in self.byte_of:
@@ -141,7 +153,7 @@ class PieceModel:
                 out.append(bytes_to_text(raw))
                 raw = bytearray()
             if i not in self.silent:
-                out.append(self.text[i].replace(MARK, " ") if self.text[i] in self.ids else UNKNOWN)
+                out.append(self.plain.get(i, UNKNOWN))
         if raw:
             out.append(bytes_to_text(raw))
         return "".join(out)
@@ -150,23 +162,31 @@ class PieceModel:
         text = self.decode_ids(ids)
         return text.removeprefix(" ") if ids and self.text[ids[0]].startswith(MARK) else text
 
-    def _part(self, part: str) -> tuple[str, str, int]:
-        ids = self.encode_part(part)
-        value = (",".join(map(str, ids)), self.decode_ids(ids), len(ids))
-        if len(part) <= 64:
-            if len(self.known) > REMEMBERED:
-                self.known.clear()
-            self.known[part] = value
-        return value
-
     def both(self, text: str) -> tuple[str, str, int]:
         """Ids joined by commas, decoded text, number of ids."""
         if not text:
             return "", "", 0
-        known, compute = self.known, self._part
-        found = [known.get(p) or compute(p) for p in self.parts.findall(MARK + text.replace(" ", MARK))]
-        decoded = "".join([f[1] for f in found]).removeprefix(" ")
-        return ",".join([f[0] for f in found]), decoded, sum([f[2] for f in found])
+        parts = self.parts.findall(MARK + text.replace(" ", MARK))
+        ids, texts = zip(*map(self.known.__getitem__, parts))
+        joined = ",".join(ids)
+        return joined, "".join(texts).removeprefix(" "), joined.count(",") + 1
+
+
+class Known(dict):
+    """Ids, joined, and decoded text of parts, remembered up to a bound."""
+
+    def __init__(self, model: PieceModel):
+        super().__init__()
+        self.model = model
+
+    def __missing__(self, part: str) -> tuple[str, str]:
+        ids = self.model.encode_part(part)
+        value = (",".join(map(str, ids)), self.model.decode_ids(ids))
+        if len(part) <= 64:
+            if len(self) > REMEMBERED:
+                self.clear()
+            self[part] = value
+        return value
 
 
 def bytes_to_text(raw: bytearray) -> str:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from visitlens.llm import exact_dedup, kneser_ney, language, line_dedup, mixing, near_dups, pieces, quality_rules
+from visitlens.llm import exact_dedup, kneser_ney, language, line_dedup, mixing, near_dups, pieces, quality_rules, warc
 from visitlens.llm.common import table
 
 
@@ -36,14 +36,19 @@ def op8_line_dedup(spark, folder):
     return line_dedup.digest(table(spark, folder, "documents"))
 
 
+def op9_warc(spark, folder):
+    return warc.digest(table(spark, folder, "pages"))
+
+
 def op10_mixing(spark, folder):
     return mixing.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_near_dups, op3_kneser_ney, op4_exact_dedup, op5_pieces, op7_language, op8_line_dedup, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_near_dups, op3_kneser_ney, op4_exact_dedup, op5_pieces, op7_language, op8_line_dedup, op9_warc, op10_mixing)}
 
 ORACLE = {
     "op4_exact_dedup": exact_dedup.SQL,
     "op8_line_dedup": line_dedup.SQL,
+    "op9_warc": warc.SQL,
     "op10_mixing": mixing.SQL,
 }
