@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from visitlens.llm import exact_dedup, kneser_ney, language, line_dedup, mixing, near_dups, pieces, quality_rules, warc
+from visitlens.llm import exact_dedup, html_text, kneser_ney, language, line_dedup, mixing, near_dups, pieces, quality_rules, warc
 from visitlens.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op5_pieces(spark, folder, model_file=public_tokenizers.path("piece_bpe_32k.m
     return pieces.digest(table(spark, folder, "documents"), model_file)
 
 
+def op6_html_text(spark, folder):
+    return html_text.digest(table(spark, folder, "pages"))
+
+
 def op7_language(spark, folder):
     return language.digest(table(spark, folder, "documents"))
 
@@ -44,7 +48,7 @@ def op10_mixing(spark, folder):
     return mixing.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_near_dups, op3_kneser_ney, op4_exact_dedup, op5_pieces, op7_language, op8_line_dedup, op9_warc, op10_mixing)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_near_dups, op3_kneser_ney, op4_exact_dedup, op5_pieces, op6_html_text, op7_language, op8_line_dedup, op9_warc, op10_mixing)}
 
 ORACLE = {
     "op4_exact_dedup": exact_dedup.SQL,
