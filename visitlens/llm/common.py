@@ -34,16 +34,23 @@ def on_workers(docs: DataFrame) -> DataFrame:
     return docs
 
 
-def located(df: DataFrame) -> DataFrame:
-    """``df`` with ``_file`` and ``_row``, where each row's content is found again.
+def packed(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """The given columns, and all columns as a struct ``doc``, so that no other name can clash."""
+    return df.select(*columns, F.struct("*").alias("doc"))
 
-    A frame that does not come straight from files is stored first.
+
+def located(df: DataFrame, *columns: str, whole: bool = False) -> DataFrame:
+    """The named columns with ``_file`` and ``_row``, where each row's content is found again.
+
+    ``whole`` adds all columns as the struct ``doc``. A frame that does not come straight from files
+    is stored first.
     """
     place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    wanted = [*columns, *([F.struct("*").alias("doc")] if whole else []), *place]
     try:
-        return df.select("*", *place)
+        return df.select(*wanted)
     except AnalysisException:
-        return cut_lineage(df).select("*", *place)
+        return cut_lineage(df).select(*wanted)
 
 
 def words(text: Column) -> Column:

@@ -73,9 +73,12 @@ def held_groups(spark: SparkSession, state: str) -> DataFrame:
 
 
 def decide(docs: DataFrame, digest: Callable[[Column], Column] = sha256_hex, state: str | None = None) -> DataFrame:
-    """One row per document: doc_id, locator, digest, keep_id, group_size, kept."""
+    """One row per document: doc_id, locator, digest, keep_id, group_size, kept.
+
+    Documents that carry their locators (``located``) already are taken as they are.
+    """
     spark = docs.sparkSession
-    docs = located(docs)
+    docs = docs if set(PLACE) <= set(docs.columns) else located(docs, "doc_id", "text")
     folder = f"{shared_folder(spark)}/prints-{uuid4()}"
     fresh = fingerprints(docs, digest)
     fresh.write.parquet(folder)
@@ -124,16 +127,13 @@ def _regroup(rows: DataFrame, differing: DataFrame) -> DataFrame:
 
 def keep_one_each(docs: DataFrame) -> DataFrame:
     """The documents without copies."""
-    if "_file" in docs.columns or "_row" in docs.columns:
-        raise ValueError("columns _file and _row are taken")
-    docs = located(docs)
-    columns = [c for c in docs.columns if c not in PLACE]
-    kept = decide(docs.select(*columns)).where("kept").select(*PLACE)
-    return docs.join(kept, PLACE, "left_semi").select(*columns)
+    docs = located(docs, "doc_id", "text", whole=True)
+    kept = decide(docs.select("doc_id", "text", *PLACE)).where("kept").select(*PLACE)
+    return docs.join(kept, PLACE, "left_semi").select("doc.*")
 
 
 def digest_rows(docs: DataFrame) -> DataFrame:
-    return decide(docs).select(
+    return decide(located(docs, "doc_id", "text")).select(
         "doc_id", "keep_id", F.col("group_size").cast("long").alias("group_size"), "kept", F.col("digest").alias("text_sha256")
     )
 

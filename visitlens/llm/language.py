@@ -15,7 +15,7 @@ Only ``text`` and ``lang`` of training rows are learned from, only ``text`` deci
 Defined cases: a text that is null or without letters is ``und`` with score 0 and rejected; so
 is every text if no language was learned. Rows with a null lang are not learned from. Equal rows
 are treated alike. Texts of any length are read whole. Other columns are ignored or, in
-``identify``, kept.
+``identify``, kept inside the struct.
 """
 
 from __future__ import annotations
@@ -25,10 +25,12 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from visitlens.llm.common import on_workers, remainder
+from visitlens.llm.common import on_workers, packed, remainder
 
 DIMENSION = 1 << 13
 SAMPLE_PER_LANGUAGE = 1_000
@@ -184,27 +186,24 @@ def fit(docs: DataFrame, is_training: Column, clusters: int = 4, slack: float =
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
-    """The documents with ``_lang_pred``, ``_score`` and ``_rejected``."""
+    """The documents as structs ``doc``, with lang_pred, score and rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    place = docs.columns.index("text")
+    whole = packed(on_workers(docs))
 
     def add(batches):
         for batch in batches:
-            names, scores, rejected = shared.value.predict(batch.column(place).to_pylist())
+            names, scores, rejected = shared.value.predict(pc.struct_field(batch.column(0), "text").to_pylist())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
-                names=[*batch.schema.names, "_lang_pred", "_score", "_rejected"],
+                [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
+                names=["doc", "lang_pred", "score", "rejected"],
             )
 
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return on_workers(docs).mapInArrow(add, f"{columns}, _lang_pred string, _score double, _rejected boolean")
+    schema = T.StructType([*whole.schema.fields]).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    return whole.mapInArrow(add, schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:
     held_out = remainder(F.col("doc_id"), 4) == 2
     model = fit(docs, ~held_out)
-    out = identify(docs.select("doc_id", "text"), model)
-    return out.select(
-        "doc_id", held_out.alias("held_out"), F.col("_lang_pred").alias("lang_pred"), F.col("_score").alias("score"),
-        F.col("_rejected").alias("rejected"),
-    )
+    out = identify(docs.select("doc_id", "text"), model).select("doc.doc_id", "lang_pred", "score", "rejected")
+    return out.withColumn("held_out", held_out)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import SPACES, lower_ascii, sha256_hex
+from visitlens.llm.common import SPACES, let, lower_ascii, packed, sha256_hex
 from visitlens.session import cut_lineage
 
 NO_ID = -(1 << 63)
@@ -77,27 +77,29 @@ def kept_runs(gone: str) -> Column:
 
 
 def drop_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """The documents with ``_lines`` (before), ``_kept`` (lines that stay) and ``_kept_text``."""
+    """The documents as structs ``doc``, with n_lines (before), n_kept (lines that stay) and kept_text."""
     bitmaps = keep_bitmaps(docs, min_chars, min_docs)
-    on = F.coalesce(docs["doc_id"], F.lit(NO_ID)) == bitmaps["doc"]
-    joined = docs.join(bitmaps, on & (F.xxhash64(docs["text"]) == bitmaps["body"]), "left")
-    out = joined.select(*[docs[c] for c in docs.columns], bitmaps["runs"].alias("_runs"))
-    out = out.withColumn("_all", split_lines(F.col("text"))).withColumn("_lines", F.size("_all"))
-    stay = F.flatten(
-        F.transform("_runs", lambda r: F.slice("_all", r["start"] + 1, F.coalesce(r["length"], F.size("_all"))))
-    )
-    out = out.withColumn("_stay", F.when(F.col("_runs").isNull(), F.col("_all")).otherwise(stay))
-    out = out.withColumns({"_kept": F.size("_stay"), "_kept_text": F.array_join("_stay", "\n")})
-    return out.drop("_all", "_runs", "_stay")
+    bitmaps = bitmaps.select(F.col("doc").alias("losing"), "body", "runs")
+    on = (F.coalesce("doc_id", F.lit(NO_ID)) == F.col("losing")) & (F.col("own") == F.col("body"))
+    out = packed(docs, "doc_id", F.xxhash64("text").alias("own")).join(bitmaps, on, "left")
+
+    def stay(lines: Column) -> Column:
+        runs = F.transform("runs", lambda r: F.slice(lines, r["start"] + 1, F.coalesce(r["length"], F.size(lines))))
+        left = F.when(F.col("runs").isNull(), lines).otherwise(F.flatten(runs))
+        return let(left, lambda k: F.struct(F.size(lines), F.size(k), F.array_join(k, "\n")))
+
+    out = out.select("doc", let(split_lines(F.col("doc.text")), stay).alias("done"))
+    names = dict(zip(("n_lines", "n_kept", "kept_text"), ("done.col1", "done.col2", "done.col3")))
+    return out.select("doc", *[F.col(at).alias(name) for name, at in names.items()])
 
 
 def digest(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     out = drop_lines(docs.select("doc_id", "text"), min_chars, min_docs)
     return out.select(
-        "doc_id",
-        F.col("_lines").cast("long").alias("n_lines"),
-        (F.col("_lines") - F.col("_kept")).cast("long").alias("n_dropped"),
-        sha256_hex(F.col("_kept_text")).alias("kept_sha256"),
+        "doc.doc_id",
+        F.col("n_lines").cast("long").alias("n_lines"),
+        (F.col("n_lines") - F.col("n_kept")).cast("long").alias("n_dropped"),
+        sha256_hex(F.col("kept_text")).alias("kept_sha256"),
     )
 
 

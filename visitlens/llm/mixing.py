@@ -23,7 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import words
+from visitlens.llm.common import packed, words
 from visitlens.operators.slices import running_sums, store_sliced
 from visitlens.session import cut_lineage
 
@@ -116,15 +116,14 @@ def mix_rows(docs: DataFrame, quality: DataFrame | None = None, **options) -> Da
     # equal rows share one entry: each of them gets the mean of their copies, rounded up
     each = F.ceil(F.sum(copies) / F.count(F.lit(1))).cast("int").alias("_copies")
     counts = mix(docs, quality, **options).groupBy("doc_id", "source", "body").agg(each).where(F.col("_copies") > 0)
+    whole = packed(docs, "doc_id", "source", F.xxhash64("text").alias("body"))
     on = (
-        docs["doc_id"].eqNullSafe(counts["doc_id"])
-        & docs["source"].eqNullSafe(counts["source"])
-        & (F.xxhash64(docs["text"]) == counts["body"])
+        whole["doc_id"].eqNullSafe(counts["doc_id"])
+        & whole["source"].eqNullSafe(counts["source"])
+        & (whole["body"] == counts["body"])
     )
-    repeated = docs.join(counts, on).select(
-        *[docs[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), counts["_copies"])).alias("_copy")
-    )
-    return repeated.drop("_copy")
+    repeated = whole.join(counts, on).select("doc", F.explode(F.sequence(F.lit(1), "_copies")).alias("copy"))
+    return repeated.select("doc.*")
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -92,7 +92,7 @@ def page_records(page_id, url, html, place: tuple, carrier: tuple) -> list[str]:
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> None:
     """Write page_id, url and html of pages as gzip archives."""
-    pages = located(on_workers(pages))
+    pages = located(on_workers(pages), "page_id", "url", "html")
     carriers = revisited(pages, min_bytes)
     met = pages.join(carriers, (F.col("_file") == F.col("_at_file")) & (F.col("_row") == F.col("_at_row")))
     met = met.select("page_id", "url", "html", *PLACE, "carrier")
