@@ -22,8 +22,8 @@ from visitlens.session import shared_folder
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that was learned; those far from all of them or without letters go."""
     model = language.fit(docs, remainder(F.col("doc_id"), 4) != 2)
-    kept = language.identify(docs, model).where(~F.col("_rejected"))
-    return kept.select(*docs.columns)
+    kept = language.identify(docs, model).where(~F.col("rejected"))
+    return kept.select("doc.*")
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
