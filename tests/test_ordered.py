@@ -2,11 +2,13 @@
 
 import datetime as dt
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from visitlens.operators.ordered import SLICE, Counter, OrderedScan, Shift, cut_points, row_number, shift
+from visitlens.operators.ordered import Counter, OrderedScan, Shift, row_number, shift
+from visitlens.operators.slices import SLICE, store_sliced
 
 SCHEMA = "g string, t timestamp_ntz, id bigint, v double"
 
@@ -73,8 +75,7 @@ def test_string_and_double_keys(spark):
 
 def test_heavy_leading_key_is_cut(spark):
     df = spark.range(20000).select(F.lit(1).alias("k"), "id")
-    cuts = cut_points(df, ["k", "id"], 20)
-    sizes = [r["count"] for r in cuts.assign(df).groupBy(SLICE).count().collect()]
+    sizes = [r["count"] for r in store_sliced(df, ["k", "id"], 20).groupBy(SLICE).count().collect()]
     assert len(sizes) > 10
     assert max(sizes) < 20000 / 4
 
@@ -101,3 +102,16 @@ def test_no_single_task_over_the_rows(spark):
     plan = row_number(df, ["v", "id"], "n", 16)._jdf.queryExecution().executedPlan().toString()
     for part in plan.split("Exchange SinglePartition")[1:]:
         assert "HashAggregate(keys=[_slice" in part[:2000]
+
+
+def test_planning_does_not_grow_with_slices(spark):
+    """A predicate on the slice is one comparison, however many slices there are."""
+    df = spark.range(5000).select("id", (F.col("id") * 7 % 1000).alias("v"))
+    lengths, seconds = [], []
+    for slices in (16, 4096):
+        plan = OrderedScan(df, ["v", "id"], slices=slices).apply([Counter("n"), Shift("p", "v", 1)]).where("n = 7")
+        planning = time.perf_counter()
+        lengths.append(len(plan._jdf.queryExecution().optimizedPlan().toString()))
+        seconds.append(time.perf_counter() - planning)
+    assert lengths[1] < 1.2 * lengths[0]
+    assert seconds[1] < 5

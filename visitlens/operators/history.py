@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.functions.calendar import days_between
-from visitlens.operators.ordered import Counter, OrderedScan, Shift, add_features, nulls_last, order_key, over
+from visitlens.operators.ordered import Counter, OrderedScan, Shift, add_features, order_key, over
+from visitlens.operators.slices import nulls_last
 from visitlens.operators.skew import HeavyKeys, find_heavy_keys
 from visitlens.session import cut_lineage
 
@@ -202,13 +203,12 @@ def _only_counts(track: Track) -> bool:
 def _split(
     hot: DataFrame, tracks: list[Track], firsts: list[str], v: Visits, slices: int | None
 ) -> DataFrame:
-    out, rows = hot, hot.count()
+    out = hot
     if firsts:
         earliest = hot.groupBy(v.entity).agg(*[F.min(v.time).alias(name) for name in firsts])
         out = _attach_small(out, earliest, v)
     for track in tracks:
-        scan = OrderedScan(hot, track.order, [v.entity, *track.within], slices, rows)
-        out = scan.apply(track.features, out)
+        out = OrderedScan(out, track.order, [v.entity, *track.within], slices).apply(track.features)
     return out
 
 

@@ -1,11 +1,10 @@
 """Ordered scans over a total order, with no task that sees more than one slice of it.
 
-The rows are cut into slices of about equal size along the whole sort key (group
-columns, order columns, unique row id), so one group may span many slices and one
-slice may hold many groups. Window functions run inside a slice; what crosses a slice
-border (rows so far, the neighbours k rows away) comes from tables with a few rows per
-slice, which are broadcast. The cut points come from a sample and only steer
-partitioning: any cut points give the same result.
+The rows are written once in ranges of the whole sort key (group columns, order columns,
+unique row id; see ``slices``), so one group may span many slices and one slice may hold
+many groups. Window functions run inside a slice; what crosses a slice border (rows so far, the
+neighbours k rows away) comes from tables with a few rows per slice, which are broadcast.
+There are as many slices as shuffle partitions, whatever the size of the input.
 """
 
 from __future__ import annotations
@@ -15,14 +14,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-SLICE = "_slice"
-MIN_SLICE_ROWS = 100_000
-MAX_SLICE_ROWS = 5_000_000
-MAX_SLICES = 2_048
-SAMPLE_PER_SLICE = 32
-SAMPLE_SEED = 17
+from visitlens.operators.slices import SLICE, nulls_last, store_sliced
 
 
 @dataclass(frozen=True)
@@ -49,115 +42,30 @@ def order_key(columns: Sequence[str]) -> Column:
     return F.struct(*fields)
 
 
-def nulls_last(columns: Sequence[str]) -> list[Column]:
-    return [F.col(c).asc_nulls_last() for c in columns]
-
-
-@dataclass(frozen=True)
-class Cuts:
-    """Sorted cut points of a sort key; slice i holds the keys from point i up to point i+1."""
-
-    columns: tuple[str, ...]
-    key_type: T.StructType
-    points: tuple[str, ...]
-
-    def assign(self, df: DataFrame) -> DataFrame:
-        """Append the slice: the number of cut points at or below the row's key.
-
-        A binary search, one generated-code step per halving. Every step refers to the
-        result of the one before more than once, so Spark keeps the steps apart.
-        """
-        if not self.points:
-            return df.withColumn(SLICE, F.lit(0))
-        points, found, key = self._sorted(), F.col(SLICE), F.col("_key")
-        out = df.withColumns({"_key": order_key(self.columns), SLICE: F.lit(0)})
-        for i in reversed(range(len(self.points).bit_length())):
-            step = 1 << i
-            out = out.withColumn(SLICE, F.when(F.get(points, found + (step - 1)) <= key, found + step).otherwise(found))
-        return out.drop("_key")
-
-    def inside(self, number: int) -> Column:
-        """Predicate of the rows of one slice, as a plain range of the key."""
-        points, key = self._sorted(), order_key(self.columns)
-        above = F.get(points, F.lit(number - 1)) <= key if number > 0 else F.lit(True)
-        below = key < F.get(points, F.lit(number)) if number < len(self.points) else F.lit(True)
-        return above & below
-
-    def _sorted(self) -> Column:
-        literal = F.from_json(F.lit("[" + ",".join(self.points) + "]"), T.ArrayType(self.key_type))
-        return F.sort_array(literal)
-
-
-def cut_points(
-    df: DataFrame, columns: Sequence[str], slices: int | None = None, rows: int | None = None
-) -> Cuts:
-    """Sample the sort key and pick one point per slice; no points for an input of one slice.
-
-    ``rows`` saves the count where the caller knows it.
-    """
-    columns = tuple(columns)
-    keyed = df.select(order_key(columns).alias("key"))
-    key_type = keyed.schema["key"].dataType
-    if rows is None:
-        rows = keyed.count()
-    if slices is None:
-        slices = _slice_count(df, rows)
-    if slices <= 1 or rows == 0:
-        return Cuts(columns, key_type, ())
-    fraction = min(1.0, slices * SAMPLE_PER_SLICE / rows)
-    sample = keyed if fraction == 1.0 else keyed.sample(fraction, seed=SAMPLE_SEED)
-    step = max(1, int(rows * fraction) // slices)
-    ranked = sample.withColumn("rank", F.row_number().over(Window.orderBy("key")))
-    picked = ranked.where(F.col("rank") % step == 0).select(F.to_json("key").alias("point"))
-    return Cuts(columns, key_type, tuple(row["point"] for row in picked.distinct().collect()))
-
-
-def _slice_count(df: DataFrame, rows: int) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(3 * partitions, rows // MAX_SLICE_ROWS)
-    return max(1, min(wanted, rows // MIN_SLICE_ROWS, MAX_SLICES))
-
-
 class OrderedScan:
     """Running positions and shifted values along ``order`` within ``group``.
 
-    ``order`` has to end with a unique column. The border tables are built from
-    ``df``; ``apply`` may be given another frame with the same rows (say, one that
-    already carries further features), so that chained scans do not nest.
+    ``order`` has to end with a unique column. ``stored`` holds the rows with their slice.
     """
 
-    def __init__(
-        self,
-        df: DataFrame,
-        order: Sequence[str],
-        group: Sequence[str] = (),
-        slices: int | None = None,
-        rows: int | None = None,
-    ):
-        self.df = df
+    def __init__(self, df: DataFrame, order: Sequence[str], group: Sequence[str] = (), slices: int | None = None):
+        self.columns = df.columns
         self.order = list(order)
         self.group = list(group)
-        self.cuts = cut_points(df, [*group, *order], slices, rows)
-
-    def apply(self, features: Sequence[Counter | Shift], df: DataFrame | None = None) -> DataFrame:
-        df = self.df if df is None else df
-        if not self.cuts.points:
-            return add_features(df, features, self.group, self.order)
-        return self._apply_sliced(df, features)
+        self.stored = store_sliced(df, [*group, *order], slices)
 
     def slice_sizes(self) -> DataFrame:
         """One row per slice: rows in it and rows before it."""
-        sizes = self.cuts.assign(self.df).groupBy(SLICE).agg(F.count(F.lit(1)).alias("_rows"))
+        sizes = self.stored.groupBy(SLICE).agg(F.count(F.lit(1)).alias("_rows"))
         before = F.sum("_rows").over(Window.orderBy(SLICE)) - F.col("_rows")
         return sizes.withColumn("_before", before)
 
-    def _apply_sliced(self, df: DataFrame, features: Sequence[Counter | Shift]) -> DataFrame:
+    def apply(self, features: Sequence[Counter | Shift]) -> DataFrame:
         shifts = [f for f in features if isinstance(f, Shift)]
         counters = [f for f in features if isinstance(f, Counter)]
         in_slice = Window.partitionBy(SLICE).orderBy(*nulls_last([*self.group, *self.order]))
         in_group = Window.partitionBy(SLICE, *self.group).orderBy(*nulls_last(self.order))
 
-        out = self.cuts.assign(df).repartition(F.col(SLICE))
         local = {"_place": F.row_number().over(in_slice) - 1}
         if counters:
             local["_count"] = F.row_number().over(in_group) - 1
@@ -165,23 +73,22 @@ class OrderedScan:
             local[f"_inside{k}"] = F.lag(F.lit(True), k).over(in_group).isNotNull()
         for s in shifts:
             local[f"_local_{s.name}"] = F.lag(F.col(s.value), s.k).over(in_group)
-        out = out.withColumns(local)
+        out = self.stored.withColumns(local)
 
-        sizes = self.slice_sizes()
         if shifts:
+            sizes = self.slice_sizes()
             out = out.join(F.broadcast(sizes.select(SLICE, "_before")), SLICE, "left")
             out = out.withColumn("_place", F.col("_before") + F.col("_place"))
             for k in sorted({s.k for s in shifts}):
                 out = self._fetch_across(out, sizes, k, [s for s in shifts if s.k == k])
         if counters:
-            carried = self._rows_before_slice()
             same = F.col(SLICE) == F.col("_s")
             for g in self.group:
                 same = same & F.col(g).eqNullSafe(F.col(f"_c_{g}"))
-            out = out.join(F.broadcast(carried), same, "left")
+            out = out.join(F.broadcast(self._rows_before_slice()), same, "left")
             total = F.col("_count") + F.coalesce(F.col("_carried"), F.lit(0))
             out = out.withColumns({c.name: total.cast("bigint") for c in counters})
-        return out.select(*df.columns, *[f.name for f in features])
+        return out.select(*self.columns, *[f.name for f in features])
 
     def _fetch_across(self, out: DataFrame, sizes: DataFrame, k: int, shifts: list[Shift]) -> DataFrame:
         """Fill the shifts whose source row lies in another slice."""
@@ -206,7 +113,7 @@ class OrderedScan:
         else:
             ranking = nulls_last(full)
             place = F.col("_before") + F.col("_rank") - 1
-        narrow = self.cuts.assign(self.df).select(SLICE, *dict.fromkeys([*full, *values]))
+        narrow = self.stored.select(SLICE, *dict.fromkeys([*full, *values]))
         ranked = narrow.withColumn("_rank", F.row_number().over(Window.partitionBy(SLICE).orderBy(*ranking)))
         border = ranked.where(F.col("_rank") <= abs(k)).join(F.broadcast(sizes), SLICE)
         return border.select(
@@ -218,7 +125,7 @@ class OrderedScan:
 
     def _rows_before_slice(self) -> DataFrame:
         """For the groups at slice borders, their rows in earlier slices: at most two per slice."""
-        keyed = self.cuts.assign(self.df)
+        keyed = self.stored
         if not self.group:
             return self.slice_sizes().select(F.col(SLICE).alias("_s"), F.col("_before").alias("_carried"))
         key = order_key(self.group)
