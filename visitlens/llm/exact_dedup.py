@@ -26,8 +26,17 @@ from pyspark.sql import functions as F
 from visitlens.llm.common import located, lower_ascii, sha256_hex
 from visitlens.session import cut_lineage, shared_folder
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # else each of many small stores reserves megabytes of disk
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # all stores of an executor share this much memory
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",
+    # stores of ended streams are closed soon
+    "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
+}
 PLACE = ["_file", "_row"]
 
 
@@ -42,12 +51,14 @@ def fingerprints(docs: DataFrame, digest: Callable[[Column], Column] = sha256_he
 
 @contextmanager
 def _disk_backed(spark: SparkSession):
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def ingest(spark: SparkSession, prints: DataFrame, folder: str, state: str, batch: int = 16 << 30) -> None:
