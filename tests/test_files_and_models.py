@@ -152,7 +152,7 @@ def test_running_margin_equals_model_margin(spark):
 
     vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
     model = training.classifier(CONFIGS["model1"], 5, depth=3).fit(vectors)
-    curve = {r["round"]: r["auc"] for r in training.rounds_by_auc(model, vectors, per_pass=2).collect()}
+    curve = dict(training.Curve.start(vectors).extend(model, per_pass=2).aucs)
     assert sorted(curve) == [1, 2, 3, 4, 5]
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
 
@@ -160,9 +160,11 @@ def test_running_margin_equals_model_margin(spark):
     assert curve[5] == pytest.approx(full)
 
     longer = training.classifier(CONFIGS["model1"], 7, depth=3).fit(vectors)
-    extended = {r["round"]: r["auc"] for r in training.rounds_by_auc(longer, vectors).collect()}
+    extended = dict(training.Curve.start(vectors).extend(model, 3).extend(longer, 3).aucs)
     assert {n: extended[n] for n in curve} == pytest.approx(curve)
-    chosen = training.choose_rounds(vectors, vectors, CONFIGS["model1"], 7, 3, first=2)
+    assert extended == pytest.approx(dict(training.Curve.start(vectors).extend(longer, 25).aucs))
+    chosen, known = training.choose_rounds(vectors, vectors, CONFIGS["model1"], 7, 3, first=2)
+    assert dict(known.aucs) == pytest.approx(extended)
     assert (chosen.rounds, chosen.auc) == (training.best_round(list(extended.items()), 30).rounds, pytest.approx(max(extended.values())))
 
     names = training.feature_map(vectors)
@@ -179,3 +181,33 @@ def test_recipes_and_configurations():
     assert {name: len(r.features) for name, r in RECIPES.items()} == {"R1": 19, "R4": 17, "R5": 22, "R6": 24, "R7": 20}
     assert len(CONFIGS) == 13
     assert [c.model for c in CONFIGS.values() if c.recipe != "R1"] == ["model4", "model5", "model6", "model7"]
+
+
+def test_the_stop_comes_from_patience(spark):
+    """With the configured limits the search ends because the AUC has stalled, before round 1200."""
+    rows = [(float((i * i * 31 + i) % 97 % 2), float(i % 7), float(i * 31 % 11)) for i in range(400)]
+    from pyspark.ml.feature import VectorAssembler
+
+    df = spark.createDataFrame(rows, "target double, a double, b double")
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    train, valid = vectors.where("a < 5"), vectors.where("a >= 5")
+    chosen, curve = training.choose_rounds(train, valid, CONFIGS["model1"])
+    assert chosen.stalled and len(curve.aucs) < 1200
+    assert chosen.rounds + CONFIGS["model1"].patience <= len(curve.aucs)
+
+
+def test_no_two_fits_are_the_same():
+    """Models 1 and 2 differ in patience alone; all others differ in what Spark fits."""
+    seen = {}
+    for config in CONFIGS.values():
+        fit = training.classifier(config, 10)
+        key = (config.recipe, *(fit.getOrDefault(p) for p in (fit.stepSize, fit.subsamplingRate, fit.featureSubsetStrategy, fit.minInstancesPerNode, fit.minInfoGain)))
+        seen.setdefault(key, []).append(config.model)
+    assert [m for m in seen.values() if len(m) > 1] == [["model1", "model2"]]
+    assert CONFIGS["model1"].patience != CONFIGS["model2"].patience
+
+
+def test_recipe_names_are_as_stated():
+    assert set(RECIPES["R6"].features) - set(RECIPES["R5"].features) == {"last_1_target", "last_2_target"}
+    assert set(RECIPES["R7"].features) - set(RECIPES["R1"].features) == {"camp_time"}
+    assert set(RECIPES["R4"].features) - set(RECIPES["R1"].features) == {"number_of_camps_attended", "camp_time"}

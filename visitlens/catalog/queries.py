@@ -35,9 +35,6 @@ E = h.Visits("user_id", "event_type", "ts", "event_id")
 
 UNSHARED = {"CD_Category2": "2-HIGH", "CD_Category3": 1}
 HELD_OUT_MONTHS = [199906, 199907, 199908, 199909, 199910, 199911, 199912]
-QUERY_ROUNDS = 4
-SWEEP_ROUNDS = 2
-SWEEP_DEPTH = 3
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -425,25 +422,20 @@ def feature_map(spark: SparkSession, d: str) -> DataFrame:
 
 def train_gbt(spark: SparkSession, d: str) -> DataFrame:
     vectors = _vectors(spark, d)
-    trained = training.train_and_score(
-        vectors, CONFIGS["model1"], _held_out(vectors, "time"), KEYS, max_rounds=QUERY_ROUNDS
-    )
-    return trained.predictions
+    return training.train_and_score(vectors, CONFIGS["model1"], _held_out(vectors, "time"), KEYS).predictions
 
 
 def rounds_by_auc(spark: SparkSession, d: str) -> DataFrame:
     vectors = _vectors(spark, d)
     held_out, train = _held_out(vectors, "time"), vectors.where(F.col("is_train"))
-    model = training.classifier(CONFIGS["model1"], QUERY_ROUNDS).fit(train.where(~held_out))
-    return training.rounds_by_auc(model, train.where(held_out))
+    _, curve = training.choose_rounds(train.where(~held_out), train.where(held_out), CONFIGS["model1"])
+    return curve.table()
 
 
 def feature_importance(spark: SparkSession, d: str) -> DataFrame:
     vectors = _vectors(spark, d, "R4")
-    held_out = _held_out(vectors, "group")
-    train = vectors.where(F.col("is_train"))
-    model = training.classifier(CONFIGS["model4"], QUERY_ROUNDS).fit(train.where(~held_out))
-    return training.feature_importance(model, training.feature_map(vectors))
+    trained = training.train_and_score(vectors, CONFIGS["model4"], _held_out(vectors, "group"), KEYS)
+    return training.feature_importance(trained.model, training.feature_map(vectors))
 
 
 def sweep(spark: SparkSession, d: str) -> DataFrame:
@@ -451,9 +443,7 @@ def sweep(spark: SparkSession, d: str) -> DataFrame:
     table = features_of(spark, d, all_features()).stored()
     vectors = {name: training.vectorise(select_recipe(table, r)) for name, r in RECIPES.items()}
     splits = {r: _held_out(v, RECIPES[r].holdout) for r, v in vectors.items()}
-    trained = training.sweep(
-        vectors.get, list(CONFIGS.values()), splits.get, KEYS, SWEEP_ROUNDS, SWEEP_DEPTH
-    )
+    trained = training.sweep(vectors.get, list(CONFIGS.values()), splits.get, KEYS)
     return ensemble(training.stack_predictions(trained), KEYS)
 
 
