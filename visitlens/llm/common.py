@@ -14,6 +14,8 @@ from visitlens.session import cut_lineage
 
 #: Separators of words and characters stripped from lines: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
+#: What may be broadcast, in rows of some 40 to 100 bytes.
+SMALL_ROWS = 100_000
 GAP = r"[\x20\x09-\x0D]+"
 
 
@@ -53,6 +55,11 @@ def located(df: DataFrame, *columns: str, whole: bool = False) -> DataFrame:
         return cut_lineage(df).select(*wanted)
 
 
+def if_small(df: DataFrame) -> DataFrame:
+    """``df``, for broadcast if it has no more than SMALL_ROWS of its narrow rows; else for Spark to shuffle."""
+    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+
+
 def words(text: Column) -> Column:
     """The words of a text; a null text has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), GAP), "")

@@ -34,57 +34,34 @@ from uuid import uuid4
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.llm.common import on_workers, remainder
+from visitlens.llm.word_hashes import BEGIN, END, mix, word_hashes
 from visitlens.session import shared_folder
 
 CHUNK_TOKENS = 1_500_000
 SMALL = 255
-BEGIN = np.uint64(xxhash.xxh3_64_intdigest(b" begin"))
-END = np.uint64(xxhash.xxh3_64_intdigest(b" end"))
-REMEMBERED = 400_000
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
-    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
 
 
 def pair_hash(u: np.ndarray, v: np.ndarray) -> np.ndarray:
     return mix(mix(u) + v * np.uint64(0x9E3779B97F4A7C15))
 
 
-class WordHashes(dict):
-    """Hashes of words, remembered up to a bound."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-    def of(self, text: str | None) -> np.ndarray:
-        """Hashes of the words of a text (A-Z lower-cased), then of the end."""
-        found = (text or "").encode("utf-8", "replace").lower().split()
-        out = np.empty(len(found) + 1, dtype=np.uint64)
-        out[:-1] = np.fromiter(map(self.__getitem__, found), dtype=np.uint64, count=len(found))
-        out[-1] = END
-        return out
+def tokens_of(text: str | None) -> np.ndarray:
+    """Hashes of the words of a text, then of the end."""
+    return np.append(word_hashes(text), END)
 
 
 def chunks_of_texts(batches, column: str):
     """(batch, first row, hashes per text) with about ``CHUNK_TOKENS`` tokens each."""
-    hashes = WordHashes()
     for batch in batches:
         texts, held, size, start = batch.column(batch.schema.get_field_index(column)), [], 0, 0
         for row, text in enumerate(texts):
-            held.append(hashes.of(text.as_py()))
+            held.append(tokens_of(text.as_py()))
             size += len(held[-1])
             if size >= CHUNK_TOKENS or row + 1 == len(texts):
                 yield batch, start, held
@@ -212,11 +189,14 @@ def frequent_words(training: DataFrame, buckets: int, every: int = 32) -> np.nda
 
 
 def discounts(n: np.ndarray) -> tuple[float, float, float]:
-    """Discounts of counts 1, 2 and 3 or more from how often counts 1 to 4 occur."""
+    """Discounts of counts 1, 2 and 3 or more from how often counts 1 to 4 occur.
+
+    At least 0.1, since small samples may give 0, which would leave nothing for unseen pairs.
+    """
     n1, n2, n3, n4 = (float(x) for x in n[:4])
     y = n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
     raw = [k - (k + 1) * y * b / a if a else k / 2 for k, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
-    return tuple(min(max(d, 0.0), float(k)) for k, d in enumerate(raw, 1))
+    return tuple(min(max(d, 0.1), float(k)) for k, d in enumerate(raw, 1))
 
 
 def counts_of_counts(counts: np.ndarray) -> np.ndarray:

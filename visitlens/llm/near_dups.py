@@ -34,12 +34,14 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import on_workers
+from visitlens.llm.common import if_small, on_workers
 from visitlens.llm.components import connected_components
-from visitlens.llm.kneser_ney import WordHashes, add_up, locate, mix, narrow, pack, unpack
+from visitlens.llm.kneser_ney import add_up, locate, narrow, pack, unpack
+from visitlens.llm.word_hashes import mix, word_hashes
+from visitlens.operators.slices import SLICE, store_sliced
 from visitlens.session import cut_lineage
 
 WIDTH = 5
@@ -48,7 +50,8 @@ SPREAD = 0.1
 BANDS = 12
 ROWS = 4
 SAMPLES = BANDS * ROWS
-AGREEING = 26  # of 48 samples; a pair of similarity 0.8 has fewer with a chance of 1 in 30,000
+AGREEING = 28  # of 48 samples; a pair of similarity 0.8 has fewer with a chance of about 1 in 5,000
+ROUNDS = 3
 CHUNK = 2_000_000
 _PLACES = np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
 
@@ -59,32 +62,32 @@ def shingles(words: np.ndarray) -> np.ndarray:
     if not width:
         return words
     count = len(words) - width + 1
-    total = np.zeros(count, dtype=np.uint64)
+    total = np.full(count, width, dtype=np.uint64)
     for k in range(width):
-        total += mix(words[k : k + count] + _PLACES[k]) * _PLACES[k]
-    return mix(total + np.uint64(width))
+        placed = words[k : k + count] * _PLACES[k]
+        total += placed ^ (placed >> np.uint64(29))
+    return mix(total)
 
 
-class Reader(WordHashes):
-    """Turns texts into bags of shingles."""
+def run_lengths(ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of a sorted array and how often each occurs."""
+    if len(ordered) < 2:
+        return ordered, np.ones(len(ordered), np.int64)
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
+    return ordered[starts], np.diff(np.append(starts, len(ordered)))
 
-    def bag(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Sorted distinct shingles and their counts."""
-        found = shingles(self.of(text)[:-1])
-        if len(found) > 1:
-            found.sort()
-            starts = np.flatnonzero(np.concatenate([[True], found[1:] != found[:-1]]))
-            return found[starts], np.diff(np.append(starts, len(found)))
-        return found, np.ones(len(found), np.int64)
+
+def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingles of a text and their counts."""
+    return run_lengths(np.sort(shingles(word_hashes(text))))
 
 
 def _bags(batches, chunk: int):
     """(batch, first row, bags) with about ``chunk`` shingles each."""
-    reader = Reader()
     for batch in batches:
         texts, held, size, start = batch.column(batch.schema.get_field_index("text")), [], 0, 0
         for row, text in enumerate(texts):
-            held.append(reader.bag(text.as_py()))
+            held.append(bag(text.as_py()))
             size += len(held[-1][0])
             if size >= chunk or row + 1 == len(texts):
                 yield batch, start, held
@@ -113,7 +116,7 @@ def frequent_shingles(docs: DataFrame) -> Weights:
 
     def locally_frequent(batches):
         for _, _, held in _bags(batches, CHUNK):
-            keys, _, (n,) = add_up(np.concatenate([k for k, _ in held]), np.ones(sum(len(k) for k, _ in held), np.int64))
+            keys, n = run_lengths(np.sort(np.concatenate([k for k, _ in held])))
             keep = n >= RARE * len(held) / 2
             keys, n = keys[keep], n[keep]
             bucket = (keys >> np.uint64(32)) % np.uint64(buckets)
@@ -242,54 +245,49 @@ def signatures(docs: DataFrame, weights: Weights) -> DataFrame:
 
 
 def shared_buckets(nodes: DataFrame) -> DataFrame:
-    """(bucket, node) of buckets with two nodes or more; stored."""
-    rows = nodes.select(F.explode("bands").alias("bucket"), "node")
-    several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("bucket")
-    return cut_lineage(rows.join(several, "bucket"))
-
-
-def candidate_pairs(buckets: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
-    """Pairs (a < b) of a bucket's members and its hubs, in later rounds only across components."""
-    rows = buckets
-    if roots is not None:
-        named = roots.select(F.col("node").alias("_node"), "root")
-        rows = buckets.join(named, F.col("node") == F.col("_node"), "left").withColumn("root", F.coalesce("root", "node"))
-    else:
-        rows = rows.withColumn("root", F.col("node"))
-    member = F.struct("node", "root")
-    draw = F.xxhash64(F.lit(turn), "bucket", "node")
-    hubs = [F.min_by(member, draw), F.max_by(member, draw)]
-    if roots is None:
-        hubs += [F.min(member), F.max(member)]
-    heads = rows.groupBy("bucket").agg(
-        F.array_distinct(F.array(*hubs)).alias("hubs"), F.min("root").alias("lo"), F.max("root").alias("hi")
+    """Rows of buckets with two nodes or more, stored.
+
+    bucket, node, the node's hashes in the next two bands (``then``, ``next``), and its weight:
+    the rows of all its buckets.
+    """
+    after = lambda i, k: F.get("bands", F.pmod(i + F.lit(k), F.lit(BANDS)))
+    entry = F.transform("bands", lambda b, i: F.struct(b.alias("bucket"), after(i, 1).alias("then"), after(i, 2).alias("next")))
+    rows = nodes.select("node", F.inline(entry))
+    several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+    met = rows.join(several, "bucket").groupBy("node").agg(
+        F.sum("n").alias("weight"), F.collect_list(F.struct("bucket", "then", "next")).alias("all")  # one per band at most
     )
-    heads = heads.where(F.col("lo") != F.col("hi")).select("bucket", "hubs")
-    met = rows.join(heads, "bucket").select("node", "root", F.explode("hubs").alias("hub"))
-    met = met.where(F.col("root") != F.col("hub.root"))
-    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    return cut_lineage(met.select("node", "weight", F.inline("all")))
 
 
-def _with_sides(pairs: DataFrame, nodes: DataFrame, column: str) -> DataFrame:
-    """Pairs with a column of either node."""
-    left = nodes.select(F.col("node").alias("a"), F.col(column).alias(f"{column}_a"))
-    right = nodes.select(F.col("node").alias("b"), F.col(column).alias(f"{column}_b"))
-    return pairs.join(left, "a").join(right, "b")
+def neighbours(buckets: DataFrame) -> DataFrame:
+    """Pairs (a < b) of nodes that follow each other in a bucket sorted by the hashes of the next bands.
 
+    Nodes that agree in further bands stand together, so in a large bucket each node meets the
+    ones most like it. Buckets are cut into stored ranges; none has to fit into a task.
+    """
+    order = ["bucket", "then", "next", "node"]
+    before = F.lag("node").over(Window.partitionBy(SLICE, "bucket").orderBy(*order[1:]))
+    met = store_sliced(buckets.select(*order), order).select("node", before.alias("before")).where(F.col("before").isNotNull())
+    return met.select(F.least("node", "before").alias("a"), F.greatest("node", "before").alias("b")).distinct()
 
-def plausible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs that agree in enough samples."""
 
-    def agree(batches):
-        for batch in batches:
-            sides = [
-                np.frombuffer(b"".join(batch.column(batch.schema.get_field_index(c)).to_pylist()), dtype=np.uint16).reshape(-1, SAMPLES)
-                for c in ("samples_a", "samples_b")
-            ]
-            near = pa.array((sides[0] == sides[1]).sum(axis=1) >= AGREEING)
-            yield batch.select(["a", "b"]).filter(near)
+def candidate_pairs(buckets: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
+    """Pairs (a < b) of members of a bucket and its hub.
 
-    return _with_sides(pairs, nodes, "samples").mapInArrow(agree, "a binary, b binary")
+    The first hub is the node with the largest buckets: the centre of a group of near copies
+    is in most of them. Later rounds draw the hub by hash and only pair across components.
+    """
+    if roots is None:
+        rows, rank = buckets.withColumn("root", F.col("node")), F.struct("weight", "node")
+    else:
+        named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        rows = buckets.join(if_small(named), F.col("node") == F.col("_node"), "left")
+        rows = rows.select("bucket", "node", F.coalesce("_root", "node").alias("root"))
+        rank = F.xxhash64(F.lit(turn), "bucket", "node")
+    heads = rows.groupBy("bucket").agg(F.max_by(F.struct("node", "root"), rank).alias("hub"))
+    met = rows.join(heads, "bucket").where(F.col("root") != F.col("hub.root"))
+    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
 def weighted_jaccard(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> float:
@@ -300,25 +298,39 @@ def weighted_jaccard(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarra
     return common / (both - common) if both > common else 1.0
 
 
-def verified(pairs: DataFrame, texts: DataFrame, weights: Weights, similarity: float) -> DataFrame:
-    """Pairs whose whole texts are similar enough, stored."""
+def verified(pairs: DataFrame, held: DataFrame, weights: Weights, similarity: float) -> DataFrame:
+    """Stored pairs that agree in enough samples and whose whole texts are similar enough, stored.
+
+    ``held`` has samples and text of every node; only those in pairs are moved.
+    """
+    asked = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("_asked")).distinct())
+    held = cut_lineage(held.join(if_small(asked), F.col("node") == F.col("_asked")).drop("_asked"))
+    left, right = (
+        held.select(F.col("node").alias(c), F.struct("samples", "text").alias(f"of_{c}")) for c in ("a", "b")
+    )
     shared = pairs.sparkSession.sparkContext.broadcast(weights)
 
     def check(batches):
-        reader, last = Reader(), {}
+        last: dict[str, tuple] = {}
+
+        def weighed(side: str, text: str):
+            if last.get(side, (None,))[0] != text:
+                keys, counts = bag(text)
+                last[side] = (text, (keys, shared.value.of(keys, counts)))
+            return last[side][1]
+
         for batch in batches:
             keep = []
-            for text_a, text_b in zip(batch.column(batch.schema.get_field_index("text_a")), batch.column(batch.schema.get_field_index("text_b"))):
-                sides = []
-                for side, text in (("a", text_a.as_py()), ("b", text_b.as_py())):
-                    if last.get(side, (None,))[0] != text:
-                        keys, counts = reader.bag(text)
-                        last[side] = (text, (keys, shared.value.of(keys, counts)))
-                    sides.append(last[side][1])
-                keep.append(weighted_jaccard(*sides) >= similarity - 1e-9)
+            for one, two in zip(batch.column(2), batch.column(3)):
+                agreeing = np.frombuffer(one["samples"].as_py(), np.uint16) == np.frombuffer(two["samples"].as_py(), np.uint16)
+                keep.append(
+                    int(agreeing.sum()) >= AGREEING
+                    and weighted_jaccard(weighed("a", one["text"].as_py()), weighed("b", two["text"].as_py())) >= similarity - 1e-9
+                )
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return cut_lineage(_with_sides(pairs, texts, "text").mapInArrow(check, "a binary, b binary"))
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
+    return cut_lineage(met.mapInArrow(check, "a binary, b binary"))
 
 
 def classes(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -333,26 +345,33 @@ def classes(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
         )
     )
     buckets = shared_buckets(nodes)
-    met = nodes.join(buckets.select("node").distinct(), "node")
-    held = met.select("node", F.col("first.doc_id").alias("_id"), F.col("first.body").alias("_body"))
-    on = docs["doc_id"].eqNullSafe(held["_id"]) & (F.xxhash64(docs["text"]) == held["_body"])
-    texts = cut_lineage(docs.join(held, on).select("node", "text").dropDuplicates(["node"]))
-
-    links, tested, roots, turn = None, None, None, 0
-    while True:
+    links, tested, roots, held = None, None, None, None
+    for turn in range(ROUNDS):
         pairs = candidate_pairs(buckets, roots, turn)
-        pairs = cut_lineage(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"))
-        near = cut_lineage(plausible(pairs, nodes))
-        new = verified(near, texts, weights, similarity)
+        if turn == 0:
+            pairs = pairs.union(neighbours(buckets)).distinct()
+        pairs = cut_lineage(pairs if tested is None else pairs.join(if_small(tested), ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            break
+        held = held or node_texts(docs, nodes, buckets)
+        new = verified(pairs, held, weights, similarity)
         if new.isEmpty():
             break
-        links = new if links is None else links.union(new)
-        tested = pairs if tested is None else tested.union(pairs)
+        links = new if links is None else cut_lineage(links.union(new))
+        tested = pairs if tested is None else cut_lineage(tested.union(pairs))
         roots = connected_components(links)
-        turn += 1
     return _members(signed, roots)
 
 
+def node_texts(docs: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Samples and one text of each node that shares a bucket, stored."""
+    met = nodes.join(if_small(cut_lineage(buckets.select(F.col("node").alias("_met")).distinct())), F.col("node") == F.col("_met"))
+    held = cut_lineage(met.select("node", "samples", F.col("first.doc_id").alias("_id"), F.col("first.body").alias("_body")))
+    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_body"))
+    found = docs.join(if_small(held), on).groupBy("node")
+    return cut_lineage(found.agg(F.first("samples").alias("samples"), F.first("text").alias("text")))
+
+
 def _members(signed: DataFrame, roots: DataFrame | None) -> DataFrame:
     rows = signed.select("doc_id", "body", "node")
     if roots is not None:
