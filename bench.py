@@ -6,10 +6,11 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 from visitlens.catalog.queries import QUERIES
-from visitlens.session import build_session
+from visitlens.session import build_session, remove_intermediate
 
 HEADLINES = (
     "derive_target",
@@ -41,12 +42,13 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     names = sys.argv[1:] or HEADLINES
-    spark = build_session(cpus, "bench")
+    spark = build_session(cpus, "bench", **{"spark.checkpoint.dir": tempfile.mkdtemp(prefix="visitlens-bench-")})
     QUERIES["scan_registrations"](spark, folder).write.format("noop").mode("overwrite").save()
     seconds = {}
     for name in names:
         times = [run(spark, name, folder) for _ in range(1 if name == "train_gbt" else repeats)]
         seconds[name] = round(statistics.median(times), 3)
+    remove_intermediate(spark)
     spark.stop()
     print(
         json.dumps(

@@ -18,7 +18,14 @@ PARTS = {
 
 def days_between(start: Column | str, end: Column | str) -> Column:
     """``end - start`` in fractional days; null when either side is null."""
-    return F.timestamp_diff("MICROSECOND", _column(start), _column(end)) / F.lit(float(MICROS_PER_DAY))
+    return micros(_column(end) - _column(start)) / F.lit(float(MICROS_PER_DAY))
+
+
+def micros(gap: Column) -> Column:
+    """Microseconds of a difference of two time stamps without zone, whatever the session's zone is."""
+    seconds = F.extract(F.lit("SECOND"), gap) * 1_000_000
+    minutes = (F.extract(F.lit("DAY"), gap) * 24 + F.extract(F.lit("HOUR"), gap)) * 60 + F.extract(F.lit("MINUTE"), gap)
+    return minutes.cast("bigint") * 60_000_000 + seconds.cast("bigint")
 
 
 def date_part_names(columns: list[str]) -> list[str]:

@@ -3,12 +3,20 @@
 from __future__ import annotations
 
 import os
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def remove_intermediate(spark: SparkSession) -> None:
+    """Delete what this session has written to the shared folder; results read from it are gone, too."""
+    context = spark.sparkContext
+    folder = context.getCheckpointDir()
+    if folder is not None:
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def build_session(cpus: int | str = "*", app: str = "visitlens", **conf: str) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
     cores = os.cpu_count() if cpus == "*" else int(cpus)
@@ -33,16 +41,12 @@ def build_session(cpus: int | str = "*", app: str = "visitlens", **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """The folder for intermediate tables that the session names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    Where that is unset it is a folder below the session's warehouse, which all executors share, too.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="visitlens-checkpoint-")
-        context.setCheckpointDir(folder)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir")
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{warehouse}/_intermediate")
     return context.getCheckpointDir()
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,18 +38,25 @@ def read_csv(
 
 
 def parse_dates(df: DataFrame, columns: Sequence[str], formats: Sequence[str] = DATE_FORMATS) -> DataFrame:
-    """First layout that fits wins; a text that fits none becomes null."""
+    """First layout that fits wins, read without a zone; an empty text is null, one that fits none fails the job."""
     parsed = {}
     for c in columns:
         kind = df.schema[c].dataType
         if isinstance(kind, T.StringType):
-            tries = [F.try_to_timestamp(F.col(c), F.lit(f)).cast("timestamp_ntz") for f in formats]
-            parsed[c] = F.coalesce(*tries)
+            unknown = F.raise_error(F.concat(F.lit(f"no date layout fits {c}: "), F.col(c))).cast("timestamp_ntz")
+            found = F.coalesce(*[without_zone(c, f) for f in formats])
+            parsed[c] = F.when(found.isNotNull() | (F.trim(c) == "") | F.col(c).isNull(), found).otherwise(unknown)
         else:
             parsed[c] = F.col(c).cast("timestamp_ntz")
     return df.withColumns(parsed) if parsed else df
 
 
+def without_zone(column: str, layout: str) -> Column:
+    """The text read in a layout as a time stamp without zone; null where it does not fit."""
+    fields = F.from_csv(F.col(column), F.lit("t timestamp_ntz"), {"timestampNTZFormat": layout, "sep": "\x01"})
+    return fields["t"]
+
+
 def number_file_rows(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Number the rows of a file scan from 0 in file order.
 
@@ -109,11 +116,13 @@ def read_prediction_files(
 ) -> DataFrame:
     """Every CSV in ``folder`` whose name contains ``name_part``, with its model name and AUC digits.
 
-    The column order of the files is taken from their header, not from ``schema``.
+    The column order is taken from the header of a file, not from ``schema``; a file with another
+    header fails the job instead of being read with its columns swapped.
     """
     reader = spark.read.option("header", True).option("pathGlobFilter", f"*{name_part}*")
     named = T.StructType.fromDDL(schema)
     header = reader.csv(folder).columns
-    df = reader.schema(T.StructType([named[c] for c in header])).csv(folder)
+    strict = reader.option("enforceSchema", False).schema(T.StructType([named[c] for c in header]))
+    df = strict.csv(folder)
     parts = F.split(F.regexp_replace(F.col("_metadata.file_name"), r"\.csv$", ""), "_", 2)
     return df.select(*named.names, parts[0].alias("auc_digits"), parts[1].alias("model"))
