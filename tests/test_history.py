@@ -102,25 +102,20 @@ def test_split_path_equals_plain_path(spark, data, slices):
         "double(Var1 % 2) AS target",
     )
     features = list(history_features(V).values())
-    (heavy,) = find_heavy_keys(hot, [V.entity], share=0.1, small_input=0)
+    (heavy,) = find_heavy_keys(hot, [V.entity], share=0.1)
     assert len(heavy.hashes) == 1
     plain = h.add_history(hot, features, V, HeavyKeys((V.entity,)))
     split = h.add_history(hot, features, V, heavy, slices=slices)
     assert sorted(map(repr, split.collect())) == sorted(map(repr, plain.collect()))
 
 
-def test_small_input_names_no_heavy_key(spark, data):
-    (heavy,) = find_heavy_keys(roles.registrations(spark, data), [V.group])
-    assert not heavy
-
-
 def test_salted_join_equals_plain_join(spark):
     left = spark.range(3000).selectExpr("id AS row_id", "if(id % 3 = 0, 1, if(id % 7 = 0, null, id % 50)) AS k")
     right = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k bigint, v string")
-    (heavy,) = find_heavy_keys(left, ["k"], share=0.05, small_input=0)
+    (heavy,) = find_heavy_keys(left, ["k"], share=0.05)
     assert len(heavy.hashes) == 2 and heavy.nulls
     for spread in ("row_id", None):
-        salted = left_join(left, right, ["k"], heavy, spread, copies=8)
+        salted = left_join(left, right, ["k"], heavy, spread)
         plain = left_join(left, right, ["k"])
         assert salted.columns == plain.columns
         assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))

@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from oracle_check import connect, difference
+from visitlens.catalog.oracle import ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -11,10 +12,10 @@ def duck(data):
     return connect(data)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, data, duck, name):
     df = entry_points.queries()[name](spark, data)
-    assert difference(df, entry_points.oracle_sql()[name], duck) is None
+    assert difference(df, ORACLE[name], duck) is None
     plan = df._jdf.queryExecution().executedPlan().toString()
     for slow in ("Python", "CartesianProduct", "NestedLoopJoin"):
         assert slow not in plan

@@ -9,6 +9,7 @@ not a key was named.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -17,14 +18,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRACKED_ITEMS = 65_536
-MIN_SHARE = 1e-4
-SMALL_INPUT_ROWS = 1_000_000
-SALT_COPIES = 64
+MOST_KEYS = 100_000
+PARTS_PER_FAIR_SHARE = 2
 
 
 @dataclass(frozen=True)
 class HeavyKeys:
-    """Hashes of the key tuples that need special routing (at most 1 / MIN_SHARE of them).
+    """Hashes of the key tuples that need special routing, and into how many parts each is cut.
 
     ``nulls`` says that rows with a null in the key exist; they are routed with the
     heavy ones, so the remaining rows always have a full key.
@@ -33,6 +33,8 @@ class HeavyKeys:
     keys: tuple[str, ...]
     hashes: tuple[int, ...] = ()
     nulls: bool = False
+    parts: tuple[int, ...] = ()
+    null_parts: int = 1
 
     def __bool__(self) -> bool:
         return self.nulls or bool(self.hashes)
@@ -41,43 +43,47 @@ class HeavyKeys:
         listed = F.xxhash64(*self.keys).isin(list(self.hashes)) if self.hashes else F.lit(False)
         return listed | _any_null(self.keys) if self.nulls else listed
 
+    def copies(self) -> Column:
+        """Parts of the row's key: as many as keep a part below half of a partition's fair share; 1 if not heavy."""
+        out = F.lit(1)
+        if self.hashes:
+            known = F.create_map(*[F.lit(x) for pair in zip(self.hashes, self.parts) for x in pair])
+            out = F.coalesce(F.element_at(known, F.xxhash64(*self.keys)), out)
+        return F.when(_any_null(self.keys), F.lit(self.null_parts)).otherwise(out) if self.nulls else out
+
 
 def _any_null(keys: Sequence[str]) -> Column:
     return reduce(Column.__or__, [F.col(k).isNull() for k in keys])
 
 
-def find_heavy_keys(
-    df: DataFrame,
-    *key_sets: Sequence[str],
-    share: float | None = None,
-    small_input: int = SMALL_INPUT_ROWS,
-) -> list[HeavyKeys]:
+def find_heavy_keys(df: DataFrame, *key_sets: Sequence[str], share: float | None = None) -> list[HeavyKeys]:
     """Key tuples holding more than ``share`` of all rows, for several key sets in one pass.
 
-    ``share`` defaults to one shuffle partition's fair part. Inputs of fewer than
-    ``small_input`` rows fit into any task, so nothing is named there.
+    ``share`` defaults to one shuffle partition's fair part, at every size of the input.
     """
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     if share is None:
-        partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        share = min(0.1, max(1.0 / partitions, MIN_SHARE))
-    top = int(1 / share) + 1
+        share = max(1.0 / partitions, 1.0 / MOST_KEYS)
+    top = min(MOST_KEYS, int(1 / share) + 1)
     sketches = [
-        F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {top}, {TRACKED_ITEMS})").alias(f"top{i}")
+        F.expr(f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {top}, {max(TRACKED_ITEMS, 2 * top)})").alias(f"top{i}")
         for i, keys in enumerate(key_sets)
     ]
-    nulls = [F.max(_any_null(keys)).alias(f"null{i}") for i, keys in enumerate(key_sets)]
+    nulls = [F.count_if(_any_null(keys)).alias(f"null{i}") for i, keys in enumerate(key_sets)]
     summary = df.agg(F.count(F.lit(1)).alias("rows"), *sketches, *nulls).first()
-    floor = summary["rows"] * share
-    return [
-        HeavyKeys(
-            tuple(keys),
-            ()
-            if summary["rows"] < small_input
-            else tuple(sorted(t["item"] for t in summary[f"top{i}"] if t["count"] > floor)),
-            bool(summary[f"null{i}"]),
+    rows = max(1, summary["rows"])
+
+    def parts(count: int) -> int:
+        return max(1, math.ceil(PARTS_PER_FAIR_SHARE * partitions * count / rows))
+
+    out = []
+    for i, keys in enumerate(key_sets):
+        found = sorted((t["item"], t["count"]) for t in summary[f"top{i}"] or [] if t["count"] > rows * share)
+        null_rows = summary[f"null{i}"]
+        out.append(
+            HeavyKeys(tuple(keys), tuple(k for k, _ in found), null_rows > 0, tuple(parts(n) for _, n in found), parts(null_rows))
         )
-        for i, keys in enumerate(key_sets)
-    ]
+    return out
 
 
 def left_join(
@@ -86,9 +92,8 @@ def left_join(
     keys: Sequence[str],
     heavy: HeavyKeys | None = None,
     spread: str | None = None,
-    copies: int = SALT_COPIES,
 ) -> DataFrame:
-    """Left outer equi-join that spreads heavy keys of the left side over ``copies`` tasks.
+    """Left outer equi-join that spreads heavy keys of the left side over as many tasks as they fill.
 
     Whether the right side is broadcast stays with Spark, which knows its size. The
     salt is a hash of ``spread`` (a unique column if there is one), so a task that is
@@ -98,8 +103,8 @@ def left_join(
     if not heavy:
         return left.join(right, keys, "left")
     spread_by = [spread] if spread else left.columns
-    salt = F.when(heavy.matches(), F.pmod(F.xxhash64(*spread_by), F.lit(copies))).otherwise(F.lit(0))
-    replicas = F.when(heavy.matches(), F.sequence(F.lit(0), F.lit(copies - 1))).otherwise(F.array(F.lit(0)))
+    salt = F.pmod(F.xxhash64(*spread_by), heavy.copies().cast("bigint"))
+    replicas = F.sequence(F.lit(0), heavy.copies().cast("int") - 1)
     salted = left.withColumn("_salt", salt.cast("int"))
     copied = right.withColumn("_salt", F.explode(replicas))
     return salted.join(copied, [*keys, "_salt"], "left").drop("_salt")
