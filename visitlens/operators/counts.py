@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlens.operators.skew import HeavyKeys, left_join
+from visitlens.session import cut_lineage
 
 
 def distinct_per_key(df: DataFrame, key: str, counted: str, name: str) -> DataFrame:
@@ -32,8 +33,11 @@ def add_distinct_count(
     spread: str | None = None,
     source: DataFrame | None = None,
 ) -> DataFrame:
-    """Map the distinct count of each key back to its rows; a null key gets null."""
-    counts = distinct_per_key(df if source is None else source, key, counted, name)
+    """Map the distinct count of each key back to its rows; a null key gets null.
+
+    The counts are stored, so that Spark knows their size and does not shuffle the rows for a small table.
+    """
+    counts = cut_lineage(distinct_per_key(df if source is None else source, key, counted, name))
     return left_join(df, counts, [key], heavy, spread)
 
 
@@ -47,7 +51,7 @@ def mask_rare_values(df: DataFrame, columns: Sequence[str], row_id: str = "row_i
 
     A value that occurs once names a single row, so the join back runs on the unique
     row id and not on the values: a frequent value is reduced by the map-side
-    aggregation and never travels.
+    aggregation and never travels. The flags are stored: where they are few, the rows stay in place.
     """
     cells = df.select(
         row_id,
@@ -68,6 +72,6 @@ def mask_rare_values(df: DataFrame, columns: Sequence[str], row_id: str = "row_i
         .groupBy(row_id)
         .agg(*[F.max(F.col("_column") == i).alias(f"_rare{i}") for i in range(len(columns))])
     )
-    joined = df.join(single, row_id, "left")
+    joined = df.join(cut_lineage(single), row_id, "left")
     masked = {c: F.when(F.col(f"_rare{i}"), None).otherwise(F.col(c)) for i, c in enumerate(columns)}
     return joined.withColumns(masked).select(*df.columns)
