@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from visitlens.llm.common import on_workers, packed, remainder
+from visitlens.llm.common import if_small, on_workers, packed, remainder
 
 DIMENSION = 1 << 13
 SAMPLE_PER_LANGUAGE = 1_000
@@ -135,7 +135,7 @@ def bounded_sample(training: DataFrame, per_language: int) -> DataFrame:
     """At most ``per_language`` texts of each language, those with the smallest hashes."""
     sizes = training.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("lang", "_lang")
     draw = (F.xxhash64("text", "doc_id").bitwiseAND((1 << 30) - 1) / float(1 << 30)).alias("_draw")
-    thinned = training.select("lang", "text", draw).join(sizes, F.col("lang") == F.col("_lang"))
+    thinned = training.select("lang", "text", draw).join(if_small(sizes), F.col("lang") == F.col("_lang"))
     thinned = thinned.where(F.col("_draw") <= F.lit(4.0 * per_language) / F.col("_n"))
     place = F.row_number().over(Window.partitionBy("lang").orderBy("_draw", "text"))
     return thinned.withColumn("_place", place).where(F.col("_place") <= per_language).select("lang", "text")
