@@ -4,7 +4,8 @@ Sequential covering on Spark aggregates. Statistics of labelled documents are bi
 quantiles of the labelled rows and stored. A rule is grown one threshold at a time by the gain
 of Foil over counts per (statistic, bin), pruned on the rows of another fold by
 (bad - good) / (bad + good), and kept if precise enough on both folds; the rows it covers are
-then left out and the next rule is grown. All labelled rows count; the driver only sees counts
+then left out and the next rule is grown. In the end every bound moves to the middle of the gap
+between the labelled values around it. All labelled rows count; the driver only sees counts
 per (statistic, bin). The list becomes one CASE expression whose first matching rule decides.
 
 Defined cases: a null text has no words, so it fails the base. Labels that are null or belong
@@ -16,7 +17,7 @@ kept. Equal rows are treated alike. Other columns are ignored.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -142,7 +143,7 @@ class RuleLearner:
 
     def __init__(self, labelled: DataFrame, settings: Settings = Settings()):
         self.settings = settings
-        labelled = cut_lineage(labelled)
+        self.labelled = labelled = cut_lineage(labelled)
         marks = [i / settings.bins for i in range(1, settings.bins)]
         found = labelled.agg(*[F.percentile_approx(s, marks, 10_000).alias(s) for s in STATISTICS]).first()
         self.cuts = {s: sorted(set(found[s] or [])) for s in STATISTICS}
@@ -165,7 +166,23 @@ class RuleLearner:
                 break
             rules.append(rule)
             rest = rest.where(~conjunction(rule, on_bins=True))
-        return rules
+        return self._centred(rules)
+
+    def _centred(self, rules: list[list[Condition]]) -> list[list[Condition]]:
+        """Move each bound into the middle of the gap between the labelled values next to it."""
+        every = [c for rule in rules for c in rule]
+        if not every:
+            return rules
+        sides = []
+        for c in every:
+            value = F.col(c.statistic)
+            sides += [F.max(F.when(value <= F.lit(c.bound), value)), F.min(F.when(value > F.lit(c.bound), value))]
+        found = self.labelled.agg(*sides).first()
+        moved = {}
+        for k, c in enumerate(every):
+            low, high = found[2 * k], found[2 * k + 1]
+            moved[c] = replace(c, bound=(low + high) / 2) if low is not None and high is not None else c
+        return [[moved[c] for c in rule] for rule in rules]
 
     def _histogram(self, rows: DataFrame) -> dict[str, dict[int, tuple[int, int]]]:
         each = rows.select(F.posexplode("bins").alias("s", "bin"), "bad", "good")
