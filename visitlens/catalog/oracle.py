@@ -219,7 +219,39 @@ def _event_since(window: str) -> str:
     return f"round(coalesce({EVENT_DAYS.format(window)}, 0.0), 6)"
 
 
+HOT = """
+hot AS (
+  SELECT row_id, CASE WHEN row_id % 11 = 0 THEN NULL WHEN row_id % 3 = 0 THEN 5 ELSE "Patient_ID" END AS "Patient_ID",
+         "Health_Camp_ID", CASE WHEN row_id % 17 <> 0 THEN "Registration_Date" END AS "Registration_Date",
+         nullif("Var1", 3) AS "Var1", CASE WHEN row_id % 5 <> 0 THEN "Var2" END AS "Var2"
+  FROM reg)"""
+HOT_TIME = 'ORDER BY "Registration_Date" NULLS LAST, row_id'
+
 ORACLE: dict[str, str] = {
+    "hot_entity_history": _roles(
+        f"""
+        SELECT row_id,
+          CASE WHEN "Patient_ID" IS NULL THEN 0.0::DOUBLE ELSE {_since(f'{PATIENT} {HOT_TIME}')} END AS time_since_last_visit,
+          CASE WHEN "Patient_ID" IS NOT NULL THEN row_number() OVER ({PATIENT} {HOT_TIME}) - 1 END AS visits_till_now,
+          CASE WHEN "Patient_ID" IS NOT NULL
+               THEN row_number() OVER ({PATIENT}, "Health_Camp_ID" {HOT_TIME}) - 1 END AS number_of_visits_in_this_camp,
+          CASE WHEN "Patient_ID" IS NOT NULL THEN lag("Var2", 2) OVER ({PATIENT} ORDER BY row_id) END AS var2_two_rows_ago
+        FROM hot""",
+        HOT.strip(),
+    ),
+    "hot_key_join": _roles(
+        """SELECT row_id, "Patient_ID", "PD_First_Interaction" AS "First_Interaction", "PD_Segment" AS "Segment",
+                  "PD_Balance" AS "Balance" FROM hot LEFT JOIN patient USING ("Patient_ID")""",
+        HOT.strip(),
+    ),
+    "mask_with_nulls": _roles(
+        "SELECT row_id, "
+        + ", ".join(
+            f'CASE WHEN count("{v}") OVER (PARTITION BY "{v}") = 1 THEN NULL ELSE "{v}" END AS "{v}"' for v in ("Var1", "Var2")
+        )
+        + " FROM hot",
+        HOT.strip(),
+    ),
     "scan_registrations": _roles(f"SELECT {REG_COLUMNS} FROM reg"),
     "table_shapes": _shapes(),
     "prefix_columns": _roles("SELECT * FROM a2"),

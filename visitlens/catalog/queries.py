@@ -14,7 +14,7 @@ from visitlens.functions.values import fill_levels, fill_numbers, null_out
 from visitlens.operators import camps as camp_ops
 from visitlens.operators import columns, counts, encode, metrics, ordered, split
 from visitlens.operators import history as h
-from visitlens.operators.skew import find_heavy_keys
+from visitlens.operators.skew import find_heavy_keys, left_join
 from visitlens.plans import assemble as asm
 from visitlens.plans import training
 from visitlens.plans.ensemble import ensemble
@@ -399,6 +399,42 @@ def ensemble_mean(spark: SparkSession, d: str) -> DataFrame:
     return rounded(ensemble(roles.predictions(spark, d), keys), 9)
 
 
+# Hot keys and nulls
+
+
+def hot_registrations(spark: SparkSession, d: str) -> DataFrame:
+    """Registrations with a third of all rows on one patient, and rows without patient, date or value."""
+    return roles.registrations(spark, d).select(
+        "row_id",
+        F.expr("CASE WHEN row_id % 11 = 0 THEN NULL WHEN row_id % 3 = 0 THEN 5 ELSE Patient_ID END").alias("Patient_ID"),
+        "Health_Camp_ID",
+        F.expr("CASE WHEN row_id % 17 <> 0 THEN Registration_Date END").alias("Registration_Date"),
+        F.expr("nullif(Var1, 3)").alias("Var1"),
+        F.expr("CASE WHEN row_id % 5 <> 0 THEN Var2 END").alias("Var2"),
+    )
+
+
+def hot_entity_history(spark: SparkSession, d: str) -> DataFrame:
+    features = [
+        h.time_since_last(V),
+        h.visits_so_far(V),
+        h.visits_within(V, V.group, "number_of_visits_in_this_camp"),
+        h.earlier_value(V, "Var2", 2, "var2_two_rows_ago"),
+    ]
+    return _row_history(hot_registrations(spark, d), features, V)
+
+
+def hot_key_join(spark: SparkSession, d: str) -> DataFrame:
+    rows = hot_registrations(spark, d).select("row_id", "Patient_ID")
+    (heavy,) = find_heavy_keys(rows, ["Patient_ID"])
+    return left_join(rows, roles.patients(spark, d), ["Patient_ID"], heavy, "row_id")
+
+
+def mask_with_nulls(spark: SparkSession, d: str) -> DataFrame:
+    rows = hot_registrations(spark, d).select("row_id", "Var1", "Var2")
+    return counts.mask_rare_values(rows, ["Var1", "Var2"], "row_id")
+
+
 # Training
 
 
@@ -449,6 +485,9 @@ def sweep(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "scan_registrations": scan_registrations,
+    "hot_entity_history": hot_entity_history,
+    "hot_key_join": hot_key_join,
+    "mask_with_nulls": mask_with_nulls,
     "table_shapes": table_shapes,
     "prefix_columns": prefix_columns,
     "union_train_test": union_train_test,
