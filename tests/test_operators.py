@@ -165,3 +165,49 @@ def test_calendar_and_fill(spark):
     assert [r[0] for r in df.select(days_between("a", "b")).collect()] == [1.25, None]
     assert [r[0] for r in df.select(null_out("c", "B")).collect()] == [None, "C"]
     assert [r["n"] for r in fill_numbers(df, ["n"]).collect()] == [-9999.0, 2.0]
+
+
+def test_dates_do_not_depend_on_the_zone(spark):
+    import datetime as dt
+
+    from visitlens.functions.calendar import days_between
+    from visitlens.sources.files import parse_dates
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = parse_dates(spark.createDataFrame([("2005-04-03 02:30:00", "2005-04-03 04:00:00")], "a string, b string"), ["a", "b"])
+            row = df.select("a", days_between("a", "b").alias("ab"), days_between("b", "a").alias("ba")).first()
+            assert row["a"] == dt.datetime(2005, 4, 3, 2, 30)
+            assert (row["ab"], row["ba"]) == (0.0625, -0.0625)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_unknown_dates_fail(spark):
+    import pytest as pt
+
+    from visitlens.sources.files import parse_dates
+
+    with pt.raises(Exception, match="no date layout fits"):
+        parse_dates(spark.createDataFrame([("2005/09",)], "d string"), ["d"]).collect()
+
+
+def test_files_with_another_header_fail(spark, tmp_path):
+    import pytest as pt
+
+    from visitlens.sources.files import read_prediction_files
+
+    (tmp_path / "8_model1.csv").write_text("Patient_ID,Health_Camp_ID,Outcome\n1,5,0.2\n")
+    (tmp_path / "8_model2.csv").write_text("Outcome,Health_Camp_ID,Patient_ID\n0.2,5,1\n")
+    with pt.raises(Exception, match="(?i)header"):
+        read_prediction_files(spark, str(tmp_path)).collect()
+
+
+def test_parts_of_heavy_keys_follow_their_counts(spark):
+    from visitlens.operators.skew import find_heavy_keys
+
+    df = spark.range(8000).selectExpr("CASE WHEN id % 2 = 0 THEN 1 WHEN id % 4 = 1 THEN NULL ELSE id END AS k")
+    (heavy,) = find_heavy_keys(df, ["k"])
+    assert max(heavy.parts) == 8 and heavy.nulls and heavy.null_parts == 4
