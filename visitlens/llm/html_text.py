@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import on_workers
+from visitlens.llm.common import SMALL_ROWS, on_workers
+from visitlens.session import cut_lineage
 
 #: Elements that break blocks, and words in tags, classes and ids that mark boilerplate.
 BLOCKS = frozenset(
@@ -43,6 +44,7 @@ DROPPED_ROLES = frozenset("alert banner complementary contentinfo dialog form me
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 STOPS = frozenset("ul ol dl table menu".split())
 MAIN = frozenset(("article", "main"))
+SALTS = 64
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -239,7 +241,14 @@ def winning_paths(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text."""
-    met = pages.select("page_id", "url", "html", host().alias("host")).join(winning_paths(pages), F.col("host") == F.col("_host"), "left")
+    paths = cut_lineage(winning_paths(pages))
+    here = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
+    pages = pages.select("page_id", "url", "html", host().alias("host"), here.alias("salt"))
+    if paths.count() <= SMALL_ROWS:
+        met = pages.join(F.broadcast(paths), F.col("host") == F.col("_host"), "left")
+    else:  # pages of one host are spread over several tasks
+        copies = paths.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        met = pages.join(copies, (F.col("host") == F.col("_host")) & (F.col("salt") == F.col("_salt")), "left")
 
     def read(batches):
         for batch in batches:
