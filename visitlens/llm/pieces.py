@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame
 from visitlens.llm.common import on_workers
 
 MARK = "▁"
-REMEMBERED = 700_000
-PAIRS = 1_000_000
+REMEMBERED = 300_000
+PAIRS = 300_000
 NEVER = 1 << 60
 UNKNOWN = " ⁇ "
 
