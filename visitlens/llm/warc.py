@@ -107,7 +107,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> None:
             yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
 
     out = met.mapInArrow(records, "value string").write.option("lineSep", CRLF).option("compression", "gzip")
-    out.option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
+    out.option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
 
 
 def split_records(data: bytes):
