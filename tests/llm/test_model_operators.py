@@ -98,6 +98,41 @@ def test_a_chain_and_a_large_group_become_classes(spark):
     assert near_dups.keep_one_each(docs).count() == 151
 
 
+def _chained(n, seed):
+    """Near copies, each of an earlier one, so that most pairs of the group are not similar."""
+    rng = random.Random(seed)
+    texts = [[f"w{rng.randrange(5_000)}" for _ in range(120)]]
+    while len(texts) < n:
+        own = list(texts[rng.randrange(max(0, len(texts) - 40), len(texts))])
+        for _ in range(rng.randrange(1, 4)):
+            own[rng.randrange(120)] = f"w{rng.randrange(5_000)}"
+        texts.append(own)
+    return [" ".join(t) for t in texts]
+
+
+def test_all_similar_pairs_of_a_bucket_are_linked(spark):
+    texts = list(dict.fromkeys(t for seed in range(3) for t in _chained(250, seed)))
+    bags = [near_dups.bag(t) for t in texts]
+    keys, df = np.unique(np.concatenate([k for k, _ in bags]), return_counts=True)
+    weights = near_dups.Weights(keys, df, len(texts))
+    bags = [(k, weights.of(k, c)) for k, c in bags]
+    samples = near_dups.Sampler().samples(bags)
+    bands, short = near_dups.band_hashes(samples), samples.astype(np.uint16)
+    edges = []
+    for i in range(len(texts)):
+        near = (bands[i] == bands[:i]).any(axis=1) & ((short[i] == short[:i]).sum(axis=1) >= near_dups.AGREEING)
+        edges += [(int(j), i) for j in np.flatnonzero(near) if near_dups.weighted_jaccard(bags[i], bags[j]) >= 0.8]
+    root = list(range(len(texts)))
+    for _ in texts:
+        before = list(root)
+        for j, i in edges:
+            root[i] = root[j] = min(root[i], root[j])
+        if root == before:
+            break
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in near_dups.digest(docs).collect()} == dict(enumerate(root))
+
+
 def test_samples_agree_as_often_as_weights_overlap():
     rng = np.random.default_rng(5)
     keys = np.sort(rng.integers(0, 1 << 63, 600, dtype=np.uint64))

@@ -16,10 +16,12 @@ sample k is the (shingle, t) with the least ln c - r (t - b + 1). Two documents
 sample with a probability equal to their weighted Jaccard similarity.
 
 Links. Texts with equal words are one node. Nodes that agree in all samples of a band share a
-bucket. In each bucket all members are compared with a few hubs, not with each other; pairs
-whose samples disagree too much are left out, the others are verified by weighted Jaccard on whole
-texts. Further rounds compare members of different components with new hubs until a round finds no
-further link. Components are found in Spark.
+bucket. A few rounds compare the members of each bucket with a hub, which gathers most
+of a group of near copies into one component at linear cost. Then all pairs of members of a bucket that still
+lie in different components are decided: their samples are compared tile by tile, and pairs
+that agree in enough of them are verified by weighted Jaccard on whole texts. So the classes are
+the components of all similar pairs that share a bucket, whatever the hubs were. Components are
+found in Spark.
 
 Defined cases: a null text or one without words is never linked and is its own class. Rows with
 equal doc_id and text stay or go together. Null ids are the smallest of a class. Other columns
@@ -41,7 +43,7 @@ from visitlens.llm.common import if_small, on_workers
 from visitlens.llm.components import connected_components
 from visitlens.llm.kneser_ney import add_up, locate, narrow, pack, unpack
 from visitlens.llm.word_hashes import mix, word_hashes
-from visitlens.operators.slices import SLICE, store_sliced
+from visitlens.operators.slices import SLICE, running_sums, store_sliced
 from visitlens.session import cut_lineage
 
 WIDTH = 5
@@ -51,7 +53,8 @@ BANDS = 12
 ROWS = 4
 SAMPLES = BANDS * ROWS
 AGREEING = 28  # of 48 samples; a pair of similarity 0.8 has fewer with a chance of about 1 in 5,000
-ROUNDS = 3
+ROUNDS = 3  # of hubs, before all pairs across components are decided; they change the work, not the result
+TILE = 256  # members of a bucket in a tile
 CHUNK = 2_000_000
 _PLACES = np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
 
@@ -281,15 +284,94 @@ def candidate_pairs(buckets: DataFrame, roots: DataFrame | None, turn: int) -> D
     if roots is None:
         rows, rank = buckets.withColumn("root", F.col("node")), F.struct("weight", "node")
     else:
-        named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-        rows = buckets.join(if_small(named), F.col("node") == F.col("_node"), "left")
-        rows = rows.select("bucket", "node", F.coalesce("_root", "node").alias("root"))
+        rows = with_roots(buckets.select("bucket", "node"), roots, "node", "root")
         rank = F.xxhash64(F.lit(turn), "bucket", "node")
     heads = rows.groupBy("bucket").agg(F.max_by(F.struct("node", "root"), rank).alias("hub"))
     met = rows.join(heads, "bucket").where(F.col("root") != F.col("hub.root"))
     return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
+def with_roots(rows: DataFrame, roots: DataFrame | None, node: str, root: str) -> DataFrame:
+    """``rows`` with the component of a column's nodes; a node without links is its own."""
+    if roots is None:
+        return rows.withColumn(root, F.col(node))
+    named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    met = rows.join(if_small(named), F.col(node) == F.col("_node"), "left")
+    return met.select(*rows.columns, F.coalesce("_root", node).alias(root))
+
+
+def agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many samples each row of ``left`` shares with each row of ``right``."""
+    if len(left) * len(right) <= 1_024:
+        return (left[:, None, :] == right[None, :, :]).sum(axis=2)
+    out = np.zeros((len(left), len(right)), np.uint8)
+    for k in range(SAMPLES):
+        out += left[:, k][:, None] == right[:, k][None, :]
+    return out
+
+
+def open_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """All pairs (a < b) of members of a bucket in different components that agree in enough samples.
+
+    With the number ``n`` of these and both components; stored. The members of a bucket stand in order of
+    their components and are cut into tiles; all pairs of tiles are compared but those within
+    one component, so a bucket of any size is spread over tasks. Buckets of two are left
+    out: their only pair met in the first round of hubs.
+    """
+    rows = with_roots(buckets.select("bucket", "node"), roots, "node", "root")
+    several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
+    several = several.where((F.col("size") > 2) & (F.col("lo") != F.col("hi"))).select("bucket")
+    rows = rows.join(several, "bucket").withColumn("one", F.lit(1))
+    stored = store_sliced(rows, ["bucket", "root", "node"])
+    placed = running_sums(stored, {"place": "one"}, ["root", "node"], ["bucket"])
+    placed = placed.select("bucket", "node", "root", F.floor(F.col("place") / TILE).cast("int").alias("tile"))
+    samples = nodes.select(F.col("node").alias("_node"), "samples")
+    placed = cut_lineage(placed.join(samples, F.col("node") == F.col("_node")).drop("_node"))
+
+    tiles = placed.groupBy("bucket", "tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    one, two = (tiles.select("bucket", F.col("tile").alias(c), F.col("lo").alias(f"lo_{c}"), F.col("hi").alias(f"hi_{c}")) for c in ("i", "j"))
+    units = one.join(two, "bucket").where("i <= j AND NOT (lo_i = hi_i AND lo_j = hi_j AND lo_i = lo_j)")
+    units = units.select("bucket", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"))
+    dealt = placed.join(units, ["bucket", "tile"]).select("bucket", "i", "j", "tile", "node", "root", "samples")
+    dealt = dealt.repartition(F.col("bucket"), F.col("i"), F.col("j")).sortWithinPartitions("bucket", "i", "j", "tile")
+
+    def compare(batches):
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
+            keys = np.stack([table.column(c).to_numpy() for c in ("bucket", "i", "j")])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            last = int(cuts[-1]) if len(cuts) else 0
+            if last:
+                yield compared(table.slice(0, last), [0, *cuts.tolist()])
+            rest = table.slice(last)  # a unit may go on in the next batch
+        if rest is not None and rest.num_rows:
+            yield compared(rest, [0, rest.num_rows])
+
+    def compared(table, cuts):
+        node, root = (table.column(c).to_pylist() for c in ("node", "root"))
+        held = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint16).reshape(-1, SAMPLES)
+        component = np.unique(np.array(root, dtype=object), return_inverse=True)[1]
+        first, tile = table.column("i").to_numpy(), table.column("tile").to_numpy()
+        out = []
+        for start, stop in zip(cuts, cuts[1:]):
+            middle = start + int((tile[start:stop] == first[start]).sum())
+            alike = middle == stop  # a tile with itself
+            other = start if alike else middle
+            n = agreeing(held[start:middle], held[other:stop])
+            near = (n >= AGREEING) & (component[start:middle][:, None] != component[other:stop][None, :])
+            for x, y in zip(*np.nonzero(np.triu(near) if alike else near)):
+                pair = sorted(((node[start + x], root[start + x]), (node[other + y], root[other + y])))
+                out.append((pair[0][0], pair[1][0], pair[0][1], pair[1][1], int(n[x, y])))
+        columns = list(zip(*out)) or [[]] * 5
+        types = [pa.binary()] * 4 + [pa.int32()]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["a", "b", "root_a", "root_b", "n"])
+
+    found = dealt.mapInArrow(compare, "a binary, b binary, root_a binary, root_b binary, n int")
+    return cut_lineage(found.distinct())
+
+
 def weighted_jaccard(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> float:
     """Sum of smaller weights over sum of larger weights of two bags."""
     place, hit = locate(left[0], right[0])
@@ -346,20 +428,33 @@ def classes(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     )
     buckets = shared_buckets(nodes)
     links, tested, roots, held = None, None, None, None
-    for turn in range(ROUNDS):
-        pairs = candidate_pairs(buckets, roots, turn)
-        if turn == 0:
-            pairs = pairs.union(neighbours(buckets)).distinct()
+
+    def decide(pairs: DataFrame) -> bool:
+        """Verify pairs not tested so far and merge components; whether there were any."""
+        nonlocal links, tested, roots, held
         pairs = cut_lineage(pairs if tested is None else pairs.join(if_small(tested), ["a", "b"], "left_anti"))
         if pairs.isEmpty():
-            break
+            return False
         held = held or node_texts(docs, nodes, buckets)
         new = verified(pairs, held, weights, similarity)
-        if new.isEmpty():
-            break
-        links = new if links is None else cut_lineage(links.union(new))
         tested = pairs if tested is None else cut_lineage(tested.union(pairs))
-        roots = connected_components(links)
+        if not new.isEmpty():
+            links = new if links is None else cut_lineage(links.union(new))
+            roots = connected_components(links)
+        return True
+
+    for turn in range(ROUNDS):
+        pairs = candidate_pairs(buckets, roots, turn)
+        if turn == 0:
+            pairs = pairs.union(neighbours(buckets)).distinct()
+        if not decide(pairs) and turn == 0:
+            return _members(signed, roots)  # no bucket has two nodes
+    rest = cut_lineage(open_pairs(buckets, nodes, roots).join(if_small(tested), ["a", "b"], "left_anti"))
+    # the likeliest pair of two components first: where it links them, their other pairs need no verifying
+    best = rest.groupBy("root_a", "root_b").agg(F.max_by(F.struct("a", "b"), F.struct("n", "a", "b")).alias("best"))
+    if decide(best.select("best.a", "best.b").distinct()):
+        rest = with_roots(with_roots(rest.select("a", "b"), roots, "a", "of_a"), roots, "b", "of_b")
+        decide(rest.where(F.col("of_a") != F.col("of_b")).select("a", "b"))
     return _members(signed, roots)
 
 
