@@ -133,6 +133,25 @@ def test_all_similar_pairs_of_a_bucket_are_linked(spark):
     assert {r["doc_id"]: r["class_id"] for r in near_dups.digest(docs).collect()} == dict(enumerate(root))
 
 
+def test_neighbours_meet_across_ranges(spark):
+    rows = [(5, k, k, b"%03d" % k) for k in range(100)] + [(6, k, k, b"%03d" % (200 + k)) for k in range(100)]
+    buckets = spark.createDataFrame(rows, "bucket long, then long, next long, node binary")
+    got = {(int(bytes(r["a"])), int(bytes(r["b"]))) for r in near_dups.neighbours(buckets).collect()}
+    assert got == {(s + k, s + k + 1) for s in (0, 200) for k in range(99)}
+
+
+def test_clusters_in_one_bucket_are_compared_across_tiles(spark):
+    n = near_dups.TILE + 150  # every other member is like the one half the bucket away and none else
+    samples = [np.full(near_dups.SAMPLES, k % (n // 2), np.uint16).tobytes() for k in range(n)]
+    names = [b"%04d" % k for k in range(n)]
+    nodes = spark.createDataFrame(list(zip(names, samples)), "node binary, samples binary")
+    buckets = nodes.select(F.lit(1).cast("long").alias("bucket"), "node")
+    found = near_dups.open_pairs(buckets, nodes, None).collect()
+    assert sorted((int(r["a"]), int(r["b"]), r["n"]) for r in found) == [(k, k + n // 2, near_dups.SAMPLES) for k in range(n // 2)]
+    linked = nodes.where("node > binary('0000')").select("node", F.lit(b"0000").alias("root"))
+    assert near_dups.open_pairs(buckets, nodes, linked).isEmpty()
+
+
 def test_samples_agree_as_often_as_weights_overlap():
     rng = np.random.default_rng(5)
     keys = np.sort(rng.integers(0, 1 << 63, 600, dtype=np.uint64))

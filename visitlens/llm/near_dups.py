@@ -267,11 +267,17 @@ def neighbours(buckets: DataFrame) -> DataFrame:
     """Pairs (a < b) of nodes that follow each other in a bucket sorted by the hashes of the next bands.
 
     Nodes that agree in further bands stand together, so in a large bucket each node meets the
-    ones most like it. Buckets are cut into stored ranges; none has to fit into a task.
+    ones most like it. Buckets are cut into stored ranges; none has to fit into a task. The last
+    row of each range meets the first of the next.
     """
     order = ["bucket", "then", "next", "node"]
     before = F.lag("node").over(Window.partitionBy(SLICE, "bucket").orderBy(*order[1:]))
-    met = store_sliced(buckets.select(*order), order).select("node", before.alias("before")).where(F.col("before").isNotNull())
+    stored = store_sliced(buckets.select(*order), order)
+    inside = stored.select("node", before.alias("before")).where(F.col("before").isNotNull())
+    ends = stored.groupBy(SLICE).agg(F.min(F.struct(*order)).alias("first"), F.max(F.struct(*order)).alias("last"))
+    ends = ends.withColumn("left", F.lag("last").over(Window.orderBy(SLICE)))  # one row per range
+    across = ends.where(F.col("left.bucket") == F.col("first.bucket")).select("first.node", F.col("left.node").alias("before"))
+    met = inside.union(across)
     return met.select(F.least("node", "before").alias("a"), F.greatest("node", "before").alias("b")).distinct()
 
 
