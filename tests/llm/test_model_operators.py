@@ -133,6 +133,11 @@ def test_all_similar_pairs_of_a_bucket_are_linked(spark):
     assert {r["doc_id"]: r["class_id"] for r in near_dups.digest(docs).collect()} == dict(enumerate(root))
 
 
+def test_samples_asked_lose_few_similar_pairs():
+    n = near_dups.SAMPLES
+    assert sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(near_dups.AGREEING)) < 1 / 30_000
+
+
 def test_neighbours_meet_across_ranges(spark):
     rows = [(5, k, k, b"%03d" % k) for k in range(100)] + [(6, k, k, b"%03d" % (200 + k)) for k in range(100)]
     buckets = spark.createDataFrame(rows, "bucket long, then long, next long, node binary")

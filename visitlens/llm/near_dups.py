@@ -52,7 +52,7 @@ SPREAD = 0.1
 BANDS = 12
 ROWS = 4
 SAMPLES = BANDS * ROWS
-AGREEING = 28  # of 48 samples; a pair of similarity 0.8 has fewer with a chance of about 1 in 5,000
+AGREEING = 26  # of 48 samples; a pair of similarity 0.8 has fewer with a chance of about 1 in 75,000
 ROUNDS = 3  # of hubs, before all pairs across components are decided; they change the work, not the result
 TILE = 256  # members of a bucket in a tile
 CHUNK = 2_000_000
