@@ -327,6 +327,24 @@ def test_markup(source, text):
     assert html_text.Page(source).text_below(None) == text
 
 
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ('<p>see <a href="/hidden-valley">the valley</a>, <a href="/p?id=comment">this</a>', "see the valley, this"),
+        ('<div data-hidden="false"><p>a</p><p title="class=ad role=menu">b</p></div>', "a\n\nb"),
+        ("<div data-x=\"a='b' class='ad'\" class=text><p>a</p></div>", "a"),
+        ('<main class="has-sidebar"><p>a</p></main>', "a"),
+        ('<article class="post no-comments"><p>a</p></article>', "a"),
+        ('<article class="comment"><p>a</p></article>', "a"),
+        ('<div class="content with-sidebar"><p>a</p><div class="sidebar-left">s</div><div class="site-footer">f</div></div>', "a"),
+        ('<div class="wrap has-header menu-open"><p>a</p><div class="page-header">h</div></div>', "a"),
+        ('<div><p>a</p><p hidden>b</p><p CLASS = "x ad">c</p><p aria-hidden=true>d</p><p style="display: none">e</p></div>', "a"),
+    ],
+)
+def test_only_real_boilerplate_is_dropped(source, text):
+    assert html_text.Page(source).text_below(None) == text
+
+
 # --- languages
 
 

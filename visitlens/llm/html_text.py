@@ -8,7 +8,9 @@ is joined back, and every page is extracted again: the blocks below the elements
 that path, or of the page's own best container where the path does not occur.
 
 Boilerplate: elements whose tag or class says so (menus, page headers, footers, sidebars,
-notices, adverts, forms, reader comments), scripts, styles, hidden elements, comments.
+notices, adverts, forms, reader comments), scripts, styles, hidden elements, comments. A class or id
+says so as a whole, by its first part ("sidebar-left") or by its last after a known place ("site-footer"),
+not if it tells a state ("has-sidebar", "menu-open"). article and main are only dropped where hidden or by their role.
 
 Defined cases: a null or empty html gives an empty text; a null url belongs to the host ''; broken
 markup is read as far as it goes (unclosed elements end with their parents, stray end tags
@@ -40,9 +42,15 @@ DROPPED_WORDS = frozenset(
     "footer gdpr login menu modal nav navbar navigation newsletter notice notices notification pagination pager popup promo "
     "promotion related respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+PLACES = frozenset("article blog bottom entry global main mobile page post primary secondary site top user".split())
+STATES = frozenset(
+    "active closed collapsed disabled enabled expanded free had has hide hides inactive is layout no non none not off on only open opened "
+    "required show shows visible with without".split()
+)
 DROPPED_ROLES = frozenset("alert banner complementary contentinfo dialog form menu navigation search".split())
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
 STOPS = frozenset("ul ol dl table menu".split())
+HEADERS = frozenset(("header", "masthead"))
 MAIN = frozenset(("article", "main"))
 SALTS = 64
 
@@ -54,10 +62,19 @@ TOKEN = re.compile(
     r"|<[!?][^>]*+>",
     re.IGNORECASE | re.DOTALL,
 )
-ATTRIBUTE = re.compile(r"(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
 WORD = re.compile(r"[a-z]+")
 
 
+def says(tokens: list[str], words: frozenset[str]) -> bool:
+    """Whether one of the classes or ids names one of the words."""
+    for token in tokens:
+        parts = WORD.findall(token)
+        if parts and (parts[0] in words or parts[-1] in words and parts[0] in PLACES) and STATES.isdisjoint(parts):
+            return True
+    return False
+
+
 class Page:
     """Elements (name, parent) and blocks (element, text, characters in links) of a page."""
 
@@ -136,12 +153,13 @@ class Page:
             return False
         if tag in DROPPED_TAGS:
             return True
-        words = set(WORD.findall(found.get("class", ""))) | set(WORD.findall(found.get("id", "")))
-        if tag == "header" or "header" in words or "masthead" in words:
-            if not any(self.tags[i] in MAIN for i in self._stack) and not words & {"article", "post", "entry", "story"}:
+        named = f"{found.get('class', '')} {found.get('id', '')}"
+        tokens = [] if tag in MAIN else named.split()
+        if tag == "header" or says(tokens, HEADERS):
+            if not any(self.tags[i] in MAIN for i in self._stack) and not {"article", "post", "entry", "story"} & set(WORD.findall(named)):
                 return True
         hidden = "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
-        return bool(words & DROPPED_WORDS) or found.get("role") in DROPPED_ROLES or hidden
+        return says(tokens, DROPPED_WORDS) or found.get("role") in DROPPED_ROLES or hidden
 
     def _close_implied(self, tag: str) -> None:
         """A block ends an open paragraph; items and cells end the one before them."""
