@@ -2,8 +2,9 @@
 
 Keys of lines are hashed to 128 bits, cut into ranges by (hash, document) with a secondary
 sort by document (largest first) and position, and stored. Range borders fall between
-documents, so a hash that a third of all documents holds spreads over many ranges, and each
-range yields one partial row per hash while it streams by. What comes back per document is a
+documents, so a hash that a third of all documents holds spreads over many ranges. A hash
+aggregation per (range, hash, document), not a scan in the stored order, tells the documents that hold it;
+one partial row per range and hash is then summed up. What comes back per document is a
 run-length encoded bitmap of the lines that stay, not text.
 
 Defined cases: a null or empty text is one empty line. Rows with equal doc_id count as one
@@ -47,8 +48,8 @@ def line_table(docs: DataFrame, min_chars: int) -> DataFrame:
 def shared_keys(lines: DataFrame, min_docs: int) -> DataFrame:
     """Hashes held by at least ``min_docs`` documents, with the largest document that holds each.
 
-    Within a range the rows of a document follow each other, so a document's first
-    occurrence is where the one before it differs; ranges do not share (hash, document) pairs.
+    Repeats within a document are folded by a hash aggregation, which does not use the stored order;
+    ranges do not share (hash, document) pairs, so the counts of the ranges add up.
     """
     holders = lines.groupBy("slice", "h1", "h2", "doc").agg(F.min("pos").alias("first"))
     ranges = holders.groupBy("slice", "h1", "h2").agg(F.count("first").alias("docs"), F.max("doc").alias("keeper"))
