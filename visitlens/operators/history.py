@@ -149,14 +149,14 @@ def add_history(
         _last_of_previous_entity(df if source is None else source, visits, *f.across) for f in features if f.across
     ]
 
-    out = _plain(df.where(~heavy.matches()) if heavy else df, tracks, firsts, visits)
+    rest, hot = heavy.split(df) if heavy else (df, None)
+    out = _plain(rest, tracks, firsts, visits)
     for table in across:
         out = out.join(table, visits.entity, "left")
     if heavy:
-        hot = cut_lineage(df.where(heavy.matches()))
-        split = _split(hot, tracks, firsts, visits, slices)
+        split = _split(cut_lineage(hot), tracks, firsts, visits, slices)
         for table in across:
-            split = _attach_small(split, table.where(heavy.matches()), visits)
+            split = _attach_small(split, heavy.split(table)[1], visits)
         out = out.unionByName(split)
     return out.select(*df.columns, *[f.result.alias(f.name) for f in features])
 
