@@ -49,7 +49,7 @@ def labels(spark):
 @pytest.fixture(scope="session")
 def duck(data):
     con = duckdb.connect()
-    for name in ("documents", "pages", "labels"):
+    for name in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{data}/{name}.parquet')")
     return con
 

@@ -4,7 +4,21 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from visitlens.llm import exact_dedup, html_text, kneser_ney, language, line_dedup, mixing, near_dups, pieces, quality_rules, warc
+from visitlens.llm import (
+    alignment,
+    exact_dedup,
+    hard_negatives,
+    html_text,
+    kneser_ney,
+    language,
+    license_notices,
+    line_dedup,
+    mixing,
+    near_dups,
+    pieces,
+    quality_rules,
+    warc,
+)
 from visitlens.llm.common import table
 
 
@@ -48,11 +62,41 @@ def op10_mixing(spark, folder):
     return mixing.digest(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_near_dups, op3_kneser_ney, op4_exact_dedup, op5_pieces, op6_html_text, op7_language, op8_line_dedup, op9_warc, op10_mixing)}
+def op11_license_notices(spark, folder):
+    return license_notices.digest(table(spark, folder, "documents"))
+
+
+def op12_alignment(spark, folder, byte_file=public_tokenizers.path("byte_bpe_50k.json"), piece_file=public_tokenizers.path("piece_bpe_32k.model")):
+    return alignment.digest(table(spark, folder, "documents"), byte_file, piece_file)
+
+
+def op13_hard_negatives(spark, folder):
+    return hard_negatives.digest(table(spark, folder, "embeddings"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op2_near_dups,
+        op3_kneser_ney,
+        op4_exact_dedup,
+        op5_pieces,
+        op6_html_text,
+        op7_language,
+        op8_line_dedup,
+        op9_warc,
+        op10_mixing,
+        op11_license_notices,
+        op12_alignment,
+        op13_hard_negatives,
+    )
+}
 
 ORACLE = {
     "op4_exact_dedup": exact_dedup.SQL,
     "op8_line_dedup": line_dedup.SQL,
     "op9_warc": warc.SQL,
     "op10_mixing": mixing.SQL,
+    "op13_hard_negatives": hard_negatives.SQL,
 }
