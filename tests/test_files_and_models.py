@@ -9,11 +9,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from visitlens.plans.assemble import assemble_files
-from visitlens.plans.ensemble import ensemble_files
+from visitlens.plans.ensemble import ensemble_files, ensemble_run
+from visitlens.plans.features import FeatureTable
 from visitlens.plans.models import run_models
 from visitlens.plans.recipes import CONFIGS, HELD_OUT_CAMPS, RECIPES
 from visitlens.plans import training
 from visitlens.sources import files
+from visitlens.sources.checked import read_checked, write_rejects
 
 
 def write_csv(path, header, rows):
@@ -167,7 +169,7 @@ def test_running_margin_equals_model_margin(spark):
     assert dict(known.aucs) == pytest.approx(extended)
     assert (chosen.rounds, chosen.auc) == (training.best_round(list(extended.items()), 30).rounds, pytest.approx(max(extended.values())))
 
-    names = training.feature_map(vectors)
+    names = training.feature_map(FeatureTable(vectors, [], ["a", "b"], [], [], []))
     assert [tuple(r) for r in names.collect()] == [(0, "a", "q"), (1, "b", "q")]
     shares = training.feature_importance(model, names).collect()
     assert sum(r["split_share"] for r in shares) == pytest.approx(1)
@@ -211,3 +213,126 @@ def test_recipe_names_are_as_stated():
     assert set(RECIPES["R6"].features) - set(RECIPES["R5"].features) == {"last_1_target", "last_2_target"}
     assert set(RECIPES["R7"].features) - set(RECIPES["R1"].features) == {"camp_time"}
     assert set(RECIPES["R4"].features) - set(RECIPES["R1"].features) == {"number_of_camps_attended", "camp_time"}
+
+
+def test_equal_fits_are_grown_once(spark, monkeypatch):
+    """Models 1 and 2 share one curve, long enough for the longer patience, and their choices are their own."""
+    rows = [(float((i * i * 31 + i) % 97 % 2), float(i % 7), float(i * 31 % 11), True, i) for i in range(300)]
+    from pyspark.ml.feature import VectorAssembler
+
+    df = spark.createDataFrame([*rows, (None, 1.0, 2.0, False, 300)], "target double, a double, b double, is_train boolean, row_id bigint")
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    fits = []
+    grow = training.GBTClassifier.fit
+    monkeypatch.setattr(training.GBTClassifier, "fit", lambda self, rows: fits.append(self.getMaxIter()) or grow(self, rows))
+    pair = [CONFIGS["model1"], CONFIGS["model2"]]
+    together = training.sweep({"R1": vectors}.get, pair, {"R1": F.col("a") >= 5}.get, ["row_id"], max_rounds=6, depth=2)
+    assert [t.config.model for t in together] == ["model1", "model2"]
+    assert len(fits) == 2 and fits[0] == 6
+    alone = [training.train_and_score(vectors, c, F.col("a") >= 5, ["row_id"], 6, 2) for c in pair]
+    for one, other in zip(together, alone):
+        assert (one.rounds, one.auc) == (other.rounds, other.auc)
+        assert one.predictions.collect() == other.predictions.collect()
+
+
+def test_the_longest_patience_extends_a_shared_curve(spark):
+    rows = [(float((i * i * 31 + i) % 97 % 2), float(i % 7), float(i * 31 % 11)) for i in range(300)]
+    from pyspark.ml.feature import VectorAssembler
+
+    df = spark.createDataFrame(rows, "target double, a double, b double")
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    train, valid = vectors.where("a < 5"), vectors.where("a >= 5")
+    short, shared = training.choose_rounds(train, valid, CONFIGS["model1"], 200, 2, patiences=[60])
+    _, own = training.choose_rounds(train, valid, CONFIGS["model1"], 200, 2)
+    assert short == training.best_round(own.aucs, 30)
+    assert training.best_round(shared.aucs, 60).stalled or len(shared.aucs) == 200
+
+
+def test_passes_write_no_features(spark):
+    """What a pass adds is a table of margins by row id, without vectors."""
+    rows = [(i, float(i % 2), float(i % 7)) for i in range(200)]
+    from pyspark.ml.feature import VectorAssembler
+
+    df = spark.createDataFrame(rows, "row_id bigint, target double, a double")
+    vectors = VectorAssembler(inputCols=["a"], outputCol="features").transform(df)
+    curve = training.Curve.start(vectors).extend(training.classifier(CONFIGS["model1"], 4, 2).fit(vectors), 2)
+    assert curve.margins.columns == ["_id", "_margin"] and curve.margins.count() == 200
+    assert curve.vectors.count() == 200
+
+
+def test_a_broken_run_is_refused_and_leftovers_are_dropped(spark, tmp_path):
+    folder = str(tmp_path)
+    rows = spark.createDataFrame([(1, 5, 0.2)], "Patient_ID bigint, Health_Camp_ID bigint, Outcome double")
+    numbers = spark.createDataFrame([(0.5,)], "auc double")
+    with pytest.raises(ValueError, match="no finished run"):
+        files.read_predictions(spark, folder, "r")
+    files.open_run(spark, folder, "r")
+    for model in ("model1", "model2"):
+        files.write_predictions(rows, numbers, folder, "r", model)
+    with pytest.raises(ValueError, match="not finished"):
+        ensemble_run(spark, folder, "r", f"{folder}/mean", ["Patient_ID"])
+    files.close_run(spark, folder, "r", ["model1", "model2"])
+    assert files.read_predictions(spark, folder, "r").count() == 2
+    files.open_run(spark, folder, "r")
+    files.write_predictions(rows.withColumn("Outcome", F.lit(0.6)), numbers, folder, "r", "model1")
+    with pytest.raises(ValueError, match="no predictions of model3"):
+        files.close_run(spark, folder, "r", ["model1", "model3"])
+    files.close_run(spark, folder, "r", ["model1"])
+    assert [(r["model"], r["Outcome"]) for r in files.read_predictions(spark, folder, "r").collect()] == [("model1", 0.6)]
+    files.write_predictions(rows.union(rows), numbers, folder, "r", "model1")
+    with pytest.raises(ValueError, match="differ from the manifest"):
+        files.read_predictions(spark, folder, "r")
+
+
+def test_files_of_several_headers_are_stacked_by_name(spark, tmp_path):
+    folder = str(tmp_path / "csv")
+    write_csv(f"{folder}/81_model1.csv", ["Patient_ID", "Health_Camp_ID", "Outcome"], [[1, 5, 0.2], [2, 5, 0.4]])
+    write_csv(f"{folder}/82_model2.csv", ["Outcome", "Patient_ID", "Health_Camp_ID"], [[0.4, 1, 5], [0.8, 2, 5]])
+    write_csv(f"{folder}/83_model3.csv", ["Outcome", "note, quoted", "Health_Camp_ID", "Patient_ID"], [[0.6, "a,b", 5, 1]])
+    write_csv(f"{folder}/84_model4.csv", ["Patient_ID", "Health_Camp_ID", "Outcome"], [[2, 5, 0.6]])
+    assert len(files.file_headers(spark, folder, "*model*")) == 3
+    target = str(tmp_path / "mean")
+    ensemble_files(spark, folder, target, "parquet")
+    got = {r["Patient_ID"]: r["Outcome"] for r in spark.read.parquet(target).collect()}
+    assert got == {1: pytest.approx(0.4), 2: pytest.approx(0.6)}
+    write_csv(f"{folder}/85_model5.csv", ["Patient_ID", "Outcome"], [[2, 0.6]])
+    with pytest.raises(ValueError, match="no column Health_Camp_ID"):
+        files.read_prediction_files(spark, folder)
+
+
+def test_broken_records_are_set_apart(spark, tmp_path):
+    path = str(tmp_path / "in" / "a.csv")
+    rows = [["1", "2.5", "2005-09-10", "x"], ["two", "1.0", "2005-09-10", "x"], ["3", "1.5"], ["4", "", "10.09.2005", "y"], ["5", "", "", ""]]
+    write_csv(path, ["k", "v", "d", "other"], rows)
+    checked = read_checked(spark, path, {"k": "bigint", "v": "double"}, ["d"], "row_id")
+    assert [tuple(r) for r in checked.rows.orderBy("row_id").collect()] == [
+        (0, 1, 2.5, dt.datetime(2005, 9, 10), "x"),
+        (4, 5, None, None, None),
+    ]
+    got = sorted((r["record"], r["reason"]) for r in checked.rejects.collect())
+    assert got == [("3,1.5", "fields or types"), ("4,,10.09.2005,y", "date of d"), ("two,1.0,2005-09-10,x", "fields or types")]
+    assert {r["file"] for r in checked.rejects.collect()} == {"a.csv"}
+    assert (checked.n_rows, checked.n_rejected) == (2, 3)
+    with pytest.raises(ValueError, match="has no column z"):
+        read_checked(spark, path, {"k": "bigint"}, required=["z"])
+    with pytest.raises(ValueError, match="too many rejected records"):
+        write_rejects(spark, {"t": checked}, str(tmp_path / "rejected"), 0.1)
+    assert spark.read.parquet(str(tmp_path / "rejected")).groupBy("table").count().collect()[0]["count"] == 3
+    write_rejects(spark, {"t": checked}, str(tmp_path / "rejected"), 0.9)
+    empty = str(tmp_path / "in" / "none.csv")
+    write_csv(empty, ["k", "v", "d", "other"], [])
+    assert read_checked(spark, empty, {"k": "bigint"}, ["d"], "row_id").rows.count() == 0
+
+
+def test_assembly_goes_on_without_broken_records(spark, camp_files, tmp_path):
+    import shutil
+
+    folder = str(tmp_path / "camps")
+    shutil.copytree(camp_files, folder)
+    with open(f"{folder}/Train/Train.csv", "a") as f:
+        f.write("not a number,6570,10-Sep-05,1,0,1,2\n5,6570\n")
+    assemble_files(spark, folder, str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out" / "train")).count() == 900
+    assert spark.read.parquet(str(tmp_path / "out" / "rejected")).count() == 2
+    with pytest.raises(ValueError, match="too many rejected"):
+        assemble_files(spark, folder, str(tmp_path / "out2"), most_rejected=0.001)

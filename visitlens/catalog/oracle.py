@@ -185,6 +185,43 @@ def _feature_table(name: str) -> str:
     )
 
 
+def _feature_map(name: str) -> str:
+    """Slots of the vector: numeric columns in table order, then the levels of each categorical column in order."""
+    numeric = ["Var1", "Var2", "Var4", "Var5", "CD_Category3", "PD_Balance"]
+    numeric += [f"{c}_{p}" for c in DATES for p in PARTS] + list(RECIPES[name].features)
+    levels = ("CD_Category1", "CD_Category2", "PD_Segment")
+    listed = ", ".join(f"'{c}'" for c in numeric)
+    union = " UNION ".join(f"SELECT {i} AS n, '{c}' AS c, \"{c}\" AS level FROM f" for i, c in enumerate(levels))
+    return f"""
+        WITH f AS ({_feature_table(name)}),
+        slots AS (SELECT 0 AS part, generate_subscripts([{listed}], 1) AS n, '' AS level, unnest([{listed}]) AS feature
+                  UNION ALL SELECT 1, n, level, c || '_hot_' || level FROM ({union}))
+        SELECT CAST(row_number() OVER (ORDER BY part, n, level) - 1 AS BIGINT) AS position, feature, 'q' AS type FROM slots"""
+
+
+def _repeated_attendance() -> str:
+    """Ids are the order's key times the product of the most records per pair, plus the copy's number."""
+    pair = '"Patient_ID", "Health_Camp_ID"'
+    records = f"""
+        r1 AS (SELECT *, row_number() OVER (PARTITION BY {pair} ORDER BY "F_Health_Score") - 1 AS c1 FROM (
+          SELECT o_custkey AS "Patient_ID", camp AS "Health_Camp_ID", round(o_totalprice / 1e6, 6) AS "F_Health_Score"
+          FROM o WHERE o_orderstatus = 'F')),
+        r2 AS (SELECT *, row_number() OVER (PARTITION BY {pair} ORDER BY "S_Health_Score") - 1 AS c2 FROM (
+          SELECT o_custkey AS "Patient_ID", camp AS "Health_Camp_ID", round(o_totalprice / 1e6, 6) AS "S_Health_Score"
+          FROM o WHERE o_orderstatus = 'O')),
+        most AS (SELECT (SELECT max(c1) + 1 FROM r1) AS m1, (SELECT max(c2) + 1 FROM r2) AS m2)"""
+    attended = '"F_Health_Score" IS NOT NULL OR "S_Health_Score" IS NOT NULL OR coalesce("T_Number_of_stall_visited" >= 1, false)'
+    return _roles(
+        f"""SELECT row_id * m1 * m2 + coalesce(c1, 0) * m2 + coalesce(c2, 0) AS row_id, {pair}, is_train, {ATTENDED},
+                   CASE WHEN {attended} THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS target
+            FROM reg LEFT JOIN r1 USING ({pair}) LEFT JOIN r2 USING ({pair}) LEFT JOIN a3 USING ({pair}), most
+            WHERE is_train
+            UNION ALL
+            SELECT row_id * m1 * m2, {pair}, is_train, NULL, NULL, NULL, NULL FROM reg, most WHERE NOT is_train""",
+        records,
+    )
+
+
 SCORES = """
 scores AS (
   SELECT row_id, "Patient_ID", "Health_Camp_ID", unnest(['model1', 'model2', 'model3']) AS model,
@@ -255,6 +292,16 @@ ORACLE: dict[str, str] = {
     "scan_registrations": _roles(f"SELECT {REG_COLUMNS} FROM reg"),
     "table_shapes": _shapes(),
     "prefix_columns": _roles("SELECT * FROM a2"),
+    "prefix_camps": _roles("SELECT * FROM camp"),
+    "prefix_patients": _roles("SELECT * FROM patient"),
+    "prefix_first": _roles("SELECT * FROM a1"),
+    "prefix_third": _roles("SELECT * FROM a3"),
+    "join_repeated_attendance": _repeated_attendance(),
+    "people_in_camp_sketch": _roles(
+        """SELECT "Health_Camp_ID", count(DISTINCT "Patient_ID") AS num_people, true AS within_bound FROM reg GROUP BY 1
+           UNION ALL SELECT CAST(NULL AS BIGINT), count(DISTINCT "Patient_ID"), true FROM reg"""
+    ),
+    "feature_map": _feature_map("R1"),
     "union_train_test": _roles(f"SELECT row_id, is_train, target, {ATTENDED} FROM stacked"),
     "split_union": _roles("SELECT row_id, CASE WHEN is_train THEN 'train' ELSE 'test' END AS side FROM reg"),
     "join_dimensions": _roles(f"SELECT {DIM_COLUMNS} FROM dims"),

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from visitlens.functions.calendar import date_parts, days_between
 from visitlens.functions.values import fill_levels, fill_numbers, null_out
 from visitlens.operators import camps as camp_ops
-from visitlens.operators import columns, counts, encode, metrics, ordered, split
+from visitlens.operators import columns, counts, encode, metrics, ordered, sketches, split
 from visitlens.operators import history as h
 from visitlens.operators.skew import find_heavy_keys, left_join
 from visitlens.plans import assemble as asm
@@ -51,7 +51,7 @@ def side_tables(spark: SparkSession, d: str) -> dict[str, DataFrame]:
 
 def assembled(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, dict]:
     heavy = asm.heavy_visit_keys(roles.registrations(spark, d), V)
-    train, test = asm.assemble(*roles.train_test(spark, d), side_tables(spark, d), V, heavy)
+    train, test = asm.assemble(*roles.train_test(spark, d), side_tables(spark, d), V, heavy, unique_pairs=True)
     return train, test, heavy
 
 
@@ -81,8 +81,11 @@ def table_shapes(spark: SparkSession, d: str) -> DataFrame:
     return columns.table_shapes({name: roles.table(spark, d, name) for name in roles.TABLES})
 
 
-def prefix_columns(spark: SparkSession, d: str) -> DataFrame:
-    return asm.prefixed(side_tables(spark, d), V)["second"]
+def prefixed_table(name: str) -> Query:
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        return asm.prefixed(side_tables(spark, d), V)[name]
+
+    return query
 
 
 def union_train_test(spark: SparkSession, d: str) -> DataFrame:
@@ -115,6 +118,14 @@ def join_attendance(spark: SparkSession, d: str) -> DataFrame:
     return asm.join_attendance(train, [side["first"], side["second"], side["third"]], V, heavy)
 
 
+def join_repeated_attendance(spark: SparkSession, d: str) -> DataFrame:
+    """Attendance records as they come, several for one (patient, camp): every joined copy has its own row id."""
+    side = {**side_tables(spark, d), "first": roles.attendance_records(spark, d, "F"), "second": roles.attendance_records(spark, d, "O", "Health Score")}
+    train, test = asm.assemble(*roles.train_test(spark, d), side, V)
+    both = columns.union_train_test(train, test)
+    return both.select("row_id", V.entity, V.group, "is_train", asm.SCORE_1, asm.SCORE_2, asm.STALLS, "target")
+
+
 def derive_target(spark: SparkSession, d: str) -> DataFrame:
     train, _, _ = assembled(spark, d)
     return train
@@ -297,6 +308,19 @@ def people_per_day(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def people_in_camp_sketch(spark: SparkSession, d: str) -> DataFrame:
+    """Per camp and over all camps, from sketches by (camp, day) that are merged: is the estimate within four standard errors?"""
+    rows = roles.registrations(spark, d)
+    sketches_of_days = sketches.store_sketches(rows, [V.group, V.time], V.entity)
+    whole = sketches_of_days.withColumn(V.group, F.lit(None).cast("bigint"))
+    merged = sketches.merge_sketches(sketches_of_days.unionByName(whole), [V.group])
+    exact = rows.unionByName(rows.withColumn(V.group, F.lit(None).cast("bigint"))).groupBy(V.group)
+    counted = exact.agg(F.count_distinct(V.entity).cast("bigint").alias("num_people"))
+    bound = F.greatest(F.lit(1.0), 4 * sketches.standard_error() * F.col("num_people"))
+    both = sketches.estimates(merged, "estimate").withColumnRenamed(V.group, "_camp").join(counted, F.col("_camp").eqNullSafe(F.col(V.group)))
+    return both.select(V.group, "num_people", (F.abs(F.col("estimate") - F.col("num_people")) <= bound).alias("within_bound"))
+
+
 def users_per_day(spark: SparkSession, d: str) -> DataFrame:
     events = roles.table(spark, d, "events").select(F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day"), "user_id")
     return counts.distinct_per_key(events, "day", "user_id", "num_users")
@@ -453,7 +477,7 @@ KEYS = [V.row_id, V.entity, V.group]
 
 
 def feature_map(spark: SparkSession, d: str) -> DataFrame:
-    return training.feature_map(_vectors(spark, d))
+    return training.feature_map(features_of(spark, d, RECIPES["R1"]).stored())
 
 
 def train_gbt(spark: SparkSession, d: str) -> DataFrame:
@@ -469,9 +493,11 @@ def rounds_by_auc(spark: SparkSession, d: str) -> DataFrame:
 
 
 def feature_importance(spark: SparkSession, d: str) -> DataFrame:
-    vectors = _vectors(spark, d, "R4")
+    table = features_of(spark, d, RECIPES["R4"]).stored()
+    levels = training.levels_of(table)
+    vectors = training.vectorise(table, levels)
     trained = training.train_and_score(vectors, CONFIGS["model4"], _held_out(vectors, "group"), KEYS)
-    return training.feature_importance(trained.model, training.feature_map(vectors))
+    return training.feature_importance(trained.model, training.feature_map(table, levels))
 
 
 def sweep(spark: SparkSession, d: str) -> DataFrame:
@@ -489,11 +515,16 @@ QUERIES: dict[str, Query] = {
     "hot_key_join": hot_key_join,
     "mask_with_nulls": mask_with_nulls,
     "table_shapes": table_shapes,
-    "prefix_columns": prefix_columns,
+    "prefix_columns": prefixed_table("second"),
+    "prefix_camps": prefixed_table("camps"),
+    "prefix_patients": prefixed_table("patients"),
+    "prefix_first": prefixed_table("first"),
+    "prefix_third": prefixed_table("third"),
     "union_train_test": union_train_test,
     "split_union": split_union,
     "join_dimensions": join_dimensions,
     "join_attendance": join_attendance,
+    "join_repeated_attendance": join_repeated_attendance,
     "derive_target": derive_target,
     "null_out_value": null_out_value,
     "value_counts": value_counts,
@@ -519,6 +550,7 @@ QUERIES: dict[str, Query] = {
     "global_lag_events": global_lag_events,
     "people_in_camp": people_in_camp,
     "people_per_day": people_per_day,
+    "people_in_camp_sketch": people_in_camp_sketch,
     "users_per_day": users_per_day,
     "camp_bounds": camp_bounds,
     "next_camp_in": next_camp_in,

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.operators.columns import prefix_columns
+from visitlens.operators.copies import most_per_key, number_duplicates, spread_ids, wide_ids
 from visitlens.operators.history import Visits
-from visitlens.operators.ordered import row_number
 from visitlens.operators.skew import HeavyKeys, find_heavy_keys, left_join
-from visitlens.session import cut_lineage
-from visitlens.sources.files import read_csv, write_table
+from visitlens.sources.checked import Checked, read_checked, write_rejects
+from visitlens.sources.files import write_table
 
 SCORE_1 = "F_Health_Score"
 SCORE_2 = "S_Health_Score"
@@ -29,6 +29,37 @@ FILES = {
     "third": ("Train/Third_Health_Camp_Attended.csv", (), False),
 }
 
+# Types of the columns that the steps name, and of the known others; dates are read by layout.
+_PAIR = {"Patient_ID": "bigint", "Health_Camp_ID": "bigint"}
+_REGISTRATION = {**_PAIR, "Registration_Date": "string", **{f"Var{i}": "bigint" for i in range(1, 6)}}
+TYPES = {
+    "train": _REGISTRATION,
+    "test": _REGISTRATION,
+    "camps": {
+        "Health_Camp_ID": "bigint",
+        "Camp_Start_Date": "string",
+        "Camp_End_Date": "string",
+        "Category1": "string",
+        "Category2": "string",
+        "Category3": "bigint",
+    },
+    "patients": {
+        "Patient_ID": "bigint",
+        "Online_Follower": "bigint",
+        "LinkedIn_Shared": "bigint",
+        "Twitter_Shared": "bigint",
+        "Facebook_Shared": "bigint",
+        "First_Interaction": "string",
+    },
+    "first": {**_PAIR, "Donation": "double", "Health_Score": "double"},
+    "second": {**_PAIR, "Health Score": "double"},
+    "third": {**_PAIR, "Number_of_stall_visited": "bigint", "Last_Stall_Visited_Number": "bigint"},
+}
+ATTENDANCE = ("first", "second", "third")
+
+#: Share of a file's records that may be rejected before the job fails.
+MOST_REJECTED = 0.01
+
 # The unnamed fifth column of the first attendance file, as different readers call it.
 STRAY_COLUMNS = ("Unnamed: 4", "_c4")
 
@@ -75,62 +106,79 @@ def heavy_visit_keys(df: DataFrame, v: Visits = Visits(), **options) -> dict[str
     return dict(zip((v.entity, v.group, v.time, "pair"), found))
 
 
-def has_repeated_keys(tables: list[DataFrame], keys: list[str]) -> bool:
-    repeated = [t.groupBy(*keys).count().where("count > 1").limit(1) for t in tables]
-    return not reduce(DataFrame.unionByName, repeated).isEmpty()
-
-
 def assemble(
     train: DataFrame,
     test: DataFrame,
     tables: dict[str, DataFrame],
     v: Visits = Visits(),
     heavy: dict[str, HeavyKeys] | None = None,
+    unique_pairs: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """The joined training table with its target, and the joined test table without attendance."""
+    """The joined training table with its target, and the joined test table without attendance.
+
+    A (entity, group) pair that stands several times in an attendance table repeats its registrations; row ids
+    of both results are then spread so that every copy has its own (``operators.copies``). ``unique_pairs``
+    says that there are no such pairs, and saves the look.
+    """
     side = prefixed(tables, v)
     if heavy is None:
         keys = [v.entity, v.group, v.time]
         heavy = heavy_visit_keys(train.select(*keys).unionByName(test.select(*keys)), v)
+    pair = [v.entity, v.group]
+    attended = [side[name] for name in ATTENDANCE]
+    most = [1] * len(attended) if unique_pairs else most_per_key(attended, pair)
+    numbered = [number_duplicates(t, pair, f"_copy_{name}", n) for t, name, n in zip(attended, ATTENDANCE, most)]
     joined = join_dimensions(train, side["camps"], side["patients"], v, heavy)
-    joined = join_attendance(joined, [side["first"], side["second"], side["third"]], v, heavy.get("pair"))
-    joined_test = join_dimensions(test, side["camps"], side["patients"], v, heavy)
+    joined = join_attendance(joined, [n.df for n in numbered], v, heavy.get("pair"))
+    joined = spread_ids(joined, v.row_id, numbered)
+    joined_test = join_dimensions(wide_ids(test, v.row_id, numbered), side["camps"], side["patients"], v, heavy)
     return joined.withColumn("target", target()), joined_test
 
 
 def after_train(train: DataFrame, test: DataFrame, v: Visits = Visits()) -> DataFrame:
     """The test table with its row ids, counted from 0, moved behind those of the training table."""
-    offset = train.agg(F.count(F.lit(1)).alias("n")).scalar()
+    offset = train.agg(F.coalesce(F.max(v.row_id) + 1, F.lit(0)).alias("n")).scalar()
     return test.withColumn(v.row_id, F.col(v.row_id) + offset)
 
 
-def renumber(train: DataFrame, test: DataFrame, v: Visits = Visits()) -> DataFrame:
-    """New unique row ids for a training table whose rows have fanned out, in their present order.
+def read_files(spark: SparkSession, folder: str, types: dict[str, dict[str, str]] | None = None) -> dict[str, Checked]:
+    """The seven CSV files with declared types, each with its rejected records.
 
-    Joined copies of a row share its id; they are told apart by the columns that only
-    the training table has.
+    ``types`` adds types of columns, by entry of ``FILES``, to those declared in ``TYPES``; other columns are text.
     """
-    copies = [c for c in train.columns if c not in test.columns and c != "target"]
-    numbered = row_number(train, [v.row_id, *copies], "_new_id")
-    return numbered.drop(v.row_id).withColumnRenamed("_new_id", v.row_id)
+    v = Visits()
+    return {
+        name: read_checked(
+            spark,
+            f"{folder}/{path}",
+            {**TYPES[name], **(types or {}).get(name, {})},
+            dates,
+            v.row_id if numbered else None,
+            required=[c for c in (v.entity, v.group) if c in TYPES[name]],
+        )
+        for name, (path, dates, numbered) in FILES.items()
+    }
 
 
-def assemble_files(spark: SparkSession, folder: str, target_folder: str, schemas: dict | None = None) -> None:
+def assemble_files(
+    spark: SparkSession,
+    folder: str,
+    target_folder: str,
+    types: dict[str, dict[str, str]] | None = None,
+    most_rejected: float = MOST_REJECTED,
+) -> None:
     """Read the seven CSV files, assemble them, and write ``train`` and ``test`` as Parquet.
 
-    ``schemas`` maps an entry of ``FILES`` to its full schema; without one the types
-    are inferred.
+    Records that do not fit their declared types or date layouts are written to ``rejected`` (table, file, line,
+    reason). If a file loses more than the share ``most_rejected`` of its records, the job fails after that.
     """
     v = Visits()
-    frames = {
-        name: read_csv(spark, f"{folder}/{path}", dates, (schemas or {}).get(name), v.row_id if numbered else None)
-        for name, (path, dates, numbered) in FILES.items()
-    }
+    checked = read_files(spark, folder, types)
+    write_rejects(spark, checked, f"{target_folder}/rejected", most_rejected)
+    frames = {name: c.rows for name, c in checked.items()}
     stray = [c for c in STRAY_COLUMNS if c in frames["first"].columns]
     frames["first"] = frames["first"].drop(*stray)
     train, test = assemble(frames.pop("train"), frames.pop("test"), frames, v)
-    if has_repeated_keys([frames[name] for name in ("first", "second", "third")], [v.entity, v.group]):
-        train = renumber(cut_lineage(train), test, v)
     write_table(train, f"{target_folder}/train")
     stored = train.sparkSession.read.parquet(f"{target_folder}/train")
     write_table(after_train(stored, test, v), f"{target_folder}/test")

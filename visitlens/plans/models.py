@@ -12,7 +12,7 @@ from visitlens.plans import training
 from visitlens.plans.ensemble import ensemble_run
 from visitlens.plans.features import all_features, build_features, select_recipe
 from visitlens.plans.recipes import CONFIGS, HELD_OUT_CAMPS, HELD_OUT_ROWS, MAX_DEPTH, MAX_ROUNDS, RECIPES, Config
-from visitlens.sources.files import write_predictions
+from visitlens.sources.files import close_run, open_run, write_predictions
 
 
 def run_models(
@@ -29,9 +29,11 @@ def run_models(
 ) -> list[training.Trained]:
     """Train every configuration on ``folder``/train and /test; write predictions, metrics and their mean.
 
-    All recipes are cut out of one feature table that is built and written once.
+    All recipes are cut out of one feature table that is built and written once. The run's manifest is
+    emptied first and written last, so the mean of a run that broke off is refused.
     """
     v = Visits()
+    open_run(spark, output, run_id)
     keys = [v.row_id, v.entity, v.group]
     train, test = (spark.read.parquet(f"{folder}/{side}") for side in ("train", "test"))
     names = dict.fromkeys(c.recipe for c in configs)
@@ -46,5 +48,6 @@ def run_models(
     trained = training.sweep(vectors.get, configs, splits.get, keys, max_rounds, depth, parallelism)
     for t in trained:
         write_predictions(t.predictions, training.metrics_table([t]), output, run_id, t.config.model)
+    close_run(spark, output, run_id, [c.model for c in configs])
     ensemble_run(spark, output, run_id, f"{output}/ensemble/run_id={run_id}", keys)
     return trained

@@ -6,6 +6,7 @@ import os
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def remove_intermediate(spark: SparkSession) -> None:
@@ -50,12 +51,12 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` to the shared folder once and go on from the written table.
 
     Later passes read only the columns they need, and a lost executor costs no more
-    than reading its part again.
+    than reading its part again. ``schema`` reads it with user-defined types in place of their fields.
     """
     path = f"{shared_folder(df.sparkSession)}/table-{uuid4()}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)

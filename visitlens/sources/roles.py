@@ -115,6 +115,15 @@ def attendance_2(spark: SparkSession, folder: str) -> DataFrame:
     return _attended(spark, folder, "O", ("1-URGENT",)).withColumnRenamed("Score", "Health Score")
 
 
+def attendance_records(spark: SparkSession, folder: str, status: str, name: str = "Health_Score") -> DataFrame:
+    """One attendance record per order of a status: a patient has several in some camps."""
+    return table(spark, folder, "orders").where(F.col("o_orderstatus") == status).select(
+        F.col("o_custkey").alias("Patient_ID"),
+        camp_of("o_orderdate").alias("Health_Camp_ID"),
+        F.round(F.col("o_totalprice") / 1e6, 6).alias(name),
+    )
+
+
 def attendance_3(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").where(F.col("o_orderstatus") == "P")
     stalls = (
