@@ -64,11 +64,16 @@ def _brute(texts, libraries):
                 j += 1
         links.append(found)
         cuts = {hi for _, _, hi in a} & {hi for _, _, hi in b}
-        parts, low = [], 0
+        parts = []
+        rest = [list(a), list(b)]
+        for side_ in rest:
+            side_.reverse()
         for cut in sorted(cuts):
-            ids = [",".join(str(i) for i, lo, hi in s if low <= lo and hi <= cut) for s in (a, b)]
-            parts.append("|".join(ids))
-            low = cut
+            ids = [[], []]
+            for taken, side_ in zip(ids, rest):
+                while side_ and side_[-1][2] <= cut:
+                    taken.append(str(side_.pop()[0]))
+            parts.append("|".join(",".join(taken) for taken in ids))
         groups.append(parts)
     count = Counter(p for found in links for p in found)
     highest = Counter()

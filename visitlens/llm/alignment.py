@@ -164,11 +164,16 @@ class Aligned:
 
     def __init__(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray):
         self.a, self.b = a, b
-        common = np.intersect1d(ends_a, ends_b)
-        self.group_a, self.group_b = np.searchsorted(common, ends_a), np.searchsorted(common, ends_b)
-        self.n_groups = len(common)
-        pieces = np.union1d(ends_a, ends_b)  # each piece between two ends lies in one token of either side
-        self.pairs = a[np.searchsorted(ends_a, pieces)] * SPAN + b[np.searchsorted(ends_b, pieces)]
+        at = np.searchsorted(ends_b, ends_a)  # the B token that holds the last byte of each A token
+        both = ends_b[at] == ends_a
+        ends_group = np.zeros(len(b), dtype=bool)
+        ends_group[at[both]] = True
+        self.group_a, self.group_b = np.cumsum(both) - both, np.cumsum(ends_group) - ends_group
+        self.n_groups = int(both.sum())
+        # a range shared by two tokens ends where the A token ends, or with a B token inside of it
+        inner = np.flatnonzero(~ends_group)
+        over = np.searchsorted(ends_a, ends_b[inner])
+        self.pairs = np.concatenate([a * SPAN + b[at], a[over] * SPAN + b[inner]])
 
     def measures(self) -> tuple[int, int, int, int]:
         return len(self.a), len(self.b), self.n_groups, len(self.pairs)
