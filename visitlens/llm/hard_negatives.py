@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 from visitlens.llm.common import located, on_workers
 from visitlens.session import cut_lineage
 
-#: Rows of a block and anchors of a unit: a few MB each.
-BLOCK_ROWS = 4_096
+#: Rows of a block and anchors of a unit: a few MB each. A small table is cut finer, one block per shuffle
+#: partition, but not below the least: every block returns k rows per window, which must be merged.
+BLOCK_ROWS, LEAST_ROWS = 4_096, 512
 UNIT_ANCHORS = 512
 #: Rows read of every list at a time; doubled from round to round.
 FIRST_STEP = 8
@@ -181,7 +182,8 @@ def mine(rows: DataFrame, anchor: Column, rule: Rule = Rule()) -> DataFrame:
     ``rows`` has id, label and an integer vector, as ``usable`` gives them; ``anchor`` is a predicate on them.
     """
     placed = located(rows, "id", "label", "vector")
-    n_blocks = max(-(-placed.count() // BLOCK_ROWS), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n_rows, partitions = placed.count(), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_blocks = max(1, -(-n_rows // BLOCK_ROWS), min(partitions, -(-n_rows // LEAST_ROWS)))
     block = F.pmod(F.xxhash64("_file", "_row"), F.lit(n_blocks)).cast("int").alias("block")
     blocks = cut_lineage(placed.select("id", "label", "vector", block))
     chosen = blocks.where(anchor)
