@@ -136,6 +136,16 @@ def test_all_similar_pairs_of_a_bucket_are_linked(spark):
 def test_samples_asked_lose_few_similar_pairs():
     n = near_dups.SAMPLES
     assert sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(near_dups.AGREEING)) < 1 / 30_000
+    n = near_dups.LONG
+    assert sum(math.comb(n, k) * 0.8**k * 0.2 ** (n - k) for k in range(near_dups.LONG_AGREEING)) < 1 / 100_000
+
+
+def test_long_words_that_differ_far_inside_differ_in_hash():
+    word = "".join(chr(97 + i % 26) for i in range(9_000))
+    swapped = word[:100] + word[4_196] + word[101:4_196] + word[100] + word[4_197:]
+    first, second, other = (word_hashes(w)[0] for w in (word, swapped, word[:8_999]))
+    assert word[100] != word[4_196] and first != second and first != other
+    assert (word_hashes("ab " + word[:4_096])[1] == word_hashes(word[:4_096])[0])
 
 
 def test_neighbours_meet_across_ranges(spark):
@@ -147,14 +157,28 @@ def test_neighbours_meet_across_ranges(spark):
 
 def test_clusters_in_one_bucket_are_compared_across_tiles(spark):
     n = near_dups.TILE + 150  # every other member is like the one half the bucket away and none else
-    samples = [np.full(near_dups.SAMPLES, k % (n // 2), np.uint16).tobytes() for k in range(n)]
+    samples = [np.full(near_dups.LONG, k % (n // 2), np.uint16).tobytes() for k in range(n)]
     names = [b"%04d" % k for k in range(n)]
     nodes = spark.createDataFrame(list(zip(names, samples)), "node binary, samples binary")
     buckets = nodes.select(F.lit(1).cast("long").alias("bucket"), "node")
-    found = near_dups.open_pairs(buckets, nodes, None).collect()
-    assert sorted((int(r["a"]), int(r["b"]), r["n"]) for r in found) == [(k, k + n // 2, near_dups.SAMPLES) for k in range(n // 2)]
+    alone, none = spark.createDataFrame([], "node binary, root binary"), spark.createDataFrame([], "a binary, b binary")
+    members = near_dups.open_members(buckets, alone)
+    found = near_dups.open_pairs(members, nodes, none).collect()
+    want = [(k, k + n // 2, near_dups.LONG) for k in range(n // 2)]
+    assert sorted((int(r["a"]), int(r["b"]), r["n"]) for r in found) == want
+    known = spark.createDataFrame([(b"%04d" % k, b"%04d" % (k + n // 2)) for k in range(10)], none.schema)
+    assert near_dups.open_pairs(members, nodes, known).count() == len(want) - 10
     linked = nodes.where("node > binary('0000')").select("node", F.lit(b"0000").alias("root"))
-    assert near_dups.open_pairs(buckets, nodes, linked).isEmpty()
+    assert near_dups.open_members(buckets, linked).isEmpty()
+
+
+def test_later_links_merge_known_components(spark):
+    rows = [(b"b", b"a"), (b"d", b"c"), (b"e", b"c")]
+    links = spark.createDataFrame([(b"c", b"a"), (b"x", b"y"), (b"x", b"c")], "root_a binary, root_b binary")
+    roots, changes = near_dups.merged(spark.createDataFrame(rows, "node binary, root binary"), links)
+    got = {bytes(r["node"]).decode(): bytes(r["root"]).decode() for r in roots.collect()}
+    assert got == {"b": "a", "c": "a", "d": "a", "e": "a", "x": "a", "y": "a"}
+    assert {bytes(r["node"]).decode() for r in changes.collect()} == {"c", "x", "y"}
 
 
 def test_samples_agree_as_often_as_weights_overlap():

@@ -16,12 +16,12 @@ sample k is the (shingle, t) with the least ln c - r (t - b + 1). Two documents
 sample with a probability equal to their weighted Jaccard similarity.
 
 Links. Texts with equal words are one node. Nodes that agree in all samples of a band share a
-bucket. A few rounds compare the members of each bucket with a hub, which gathers most
-of a group of near copies into one component at linear cost. Then all pairs of members of a bucket that still
-lie in different components are decided: their samples are compared tile by tile, and pairs
-that agree in enough of them are verified by weighted Jaccard on whole texts. So the classes are
-the components of all similar pairs that share a bucket, whatever the hubs were. Components are
-found in Spark.
+bucket. The members of each bucket meet a hub and their neighbours in the order of the next bands, which
+gathers most of a group of near copies into one component at linear cost. Then all pairs of members of a
+bucket that still lie in different components are decided: their nodes get longer rows of samples, these are
+compared tile by tile, and pairs that agree in enough of them are verified by weighted Jaccard on whole
+texts. So the classes are the components of all similar pairs that share a bucket, whatever the
+hubs were. Components are found in Spark, and later links only merge components found before.
 
 Defined cases: a null text or one without words is never linked and is its own class. Rows with
 equal doc_id and text stay or go together. Null ids are the smallest of a class. Other columns
@@ -53,7 +53,8 @@ BANDS = 12
 ROWS = 4
 SAMPLES = BANDS * ROWS
 AGREEING = 26  # of 48 samples; a pair of similarity 0.8 has fewer with a chance of about 1 in 75,000
-ROUNDS = 3  # of hubs, before all pairs across components are decided; they change the work, not the result
+LONG = 256  # samples of nodes whose pairs are all decided
+LONG_AGREEING = 176  # of 256; a pair of similarity 0.8 has fewer with a chance of about 1 in 100,000
 TILE = 256  # members of a bucket in a tile
 CHUNK = 2_000_000
 _PLACES = np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
@@ -169,37 +170,53 @@ def frequent_shingles(docs: DataFrame) -> Weights:
 class Sampler:
     """Consistent weighted samples of bags; draws come from tables indexed by bits of a hash."""
 
-    def __init__(self, seed: int = 7):
+    BITS = 12  # of the hash for each draw: tables that stay in the processor's nearest cache
+    #: Added to every ln a, which keeps them positive: positive floats are ordered as their bits are.
+    ABOVE = np.float32(64)
+
+    def __init__(self, seed: int = 7, samples: int = SAMPLES):
         rng = np.random.default_rng(seed)
-        size = 1 << 16
+        size = 1 << self.BITS
+        self.count = samples
         self.r = rng.gamma(2.0, 1.0, size).astype(np.float32)
         self.one_by_r = (1 / self.r).astype(np.float32)
-        self.ln_c = np.log(rng.gamma(2.0, 1.0, size)).astype(np.float32)
-        self.b = (np.arange(size) / size).astype(np.float32)
-        self.odd = rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.ln_c = np.log(rng.gamma(2.0, 1.0, size)).astype(np.float32) + self.ABOVE
+        self.rest = (1 - np.arange(size) / size).astype(np.float32)  # 1 - b
+        self.odd = rng.integers(0, 1 << 63, samples, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def block(self, keys: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Samples (bags x SAMPLES) as 32-bit hashes of (shingle, t)."""
-        ln_w = np.log(weights).astype(np.float32)
+        """Samples (bags x count) as 32-bit hashes of (shingle, t)."""
+        n, mask = len(keys), (1 << self.BITS) - 1
+        other = np.flatnonzero(weights != 1)  # a shingle of weight 1 has t = 0, whatever is drawn
+        ln_w = np.log(weights[other]).astype(np.float32)
         low = (keys >> np.uint64(7)).astype(np.uint32)
-        out = np.empty((len(starts), SAMPLES), dtype=np.uint32)
-        for k in range(SAMPLES):
-            z = keys * self.odd[k]
+        held = np.empty((n, 2), dtype=np.uint32)  # as one number: ln a above the hash of what is sampled
+        ordered, ln_a = held.view(np.uint64)[:, 0], held.view(np.float32)[:, 1]
+        z, place = np.empty(n, np.uint64), np.empty(n, np.int64)
+        ln_c, r, rest = (np.empty(n, np.float32) for _ in range(3))
+        out = np.empty((len(starts), self.count), dtype=np.uint32)
+        for k in range(self.count):
+            np.multiply(keys, self.odd[k], out=z)
             z ^= z >> np.uint64(31)
-            bits = z.view(np.uint16).reshape(-1, 4)
-            i, b = bits[:, 3], self.b[bits[:, 1]]
-            t = np.floor(ln_w * self.one_by_r[i] + b)
-            ln_a = self.ln_c[bits[:, 2]] - self.r[i] * (t - b + np.float32(1))
-            # floats in order as unsigned integers, above the hash of what is sampled
-            raw = ln_a.view(np.int32)
-            order = (raw ^ ((raw >> 31) & np.int32(0x7FFFFFFF))).astype(np.int64)
-            held = (order << 32) | (low + t.astype(np.int32).view(np.uint32) * np.uint32(0x9E3779B1))
-            out[:, k] = np.minimum.reduceat(held, starts).astype(np.uint32)
+            for shift, table, drawn in ((50, self.r, r), (37, self.ln_c, ln_c), (24, self.rest, rest)):
+                np.right_shift(z.view(np.int64), shift, out=place)
+                np.bitwise_and(place, mask, out=place)
+                np.take(table, place, out=drawn, mode="clip")
+                if len(other) and table is self.r:
+                    one_by_r = self.one_by_r.take(place[other])
+            held[:, 0] = low
+            np.subtract(ln_c, r * rest, out=ln_a)
+            if len(other):
+                some = rest[other]
+                t = np.floor(ln_w * one_by_r + np.float32(1) - some)
+                held[other, 0] += t.astype(np.int32).view(np.uint32) * np.uint32(0x9E3779B1)
+                ln_a[other] = np.maximum(ln_c[other] - r[other] * (t + some), 0)
+            out[:, k] = np.minimum.reduceat(ordered, starts).astype(np.uint32)
         return out
 
     def samples(self, bags: list[tuple[np.ndarray, np.ndarray]], block: int = 16_384) -> np.ndarray:
         """Rows of samples for bags (shingles, weights) that are not empty."""
-        out, at = np.empty((len(bags), SAMPLES), dtype=np.uint32), 0
+        out, at = np.empty((len(bags), self.count), dtype=np.uint32), 0
         while at < len(bags):
             stop, size = at, 0
             while stop < len(bags) and (stop == at or size + len(bags[stop][0]) <= block):
@@ -281,57 +298,77 @@ def neighbours(buckets: DataFrame) -> DataFrame:
     return met.select(F.least("node", "before").alias("a"), F.greatest("node", "before").alias("b")).distinct()
 
 
-def candidate_pairs(buckets: DataFrame, roots: DataFrame | None, turn: int) -> DataFrame:
+def candidate_pairs(buckets: DataFrame) -> DataFrame:
     """Pairs (a < b) of members of a bucket and its hub.
 
-    The first hub is the node with the largest buckets: the centre of a group of near copies
-    is in most of them. Later rounds draw the hub by hash and only pair across components.
+    The hub is the node with the largest buckets: the centre of a group of near copies is in most of them.
     """
-    if roots is None:
-        rows, rank = buckets.withColumn("root", F.col("node")), F.struct("weight", "node")
-    else:
-        rows = with_roots(buckets.select("bucket", "node"), roots, "node", "root")
-        rank = F.xxhash64(F.lit(turn), "bucket", "node")
-    heads = rows.groupBy("bucket").agg(F.max_by(F.struct("node", "root"), rank).alias("hub"))
-    met = rows.join(heads, "bucket").where(F.col("root") != F.col("hub.root"))
-    return met.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    heads = buckets.groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("hub"))
+    met = buckets.join(heads, "bucket").where(F.col("node") != F.col("hub"))
+    return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def with_roots(rows: DataFrame, roots: DataFrame | None, node: str, root: str) -> DataFrame:
+def with_roots(rows: DataFrame, roots: DataFrame, node: str, root: str) -> DataFrame:
     """``rows`` with the component of a column's nodes; a node without links is its own."""
-    if roots is None:
-        return rows.withColumn(root, F.col(node))
     named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
     met = rows.join(if_small(named), F.col(node) == F.col("_node"), "left")
-    return met.select(*rows.columns, F.coalesce("_root", node).alias(root))
+    kept = [c for c in rows.columns if c != root]
+    return met.select(*kept, F.coalesce("_root", node).alias(root))
+
+
+def merged(roots: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The components after linking some of them (root_a, root_b), and the new root of each that has changed."""
+    changes = connected_components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    return cut_lineage(with_roots(roots, changes, "root", "new").select("node", F.col("new").alias("root")).union(changes)), changes
 
 
 def agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """How many samples each row of ``left`` shares with each row of ``right``."""
     if len(left) * len(right) <= 1_024:
         return (left[:, None, :] == right[None, :, :]).sum(axis=2)
-    out = np.zeros((len(left), len(right)), np.uint8)
-    for k in range(SAMPLES):
+    out = np.zeros((len(left), len(right)), np.uint16)
+    for k in range(left.shape[1]):
         out += left[:, k][:, None] == right[:, k][None, :]
     return out
 
 
-def open_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """All pairs (a < b) of members of a bucket in different components that agree in enough samples.
+def open_members(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+    """(bucket, node, root) of the buckets whose members lie in different components, in stored ranges of that order.
 
-    With the number ``n`` of these and both components; stored. The members of a bucket stand in order of
-    their components and are cut into tiles; all pairs of tiles are compared but those within
-    one component, so a bucket of any size is spread over tasks. Buckets of two are left
-    out: their only pair met in the first round of hubs.
+    Buckets of two are left out: their only pair met as hub and member.
     """
     rows = with_roots(buckets.select("bucket", "node"), roots, "node", "root")
     several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     several = several.where((F.col("size") > 2) & (F.col("lo") != F.col("hi"))).select("bucket")
-    rows = rows.join(several, "bucket").withColumn("one", F.lit(1))
-    stored = store_sliced(rows, ["bucket", "root", "node"])
-    placed = running_sums(stored, {"place": "one"}, ["root", "node"], ["bucket"])
+    return store_sliced(rows.join(several, "bucket"), ["bucket", "root", "node"])
+
+
+def long_samples(held: DataFrame, members: DataFrame, weights: Weights) -> DataFrame:
+    """(node, samples): LONG samples of the members, drawn apart from those of the bands; stored."""
+    shared = held.sparkSession.sparkContext.broadcast(weights)
+    wanted = cut_lineage(members.select(F.col("node").alias("_wanted")).distinct())
+
+    def sign(batches):
+        sampler = Sampler(11, LONG)
+        for batch, start, bags in _bags(batches, CHUNK // 32):
+            samples = sampler.samples([(keys, shared.value.of(keys, counts)) for keys, counts in bags]).astype(np.uint16)
+            node = batch.column(batch.schema.get_field_index("node")).slice(start, len(bags))
+            yield pa.RecordBatch.from_arrays([node, pa.array([row.tobytes() for row in samples], pa.binary())], names=["node", "samples"])
+
+    texts = held.join(if_small(wanted), F.col("node") == F.col("_wanted")).select("node", "text")
+    return cut_lineage(texts.mapInArrow(sign, "node binary, samples binary"))
+
+
+def open_pairs(members: DataFrame, samples: DataFrame, tested: DataFrame) -> DataFrame:
+    """All pairs (a < b) of members of a bucket in different components that agree in enough of LONG samples.
+
+    With the number ``n`` of these and both components, but for those ``tested``; stored. The members of
+    a bucket stand in order of their components and are cut into tiles; all pairs of tiles are compared but
+    those within one component, so a bucket of any size is spread over tasks.
+    """
+    placed = running_sums(members.withColumn("one", F.lit(1)), {"place": "one"}, ["root", "node"], ["bucket"])
     placed = placed.select("bucket", "node", "root", F.floor(F.col("place") / TILE).cast("int").alias("tile"))
-    samples = nodes.select(F.col("node").alias("_node"), "samples")
+    samples = samples.select(F.col("node").alias("_node"), "samples")
     placed = cut_lineage(placed.join(samples, F.col("node") == F.col("_node")).drop("_node"))
 
     tiles = placed.groupBy("bucket", "tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
@@ -357,7 +394,7 @@ def open_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame | None) ->
 
     def compared(table, cuts):
         node, root = (table.column(c).to_pylist() for c in ("node", "root"))
-        held = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint16).reshape(-1, SAMPLES)
+        held = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint16).reshape(-1, LONG)
         component = np.unique(np.array(root, dtype=object), return_inverse=True)[1]
         first, tile = table.column("i").to_numpy(), table.column("tile").to_numpy()
         out = []
@@ -366,7 +403,7 @@ def open_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame | None) ->
             alike = middle == stop  # a tile with itself
             other = start if alike else middle
             n = agreeing(held[start:middle], held[other:stop])
-            near = (n >= AGREEING) & (component[start:middle][:, None] != component[other:stop][None, :])
+            near = (n >= LONG_AGREEING) & (component[start:middle][:, None] != component[other:stop][None, :])
             for x, y in zip(*np.nonzero(np.triu(near) if alike else near)):
                 pair = sorted(((node[start + x], root[start + x]), (node[other + y], root[other + y])))
                 out.append((pair[0][0], pair[1][0], pair[0][1], pair[1][1], int(n[x, y])))
@@ -375,7 +412,7 @@ def open_pairs(buckets: DataFrame, nodes: DataFrame, roots: DataFrame | None) ->
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["a", "b", "root_a", "root_b", "n"])
 
     found = dealt.mapInArrow(compare, "a binary, b binary, root_a binary, root_b binary, n int")
-    return cut_lineage(found.distinct())
+    return cut_lineage(found.distinct().join(if_small(tested), ["a", "b"], "left_anti"))
 
 
 def weighted_jaccard(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> float:
@@ -387,10 +424,10 @@ def weighted_jaccard(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarra
 
 
 def verified(pairs: DataFrame, held: DataFrame, weights: Weights, similarity: float) -> DataFrame:
-    """Stored pairs that agree in enough samples and whose whole texts are similar enough, stored.
-
-    ``held`` has samples and text of every node; only those in pairs are moved.
+    """The stored pairs (with all their columns) that agree in enough samples and whose whole texts are similar
+    enough, stored. ``held`` has samples and text of every node; only those in pairs are moved.
     """
+    kept = pairs.columns
     asked = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("_asked")).distinct())
     held = cut_lineage(held.join(if_small(asked), F.col("node") == F.col("_asked")).drop("_asked"))
     left, right = (
@@ -409,16 +446,16 @@ def verified(pairs: DataFrame, held: DataFrame, weights: Weights, similarity: fl
 
         for batch in batches:
             keep = []
-            for one, two in zip(batch.column(2), batch.column(3)):
+            for one, two in zip(*(batch.column(batch.schema.get_field_index(c)) for c in ("of_a", "of_b"))):
                 agreeing = np.frombuffer(one["samples"].as_py(), np.uint16) == np.frombuffer(two["samples"].as_py(), np.uint16)
                 keep.append(
                     int(agreeing.sum()) >= AGREEING
                     and weighted_jaccard(weighed("a", one["text"].as_py()), weighed("b", two["text"].as_py())) >= similarity - 1e-9
                 )
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(kept).filter(pa.array(keep, pa.bool_()))
 
-    met = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
-    return cut_lineage(met.mapInArrow(check, "a binary, b binary"))
+    met = pairs.join(left, "a").join(right, "b").select(*kept, "of_a", "of_b")
+    return cut_lineage(met.mapInArrow(check, pairs.schema))
 
 
 def classes(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -433,34 +470,23 @@ def classes(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
         )
     )
     buckets = shared_buckets(nodes)
-    links, tested, roots, held = None, None, None, None
-
-    def decide(pairs: DataFrame) -> bool:
-        """Verify pairs not tested so far and merge components; whether there were any."""
-        nonlocal links, tested, roots, held
-        pairs = cut_lineage(pairs if tested is None else pairs.join(if_small(tested), ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            return False
-        held = held or node_texts(docs, nodes, buckets)
-        new = verified(pairs, held, weights, similarity)
-        tested = pairs if tested is None else cut_lineage(tested.union(pairs))
-        if not new.isEmpty():
-            links = new if links is None else cut_lineage(links.union(new))
-            roots = connected_components(links)
-        return True
-
-    for turn in range(ROUNDS):
-        pairs = candidate_pairs(buckets, roots, turn)
-        if turn == 0:
-            pairs = pairs.union(neighbours(buckets)).distinct()
-        if not decide(pairs) and turn == 0:
-            return _members(signed, roots)  # no bucket has two nodes
-    rest = cut_lineage(open_pairs(buckets, nodes, roots).join(if_small(tested), ["a", "b"], "left_anti"))
+    near = cut_lineage(candidate_pairs(buckets).union(neighbours(buckets)).distinct())
+    if near.isEmpty():  # no bucket has two nodes
+        return _members(signed, None)
+    held = node_texts(docs, nodes, buckets)
+    roots = connected_components(verified(near, held, weights, similarity))
+    members = open_members(buckets, roots)
+    rest = open_pairs(members, long_samples(held, members, weights), near)
     # the likeliest pair of two components first: where it links them, their other pairs need no verifying
     best = rest.groupBy("root_a", "root_b").agg(F.max_by(F.struct("a", "b"), F.struct("n", "a", "b")).alias("best"))
-    if decide(best.select("best.a", "best.b").distinct()):
-        rest = with_roots(with_roots(rest.select("a", "b"), roots, "a", "of_a"), roots, "b", "of_b")
-        decide(rest.where(F.col("of_a") != F.col("of_b")).select("a", "b"))
+    best = cut_lineage(best.select("best.a", "best.b", "root_a", "root_b"))
+    if not best.isEmpty():
+        roots, changes = merged(roots, verified(best, held, weights, similarity))
+        rest = rest.select("a", "b", "root_a", "root_b").join(if_small(best.select("a", "b")), ["a", "b"], "left_anti")
+        rest = with_roots(with_roots(rest, changes, "root_a", "root_a"), changes, "root_b", "root_b")
+        rest = cut_lineage(rest.where(F.col("root_a") != F.col("root_b")))
+        if not rest.isEmpty():
+            roots, _ = merged(roots, verified(rest, held, weights, similarity))
     return _members(signed, roots)
 
 

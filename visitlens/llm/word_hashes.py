@@ -34,5 +34,8 @@ def word_hashes(text: str | None) -> np.ndarray:
     starts = np.concatenate([[0], gaps])
     lengths = np.diff(np.append(starts, len(inside)))
     place = np.arange(len(inside)) - np.repeat(starts, lengths)
-    weighed = _BYTE[raw[inside]] * _PLACE[place & (len(_PLACE) - 1)]
+    factors = _PLACE[place & (len(_PLACE) - 1)]
+    if lengths.max() > len(_PLACE):  # the table repeats: tell its rounds apart (the first is as it stands)
+        factors = factors ^ (mix(place.astype(np.uint64) // np.uint64(len(_PLACE))) << np.uint64(1))
+    weighed = _BYTE[raw[inside]] * factors
     return mix(np.add.reduceat(weighed, starts) + lengths.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
