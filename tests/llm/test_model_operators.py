@@ -372,6 +372,73 @@ def test_only_real_boilerplate_is_dropped(source, text):
 # --- languages
 
 
+ARTICLE = "<p>" + "The article tells a long story in plain words. " * 6 + "</p><p>" + "It goes on for a second part. " * 5 + "</p>"
+TOLD = ("The article tells a long story in plain words. " * 6).strip() + "\n\n" + ("It goes on for a second part. " * 5).strip()
+
+
+@pytest.mark.parametrize(
+    "source",
+    [
+        f"<body><a name=top><div class=content>{ARTICLE}</div><div class=sidebar>side text here</div>",
+        f"<body><form id=aspnetForm><div id=nav>Home Products</div><div>{ARTICLE}</div><footer>(c)</footer></form></body>",
+        f"<body><div class='social-article'>{ARTICLE}</div><div class=footer>foot</div>",
+        f"<body><nav>a b</nav><div class='comment-article-body'>{ARTICLE}</div>",
+        f"<body><svg width=1><div>{ARTICLE}</div></body>",
+        f"<body><object><canvas><div>{ARTICLE}</div></body>",
+        f"<body><div class='sidebar-layout'><nav>menu</nav><div class=text>{ARTICLE}</div></div></body>",
+        f"<body><p><a href='/x'>Unclosed link</p><div>{ARTICLE}</div></body>",
+        f"<body><div>{ARTICLE}</div><div class=comments><p>{'A reader says much more than the article does. ' * 60}</p></div></body>",
+        f"<body><div>{ARTICLE}</div><aside>{'A long side story. ' * 20}</aside><form>{'Your name please. ' * 30}</form></body>",
+    ],
+)
+def test_whole_articles_of_common_markup(source):
+    assert html_text.Page(source).text_below(None).endswith(TOLD)
+    assert "says much" not in html_text.Page(source).text_below(None) and "side" not in html_text.Page(source).text_below(None)
+
+
+def test_boilerplate_alone_is_no_text():
+    for source in ("<nav>a b c</nav><div class=cookie>We use cookies.</div>", "<div class=comments><p>first!</p></div>", "<p hidden>x</p>"):
+        assert html_text.Page(source).text_below(None) == ""
+
+
+def test_votes_equal_brute_force(spark):
+    """Hosts whose pages nest differently above a shared path, ties between paths, repeated rows, clashing names."""
+    deep = lambda n, inner: "<div class=l0>" + "".join(f"<div class=l{i + 1}x>" for i in range(n)) + inner
+    rows = []
+    for h in range(3):
+        for k in range(6):
+            body = f"<main class=text>{ARTICLE}</main>" if k % 2 else f"<section class=a>{ARTICLE}</section><section class=b>{ARTICLE}</section>"
+            rows.append((h * 10 + k, f"http://H{h}.org/{k}", f"<body>{deep(k * 3, body)}</body>", "x", "y", "z"))
+    rows += [rows[0], (99, None, None, "x", "y", "z"), (98, "", "", "x", "y", "z")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, host string, _host string")
+    votes = Counter()
+    for row in rows:
+        at = (row[1] or "").lower().split("/")[2] if row[1] else ""
+        page = html_text.Page(row[2] or "")
+        best = max(page.scores().values(), default=1)
+        shares = {}
+        for e, score in page.scores().items():
+            shares[page.path(e)] = max(shares.get(page.path(e), 0), score / best)
+        for path, share in shares.items():
+            votes[at, path] += round(share * 1_000) if share > 0 else 0
+    want = {}
+    for (at, path), n in votes.items():
+        if at not in want or (-n, path) < want[at]:
+            want[at] = (-n, path)
+    got = {r["_host"]: r["path"] for r in html_text.winning_paths(pages).collect()}
+    assert got == {at: path for at, (_, path) in want.items()} and len(got) == 3
+    texts = sorted((r["page_id"], r["text"]) for r in html_text.digest(pages).collect())
+    assert len(texts) == len(rows) and all(("It goes on" in t) == (i < 98) for i, t in texts)
+
+
+def test_many_hosts_are_shuffled_with_large_ones_spread(spark, monkeypatch):
+    rows = [(i, f"http://h{i % 3 if i < 60 else i}.org/a", f"<div class=c{i % 2}>{ARTICLE}</div>") for i in range(90)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    near = sorted(map(tuple, html_text.digest(pages).collect()))
+    monkeypatch.setattr(html_text, "SMALL_ROWS", 2)
+    assert sorted(map(tuple, html_text.digest(pages).collect())) == near
+
+
 def test_languages_on_held_out_rows(spark, data):
     out = QUERIES["op7_language"](spark, data)
     truth = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "lang")
