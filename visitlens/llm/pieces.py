@@ -211,8 +211,16 @@ def load(model_file: str) -> PieceModel:
     return PieceModel(model_file)
 
 
+def _others(docs: DataFrame, name: str, read: str = "text") -> list[str]:
+    """All columns but the one to be made, which may not be the one that is read."""
+    if name == read:
+        raise ValueError(f"{name} is read and cannot be replaced")
+    return [f"`{c}`" for c in docs.columns if c != name]
+
+
 def encode(docs: DataFrame, model_file: str, name: str = "ids") -> DataFrame:
-    """The documents with an array of ids, null texts with an empty one."""
+    """The documents with an array of ids, null texts with an empty one; a column of that name is replaced."""
+    docs = docs.select(*_others(docs, name))
 
     def add(batches):
         model = load(model_file)
@@ -225,7 +233,8 @@ def encode(docs: DataFrame, model_file: str, name: str = "ids") -> DataFrame:
 
 
 def decode(docs: DataFrame, model_file: str, ids: str = "ids", name: str = "decoded") -> DataFrame:
-    """The rows with the text of an array of ids, null ids with a null text."""
+    """The rows with the text of an array of ids, null ids with a null text; a column of that name is replaced."""
+    docs = docs.select(*_others(docs, name, ids))
 
     def add(batches):
         model = load(model_file)
