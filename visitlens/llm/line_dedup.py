@@ -2,9 +2,10 @@
 
 Keys of lines are hashed to 128 bits, cut into ranges by (hash, document) with a secondary
 sort by document (largest first) and position, and stored. Range borders fall between
-documents, so a hash that a third of all documents holds spreads over many ranges. A hash
-aggregation per (range, hash, document), not a scan in the stored order, tells the documents that hold it;
-one partial row per range and hash is then summed up. What comes back per document is a
+documents, so a hash that a third of all documents holds spreads over many ranges. A scan of each
+range in its order sees a hash's first occurrence, which stays, and the first of every further document that holds
+it, which counts; hashes that go on across borders (at most two per range) get their counts and first
+occurrence from a table of the borders. No line is joined by its hash. What comes back per document is a
 run-length encoded bitmap of the lines that stay, not text.
 
 Defined cases: a null or empty text is one empty line. Rows with equal doc_id count as one
@@ -16,7 +17,7 @@ and all come back. Other columns of the input, whatever their names, are ignored
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.llm.common import SPACES, let, lower_ascii, packed, sha256_hex
@@ -45,23 +46,35 @@ def line_table(docs: DataFrame, min_chars: int) -> DataFrame:
     return cut_lineage(ranged.withColumn("slice", F.spark_partition_id()))
 
 
-def shared_keys(lines: DataFrame, min_docs: int) -> DataFrame:
-    """Hashes held by at least ``min_docs`` documents, with the largest document that holds each.
+def border_keys(lines: DataFrame) -> DataFrame:
+    """(h1, h2, all_docs, all_keeper) of the first and last hash of every range, over all ranges; two rows a range at most."""
+    ends = lines.groupBy("slice").agg(F.min(F.struct("h1", "h2")).alias("lo"), F.max(F.struct("h1", "h2")).alias("hi"))
+    edges = ends.select(F.col("slice").alias("_slice"), F.explode(F.array_distinct(F.array("lo", "hi"))).alias("_edge"))
+    at_edge = (F.col("slice") == F.col("_slice")) & (F.struct("h1", "h2") == F.col("_edge"))
+    held = lines.join(F.broadcast(edges), at_edge, "left_semi").groupBy("slice", "h1", "h2", "doc").agg(F.lit(1).alias("one"))
+    # ranges do not share (hash, document) pairs, so their counts add up
+    return held.groupBy(F.col("h1").alias("_h1"), F.col("h2").alias("_h2")).agg(
+        F.sum("one").alias("all_docs"), F.max("doc").alias("all_keeper")
+    )
+
 
-    Repeats within a document are folded by a hash aggregation, which does not use the stored order;
-    ranges do not share (hash, document) pairs, so the counts of the ranges add up.
-    """
-    holders = lines.groupBy("slice", "h1", "h2", "doc").agg(F.min("pos").alias("first"))
-    ranges = holders.groupBy("slice", "h1", "h2").agg(F.count("first").alias("docs"), F.max("doc").alias("keeper"))
-    keys = ranges.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("keeper").alias("keeper"))
-    return keys.where(F.col("docs") >= min_docs).drop("docs")
+def repeated_lines(lines: DataFrame, min_docs: int) -> DataFrame:
+    """The lines that go: of hashes that ``min_docs`` documents hold, all but those of the first document in order."""
+    in_hash = Window.partitionBy("slice", "h1", "h2")
+    in_order = in_hash.orderBy(F.col("doc").desc(), "body", "pos")
+    before = F.lag("doc").over(in_order)
+    scanned = lines.withColumn("first", F.when(before.isNull() | (before != F.col("doc")), 1).otherwise(0))
+    scanned = scanned.withColumns({"docs": F.sum("first").over(in_hash), "keeper": F.max("doc").over(in_hash)})
+    borders = F.broadcast(border_keys(lines))
+    whole = scanned.join(borders, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left")
+    return whole.where(
+        (F.coalesce("all_docs", "docs") >= min_docs) & (F.col("doc") != F.coalesce("all_keeper", "keeper"))
+    ).select("doc", "body", "pos")
 
 
 def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``doc``, ``body`` (hash of the text) and the positions that go, for documents that lose lines."""
-    lines = line_table(docs, min_chars)
-    keys = shared_keys(lines, min_docs)
-    gone = lines.join(keys, ["h1", "h2"]).where(F.col("doc") != F.col("keeper"))
+    gone = repeated_lines(line_table(docs, min_chars), min_docs)
     per_doc = gone.groupBy("doc", "body").agg(F.sort_array(F.collect_set("pos")).alias("gone"))
     return per_doc.withColumn("runs", kept_runs("gone")).select("doc", "body", "runs")
 
