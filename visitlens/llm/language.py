@@ -5,10 +5,12 @@ a space), hashed into ``DIMENSION`` features, damped by log, weighted by inverse
 frequency over all training texts and scaled to length 1. Each language's vectors are clustered
 into up to ``clusters`` centroids, from at most ``SAMPLE_PER_LANGUAGE`` training texts chosen by
 hash (the documented bound of the fit). A text gets the language of the centroid with the
-largest cosine. It is rejected if it lies further away than ``slack`` times the reach of that
-centroid, so far that no training text came near; for texts of fewer than ``FULL_GRAMS`` grams,
-whose cosines are small by nature, that bound falls with the square root of their number.
-Rejection is a column of its own.
+largest cosine. It is rejected if that cosine is below the language's bound for texts of its length: ``slack``
+times the cosine that all but the share ``quantile`` of the sampled texts of like length (half to
+twice as many grams, more where fewer than ``LIKE`` are known) reach, each measured against centroids
+without itself. One odd training text so cannot open a language to everything. The bound is at least ``LEAST``, or less
+for texts of fewer than ``FULL_GRAMS`` grams, whose cosines are small by nature, with the square root of their
+number. Rejection is a column of its own.
 
 Only ``text`` and ``lang`` of training rows are learned from, only ``text`` decides.
 
@@ -35,6 +37,10 @@ from visitlens.llm.common import if_small, on_workers, packed, remainder
 DIMENSION = 1 << 13
 SAMPLE_PER_LANGUAGE = 1_000
 FULL_GRAMS = 600
+LIKE = 50
+FEW = 5  # texts of a language from which its bounds are learned
+LEAST = 0.3
+LENGTHS = 32  # classes of length, by the power of two of the number of grams
 UNKNOWN = "und"
 _MIX = (np.uint32(2654435761), np.uint32(2246822519), np.uint32(3266489917))
 
@@ -84,6 +90,37 @@ def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=-1, keepdims=True), 1e-9)
 
 
+def length_class(grams: np.ndarray | float) -> np.ndarray | int:
+    classes = np.minimum(np.log2(np.maximum(grams, 1)), LENGTHS - 1).astype(np.int64)
+    return classes if np.ndim(grams) else int(classes)
+
+
+def cosines_without_self(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
+    """Each row's best cosine with a centroid, its own taken without the row."""
+    cosines = rows @ centers.T
+    nearest = cosines.argmax(axis=1)
+    for k in range(len(centers)):
+        members = np.flatnonzero(nearest == k)
+        others = rows[members].sum(axis=0) - rows[members]
+        norms = np.linalg.norm(others, axis=1)
+        own = (others * rows[members]).sum(axis=1) / np.maximum(norms, 1e-9)
+        cosines[members, k] = np.where(norms > 1e-6, own, 0.0)
+    return cosines.max(axis=1)
+
+
+def bounds(cosines: np.ndarray, grams: np.ndarray, quantile: float, slack: float) -> np.ndarray:
+    """The least cosine accepted, per class of length; lengths shorter or longer than all known ask for nothing."""
+    classes, out = length_class(grams), np.zeros(LENGTHS)
+    if len(cosines) < FEW:
+        return out
+    for c in range(int(classes.min()), int(classes.max()) + 1):
+        width = 1
+        while (near := np.abs(classes - c) <= width).sum() < min(LIKE, len(classes)):
+            width += 1
+        out[c] = slack * np.quantile(cosines[near], quantile)
+    return out
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     idf: np.ndarray
@@ -105,8 +142,9 @@ class LanguageModel:
             for (i, counts), b, row in zip(counted, best, cosines):
                 names[i] = self.languages[b]
                 scores[i] = float(min(max(row[b], 0.0), 1.0))
-                near = self.reach[b] * min(1.0, (counts.sum() / FULL_GRAMS) ** 0.5)
-                rejected[i] = bool(row[b] < near)
+                grams = float(counts.sum())
+                least = LEAST * min(1.0, (grams / FULL_GRAMS) ** 0.5)
+                rejected[i] = bool(row[b] < max(least, self.reach[b, length_class(grams)]))
         return names, scores, rejected
 
 
@@ -157,8 +195,15 @@ def cluster(rows: np.ndarray, clusters: int, rounds: int = 8) -> np.ndarray:
     return centers
 
 
-def fit(docs: DataFrame, is_training: Column, clusters: int = 4, slack: float = 0.5) -> LanguageModel:
-    """Learn from rows for which ``is_training`` holds."""
+def fit(
+    docs: DataFrame,
+    is_training: Column,
+    clusters: int = 4,
+    slack: float = 0.8,
+    quantile: float = 0.005,
+    per_language: int = SAMPLE_PER_LANGUAGE,
+) -> LanguageModel:
+    """Learn from rows for which ``is_training`` holds; centroids and bounds from ``per_language`` of them at most."""
     training = on_workers(docs).where(is_training & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
     n, seen = document_frequencies(training)
     idf = (np.log((n + 1.0) / (seen + 1.0)) + 1.0).astype(np.float32)
@@ -167,21 +212,20 @@ def fit(docs: DataFrame, is_training: Column, clusters: int = 4, slack: float =
         counted = [c for c in map(gram_counts, sorted(pdf["text"])) if c is not None]
         if not counted:
             return pd.DataFrame({"lang": [], "centroid": [], "reach": []})
-        rows = weigh(np.stack(counted), idf)
+        counts = np.stack(counted)
+        rows = weigh(counts, idf)
         centers = cluster(rows, clusters)
-        cosines = rows @ centers.T
-        nearest = cosines.argmax(axis=1)
-        reach = [float(cosines[nearest == k, k].min()) * slack if (nearest == k).any() else 0.0 for k in range(len(centers))]
-        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in centers], "reach": reach})
+        reach = bounds(cosines_without_self(rows, centers), counts.sum(axis=1), quantile, slack).tobytes()
+        return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in centers], "reach": [reach] * len(centers)})
 
-    sample = bounded_sample(training, SAMPLE_PER_LANGUAGE)
-    found = sample.groupBy("lang").applyInPandas(centroids, "lang string, centroid binary, reach double").collect()
+    sample = bounded_sample(training, per_language)
+    found = sample.groupBy("lang").applyInPandas(centroids, "lang string, centroid binary, reach binary").collect()
     found.sort(key=lambda r: (r["lang"], bytes(r["centroid"])))
     vectors = [np.frombuffer(bytes(r["centroid"]), dtype=np.float32) for r in found]
     return LanguageModel(
         idf, [r["lang"] for r in found],
         np.stack(vectors) if vectors else np.zeros((0, DIMENSION), np.float32),
-        np.array([r["reach"] for r in found]),
+        np.stack([np.frombuffer(bytes(r["reach"])) for r in found]) if found else np.zeros((0, LENGTHS)),
     )
 
 
