@@ -131,6 +131,26 @@ def test_state_goes_on_across_runs(spark, docs, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
+def test_decide_goes_on_with_a_state(spark, docs, tmp_path):
+    """Runs on one state see the documents of earlier runs, and compare with their bytes."""
+    state, parts = str(tmp_path / "state"), ("doc_id < 10", "doc_id >= 10 OR doc_id IS NULL")
+    get = lambda df: {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in df.collect()}
+    first = exact_dedup.decide(docs.where(parts[0]), state=state)
+    assert get(first) == get(exact_dedup.decide(docs.where(parts[0])))
+    second = exact_dedup.decide(docs.where(parts[1]), state=state)
+    late = docs.where(parts[1]).select("doc_id").collect()
+    whole = {r for r in get(exact_dedup.decide(docs)) if (r[0],) in {tuple(x) for x in late}}
+    assert get(second) == whole
+    assert second.count() == len(late)
+
+    weak, state = lambda t: (F.char_length(t) % 2).cast("string"), str(tmp_path / "weak")
+    make = lambda *rows: spark.createDataFrame(rows, "doc_id long, text string")
+    exact_dedup.decide(make((9, "four"), (1, "five")), weak, state).collect()
+    later = {r["doc_id"]: (r["keep_id"], r["group_size"], r["kept"]) for r in exact_dedup.decide(make((2, "FOUR"), (3, "nine"), (4, "nine")), weak, state).collect()}
+    assert later[2][0] == 9 and not later[2][2]
+    assert later[3] == (4, 2, False) and later[4] == (4, 2, True)
+
+
 def test_keep_one_each_keeps_columns_and_names(docs):
     out = exact_dedup.keep_one_each(docs)
     assert out.columns == docs.columns

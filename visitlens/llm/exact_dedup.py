@@ -3,9 +3,12 @@
 Fingerprints (digest, document id, content locator) are written once and then read as a stream.
 A streaming aggregation keyed by digest holds, in RocksDB and without expiry, the
 number of documents and the one that stays (largest id, then last locator). A later run
-with the same ``state`` folder goes on from there. The state is read back as a table. On
-hits the whole texts of the document that stays and of the others are compared byte by byte;
-texts that differ in spite of equal digests are grouped by their bytes.
+with the same ``state`` folder goes on from there: its documents are held against all earlier ones, whose
+fingerprints lie beside the state. The state is read back as a table. On
+hits the whole texts of the document that stays and of the others are compared byte by byte, where the one that stays
+is of an earlier run by reading it again from its locator (a row of a Parquet file that must still be there);
+texts that differ in spite of equal digests are grouped by their bytes, with those of their own run.
+A run returns rows of its own documents; decisions of earlier runs are not revised.
 
 Texts are equal when identical after lower-casing A-Z.
 
@@ -90,15 +93,15 @@ def decide(docs: DataFrame, digest: Callable[[Column], Column] = sha256_hex, sta
     """
     spark = docs.sparkSession
     docs = docs if set(PLACE) <= set(docs.columns) else located(docs, "doc_id", "text")
-    folder = f"{shared_folder(spark)}/prints-{uuid4()}"
-    fresh = fingerprints(docs, digest)
-    fresh.write.parquet(folder)
-    prints = spark.read.schema(fresh.schema).parquet(folder)
+    state, run = state or f"{shared_folder(spark)}/state-{uuid4()}", str(uuid4())
+    folder = f"{state.rstrip('/')}-prints"
+    fresh = fingerprints(docs, digest).withColumn("_run", F.lit(run))
+    fresh.write.mode("append").parquet(folder)
+    prints = spark.read.schema(fresh.schema).parquet(folder).where(F.col("_run") == run).drop("_run")
     if prints.isEmpty():
         groups = prints.select("digest", F.struct("doc_id", *PLACE).alias("keep"), F.lit(1).cast("long").alias("group_size"))
     else:
-        state = state or f"{shared_folder(spark)}/state-{uuid4()}"
-        ingest(spark, prints, folder, state)
+        ingest(spark, fresh, folder, state)
         groups = held_groups(spark, state)
     groups = groups.withColumnRenamed("digest", "_digest")
     rows = prints.join(groups, F.col("digest") == F.col("_digest")).drop("_digest")
@@ -117,6 +120,13 @@ def _differing(docs: DataFrame, rows: DataFrame) -> DataFrame:
     texts = docs.select("doc_id", *PLACE, normalised(F.col("text")).alias("body"))
     found = cut_lineage(texts.join(hits, (F.col("_file") == F.col("_hit_file")) & (F.col("_row") == F.col("_hit_row"))))
     stays = found.where("kept").select(*[F.col(c).alias(f"_keep{c}") for c in PLACE], F.col("body").alias("_kept_body"))
+    earlier = rows.select("keep.*").join(rows.where("kept").select(*PLACE), PLACE, "left_anti")
+    if files := [r["_file"] for r in earlier.select("_file").distinct().collect()]:  # names of files, as a scan lists them
+        again = located(docs.sparkSession.read.parquet(*files), "text").withColumnsRenamed({c: f"_keep{c}" for c in PLACE})
+        wanted = earlier.distinct().select(*[F.col(c).alias(f"_wanted{c}") for c in PLACE])
+        on = (F.col("_keep_file") == F.col("_wanted_file")) & (F.col("_keep_row") == F.col("_wanted_row"))
+        again = again.join(wanted, on, "left_semi").withColumn("_kept_body", normalised(F.col("text")))
+        stays = stays.unionByName(again.select(*stays.columns))
     others = found.where(~F.col("kept"))
     on = (F.col("keep._file") == F.col("_keep_file")) & (F.col("keep._row") == F.col("_keep_row"))
     differs = others.join(stays, on).where(F.col("body") != F.col("_kept_body"))
