@@ -304,6 +304,16 @@ def test_random_strings_equal_the_library(library):
         assert model.both(text) == (",".join(map(str, ids)), library.decode(ids), len(ids))
 
 
+def test_encoding_replaces_columns_of_its_name(spark, library):
+    rows = spark.createDataFrame([(1, "a b", [7], "x"), (2, None, None, "y")], "doc_id long, text string, ids array<int>, decoded string")
+    encoded = pieces.encode(rows, MODEL)
+    assert sorted(encoded.columns) == ["decoded", "doc_id", "ids", "text"]
+    back = {r["doc_id"]: (list(r["ids"]), r["decoded"]) for r in pieces.decode(encoded, MODEL).collect()}
+    assert back == {1: (library.encode("a b"), "a b"), 2: ([], "")}
+    with pytest.raises(ValueError):
+        pieces.encode(rows, MODEL, "text")
+
+
 def test_encode_and_decode_frames(docs, rows, library):
     out = pieces.decode(pieces.encode(docs.select("doc_id", "text"), MODEL), MODEL).collect()
     for r in out:
@@ -448,6 +458,28 @@ def test_languages_on_held_out_rows(spark, data):
     assert out.where("rejected").count() <= 0.01 * out.count()
 
 
+@pytest.mark.parametrize("left", ["de", "en", "es", "fr"])
+def test_languages_left_out_are_rejected(spark, data, left):
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    out = language.identify(docs, language.fit(docs, F.col("lang") != left)).select("doc.lang", "rejected")
+    count = lambda where: out.where(where).count()
+    assert count(f"lang = '{left}' AND NOT rejected") <= 0.2 * count(f"lang = '{left}'")
+    assert count(f"lang <> '{left}' AND NOT rejected") >= 0.99 * count(f"lang <> '{left}'")
+
+
+def test_one_odd_text_opens_no_language():
+    rng = np.random.default_rng(1)
+    rows = np.abs(rng.normal(size=(400, 64)))
+    rows = np.concatenate([rows, np.eye(64)[:1]])
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    centers = language.cluster(rows[:400], 2)
+    cosines = language.cosines_without_self(rows, centers)
+    grams = np.full(401, 2_000.0)
+    bound = language.bounds(cosines, grams, 0.005, 1.0)[language.length_class(2_000.0)]
+    assert cosines[-1] < 0.3 < bound < np.median(cosines)
+    assert not language.bounds(cosines[:4], grams[:4], 0.005, 1.0).any()  # too few to tell
+
+
 def test_texts_without_letters_and_foreign_ones(docs, empty, rows):
     out = language.digest(docs).collect()
     assert len(out) == len(rows)
@@ -455,6 +487,9 @@ def test_texts_without_letters_and_foreign_ones(docs, empty, rows):
     assert {r["doc_id"] for r in out if r["lang_pred"] == "und"} == none
     assert all(r["score"] == 0 and r["rejected"] for r in out if r["lang_pred"] == "und")
     assert {r["lang_pred"] for r in language.digest(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    twice = docs.union(docs).withColumn("lang", F.when(F.col("doc_id") % 2 == 0, "a").otherwise("b"))
+    tied = language.fit(twice.select("doc_id", F.lit("same words in all of them").alias("text"), "lang"), F.lit(True))
+    assert tied.predict(["same words in all of them"])[0] == ["a"]  # of equal cosines the first language wins
     model = language.fit(docs, F.lit(True))
     assert language.identify(docs, model).select("doc.*").columns == docs.columns
     assert model.predict(["漢字" * 400])[2] == [True]
@@ -508,10 +543,30 @@ def test_reading_members_and_broken_archives(spark):
     record = "WARC/1.1\r\nWARC-Type: metadata\r\nWARC-Record-ID: <a>\r\nContent-Length: 4\r\n\r\n\r\n\r\n\r\n\r\n".encode()
     data = gzip.compress(record) + gzip.compress(record)
     assert len(list(warc.split_records(warc.unzip(data)))) == 2
+    for step in (1, 7, 100):
+        pieces = list(warc.unzip(data, step))
+        assert b"".join(pieces) == record + record and max(map(len, pieces)) <= max(step, 1)
+        assert len(list(warc.split_records(pieces))) == 2
+        assert list(warc.split_records(warc.unzip(record, step)))[0][1] == b"\r\n\r\n"
     with pytest.raises(ValueError):
-        list(warc.split_records(record[:-8].replace(b"Length: 4", b"Length: 400")))
+        list(warc.split_records([record[:-8].replace(b"Length: 4", b"Length: 400")]))
     with pytest.raises(ValueError):
-        list(warc.split_records(b"no archive"))
+        list(warc.split_records([b"no archive"]))
+    assert list(warc.split_records([])) == []
+
+
+def test_large_pages_go_to_files_of_bounded_bytes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 4 << 20)
+    rng = random.Random(4)
+    big = [rng.randbytes(1_500_000).hex() for _ in range(3)]
+    rows = [(i, f"http://h/{i}", big[i] if i < 3 else f"<p>{i}</p>") for i in range(40)]
+    large = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    folder = str(tmp_path / "large")
+    warc.write_archives(large, folder)
+    sizes = [sum(map(len, warc.unzip(p.read_bytes()))) for p in (tmp_path / "large").glob("*.gz")]
+    assert len(sizes) > 1 and sum(sizes) > 9_000_000
+    got = {r["metadata"]["page_id"]: bytes(r["response"]["payload"]).decode() for r in warc.captures(warc.read_records(spark, folder)).collect()}
+    assert got == {i: h for i, _, h in rows}
 
 
 def test_no_pages(pages):

@@ -2,9 +2,11 @@
 
 Each page becomes a request, a response (or a revisit of an equal payload) and a metadata record;
 request and metadata name the response in WARC-Concurrent-To. Spark's text writer
-puts the records into gzip files of a bounded number of records, in any store it can write.
-Archives are read file by file with the lengths the records state, so payloads may hold anything;
-records are then joined through their concurrent-to identifiers into one nested row per capture.
+puts the records into gzip files, in any store it can write; how many a file takes follows from the payloads'
+mean size, so that files hold about ``FILE_BYTES``, or one page that is larger. (A file is one gzip member.)
+Archives are unzipped and parsed as a stream with the lengths the records state, so payloads may hold
+anything, and rows go on in batches of bounded bytes; records are then joined through their concurrent-to
+identifiers into one nested row per capture.
 
 Of equal payloads of at least ``min_bytes`` bytes the smallest page_id (then the first
 locator) is the response.
@@ -20,6 +22,7 @@ import base64
 import hashlib
 import uuid
 import zlib
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -27,10 +30,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from visitlens.llm.common import located, on_workers
-from visitlens.session import shared_folder
+from visitlens.session import cut_lineage, shared_folder
 
 DATE = "2024-01-01T00:00:00Z"
-RECORDS_PER_FILE = 3_000
+#: Payload bytes of a file, records of a file at most, and payload bytes of a batch of rows read.
+FILE_BYTES = 64 << 20
+MOST_RECORDS = 30_000
+BATCH_BYTES = 16 << 20
+STEP = 1 << 20
 PLACE = ["_file", "_row"]
 CRLF = "\r\n"
 
@@ -39,10 +46,14 @@ def base32_sha1(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def revisited(pages: DataFrame, min_bytes: int) -> DataFrame:
-    """Locator of each located page with the locator of the page that carries its payload."""
+def payload_prints(pages: DataFrame) -> DataFrame:
+    """page_id, locator, digest and size of the payloads of located pages, stored."""
     payload = F.encode(F.coalesce("html", F.lit("")), "UTF-8")
-    prints = pages.select("page_id", *PLACE, F.sha1(payload).alias("digest"), F.octet_length(payload).alias("size"))
+    return cut_lineage(pages.select("page_id", *PLACE, F.sha1(payload).alias("digest"), F.octet_length(payload).cast("long").alias("size")))
+
+
+def revisited(prints: DataFrame, min_bytes: int) -> DataFrame:
+    """Locator of each located page with the locator of the page that carries its payload."""
     first = prints.where(F.col("size") >= min_bytes).groupBy("digest", "size").agg(
         F.min(F.struct("page_id", *PLACE)).alias("first")
     )
@@ -93,56 +104,93 @@ def page_records(page_id, url, html, place: tuple, carrier: tuple) -> list[str]:
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0) -> None:
     """Write page_id, url and html of pages as gzip archives."""
     pages = located(on_workers(pages), "page_id", "url", "html")
-    carriers = revisited(pages, min_bytes)
+    prints = payload_prints(pages)
+    carriers = revisited(prints, min_bytes)
     met = pages.join(carriers, (F.col("_file") == F.col("_at_file")) & (F.col("_row") == F.col("_at_row")))
     met = met.select("page_id", "url", "html", *PLACE, "carrier")
 
     def records(batches):
+        lines: list[str] = []
+        held = 0
         for batch in batches:
-            columns = [batch.column(i) for i in range(6)]
-            lines: list[str] = []
-            for row in zip(*columns):
+            for row in zip(*(batch.column(i) for i in range(6))):
                 page_id, url, html, file, at, carrier = (x.as_py() for x in row)
                 lines += page_records(page_id, url, html, (file, at), (carrier["_file"], carrier["_row"]))
-            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
-
+                held += len(html or "")
+                if held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+                    lines, held = [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+
+    mean = prints.agg(F.avg("size")).first()[0] or 0
+    per_file = int(min(MOST_RECORDS, max(3, 3 * (FILE_BYTES // (mean + 1_000)))))
     out = met.mapInArrow(records, "value string").write.option("lineSep", CRLF).option("compression", "gzip")
-    out.option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder)
+    out.option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", per_file).text(folder)
 
 
-def split_records(data: bytes):
-    """(headers, block) of each record of an unzipped archive; header names in lower case."""
-    at = 0
+def split_records(pieces: Iterable[bytes]):
+    """(headers, block) of each record of an unzipped archive that comes in pieces; header names in lower case.
+
+    No more than a record and a piece are held.
+    """
+    pieces, held, place = iter(pieces), bytearray(), 0
+
+    def more() -> bool:
+        piece = next(pieces, None)
+        if piece is not None:
+            held.extend(piece)
+        return piece is not None
+
     while True:
-        while data[at : at + 1] in (b"\r", b"\n"):
-            at += 1
-        if at >= len(data):
-            return
-        end = data.find(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8", "replace").split(CRLF)
+        while (blank := len(held) - len(held.lstrip(b"\r\n"))) == len(held):
+            place += blank
+            held.clear()
+            if not more():
+                return
+        del held[:blank]
+        place += blank
+        searched = 0
+        while (end := held.find(b"\r\n\r\n", searched)) < 0:
+            if len(held) >= 5 and not held.startswith(b"WARC/"):
+                break
+            searched = max(0, len(held) - 3)
+            if not more():
+                break
+        lines = bytes(held[: max(end, 0)]).decode("utf-8", "replace").split(CRLF)
         if end < 0 or not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
+            raise ValueError(f"no record at byte {place}")
         headers: dict[str, str] = {}
         for line in lines[1:]:
             name, _, value = line.partition(":")
             headers[name.strip().lower()] = value.strip()
-        start = end + 4
-        at = start + int(headers["content-length"])
-        if at > len(data):
-            raise ValueError("the archive ends within a record")
-        yield headers, data[start:at]
-
-
-def unzip(data: bytes) -> bytes:
-    """Content of all gzip members; plain data as it is."""
-    if data[:2] != b"\x1f\x8b":
-        return data
-    out = []
-    while data:
-        member = zlib.decompressobj(31)
-        out += [member.decompress(data), member.flush()]
-        data = member.unused_data
-    return b"".join(out)
+        stop = end + 4 + int(headers["content-length"])
+        while len(held) < stop:
+            if not more():
+                raise ValueError("the archive ends within a record")
+        yield headers, bytes(held[end + 4 : stop])
+        del held[:stop]
+        place += stop
+
+
+def unzip(data: bytes | pa.Buffer, step: int = STEP) -> Iterator[bytes]:
+    """Content of all gzip members in pieces of bounded size; plain data as it is."""
+    view = memoryview(data)
+    if bytes(view[:2]) != b"\x1f\x8b":
+        yield from (bytes(view[at : at + step]) for at in range(0, len(view), step))
+        return
+    at, member = 0, zlib.decompressobj(31)
+    rest = b""
+    while rest or at < len(view):
+        if not rest:
+            rest, at = bytes(view[at : at + step]), at + step
+        if member.eof:
+            member = zlib.decompressobj(31)
+        piece = member.decompress(rest, step)
+        rest = member.unconsumed_tail or member.unused_data
+        if piece:
+            yield piece
+    while not member.eof and (piece := member.decompress(member.unconsumed_tail, step)):
+        yield piece
 
 
 RECORD = T.StructType(
@@ -186,9 +234,18 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
     def parse(batches):
         for batch in batches:
             for content in batch.column(0):
-                rows = [_parsed(*r) for r in split_records(unzip(content.as_py()))]
-                columns = zip(*rows) if rows else [[]] * len(fields)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, fields)], names=RECORD.names)
+                rows, held = [], 0
+                for headers, block in split_records(unzip(content.as_buffer())):
+                    rows.append(_parsed(headers, block))
+                    held += len(block)
+                    if held >= BATCH_BYTES:
+                        yield as_batch(rows)
+                        rows, held = [], 0
+                yield as_batch(rows)
+
+    def as_batch(rows):
+        columns = zip(*rows) if rows else [[]] * len(fields)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, fields)], names=RECORD.names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("content")
     return on_workers(files).mapInArrow(parse, RECORD)
