@@ -1,6 +1,8 @@
 """Rules, lines, copies, mixing: SQL counterparts on the tables, brute force on awkward rows."""
 
 import hashlib
+import math
+import random
 import re
 import string
 from collections import Counter, defaultdict
@@ -69,6 +71,81 @@ def test_rules_find_planted_thresholds(spark):
     assert quality_rules.judge(docs, labels.limit(0)).where(~F.col("kept") & ~F.col("base_failed")).isEmpty()
 
 
+def _brute_rules(rows, settings=quality_rules.Settings()):
+    """The same covering over plain lists of (statistics, prune, bad), thresholds at every value."""
+    covers = lambda rule, x: all((x[i] > b) == above for i, above, b in rule)
+    tally = lambda part: (sum(r[2] for r in part), sum(1 - r[2] for r in part))
+
+    def best(part):
+        bad, good = tally(part)
+        if not bad or not good:
+            return None
+        before, found = math.log2(bad / (bad + good)), []
+        for i in range(len(quality_rules.STATISTICS)):
+            for bound in sorted({r[0][i] for r in part})[:-1]:
+                for above in (0, 1):
+                    p, n = tally([r for r in part if (r[0][i] > bound) == bool(above)])
+                    gain = round(quality_rules.foil_gain(p, n, before), 9)
+                    if p + n >= settings.min_covered and gain > 0:
+                        found.append(((-gain, i, bound, above), p, n))
+        return min(found, default=None)
+
+    rules, rest, growing = [], rows, rows
+    while True:
+        part, rule, p, n = [r for r in growing if not r[1]], [], 0, 0
+        while (found := best(part)) is not None:
+            (_, i, bound, above), p, n = found
+            rule.append((i, bool(above), bound))
+            part = [r for r in part if covers(rule[-1:], r[0])]
+            if not n:
+                break
+        if not rule or p < settings.min_precision * (p + n):
+            return rules
+        values = []
+        for k in range(1, len(rule) + 1):
+            bad, good = tally([r for r in rest if r[1] and covers(rule[:k], r[0])])
+            values.append((bad - good) / (bad + good) if bad + good else -1.0)
+        rule = rule[: values.index(max(values)) + 1]
+        growing = [r for r in growing if not covers(rule, r[0])]
+        hit = [r for r in rest if covers(rule, r[0])]
+        folds = [tally([r for r in hit if r[1] == side]) for side in (True, False)]
+        if len(hit) >= settings.min_covered and all(b >= settings.min_precision * (b + g) for b, g in folds):
+            rules.append(rule)
+            rest = [r for r in rest if not covers(rule, r[0])]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rules_equal_a_brute_force_learner(spark, seed):
+    """Few bad rows, ties, several causes of badness and noise; with bins so coarse that all must be searched."""
+    rng = random.Random(seed)
+    rows = []
+    for i in range(600):
+        x = [round(rng.gauss(0, 1), 1 if k else 2) for k in range(len(quality_rules.STATISTICS))]
+        bad = int(x[0] > 1.3 or (x[1] < -0.5 and x[2] > 0.8) or x[3] > 1.7)
+        rows.append((i, *x, bad ^ (rng.random() < 0.004)))
+    labelled = spark.createDataFrame(rows, "doc_id long, " + ", ".join(f"{s} double" for s in quality_rules.STATISTICS) + ", bad int")
+    learner = quality_rules.RuleLearner(labelled, quality_rules.Settings(bins=4))
+    side = {r["doc_id"]: r["p"] for r in labelled.select("doc_id", (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("p")).collect()}
+    want = _brute_rules([(r[1:-1], side[r[0]], r[-1]) for r in rows])
+    got = learner.learn()
+    assert len(want) >= 2
+    assert [[(quality_rules.STATISTICS.index(c.statistic), c.above) for c in rule] for rule in got] == [[(i, above) for i, above, _ in rule] for rule in want]
+    values = {i: sorted({r[i + 1] for r in rows}) for i in range(len(quality_rules.STATISTICS))}
+    for rule, brute in zip(got, want):
+        for c, (i, _, bound) in zip(rule, brute):
+            after = [v for v in values[i] if v > bound]
+            assert c.bound == pytest.approx((bound + after[0]) / 2 if after else bound)
+
+
+def test_a_rare_defect_is_learned(spark):
+    """One bad text in a hundred, told by a statistic that only these rows raise."""
+    none = {s: 0.0 for s in quality_rules.STATISTICS}
+    rows = [(i, *(none | {"digit_share": 0.5 if i % 100 == 0 else (i % 7) / 100, "log_words": i % 13 / 2}).values(), int(i % 100 == 0)) for i in range(4_000)]
+    labelled = spark.createDataFrame(rows, "doc_id long, " + ", ".join(f"{s} double" for s in quality_rules.STATISTICS) + ", bad int")
+    (rule,) = quality_rules.RuleLearner(labelled).learn()
+    assert [(c.statistic, c.above) for c in rule] == [("digit_share", True)] and 0.06 < rule[0].bound < 0.5
+
+
 def test_lines_equal_brute_force(docs, rows):
     keys = defaultdict(set)
     name = lambda i: -(1 << 63) if i is None else i

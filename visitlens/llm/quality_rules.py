@@ -1,12 +1,15 @@
 """Quality rules: an ordered decision list learned from labelled statistics.
 
-Sequential covering on Spark aggregates. Statistics of labelled documents are binned at
-quantiles of the labelled rows and stored. A rule is grown one threshold at a time by the gain
-of Foil over counts per (statistic, bin), pruned on the rows of another fold by
-(bad - good) / (bad + good), and kept if precise enough on both folds; the rows it covers are
-then left out and the next rule is grown. In the end every bound moves to the middle of the gap
-between the labelled values around it. All labelled rows count; the driver only sees counts
-per (statistic, bin). The list becomes one CASE expression whose first matching rule decides.
+Sequential covering on Spark aggregates. A rule is grown one threshold at a time by the gain of Foil until it
+covers no good row or nothing gains, pruned on the rows of another fold by (bad - good) / (bad + good), and
+kept if precise enough on both folds; the rows it covers are then left out and the next rule is grown. A rule
+that fails sets its rows aside for growing only. Covering ends when no further rule is precise on the growing
+fold; neither rules nor conditions are limited. In the end every bound moves to the middle of the gap
+between the labelled values around it. The list becomes one CASE expression whose first matching rule decides.
+
+The best threshold is exact over all labelled values: counts per (statistic, bin) at quantiles give the gain at
+every border between bins and the most that any threshold inside a bin could gain; bins that could beat the
+best border are searched value by value in Spark. The driver sees counts per bin and the best value of each bin.
 
 Defined cases: a null text has no words, so it fails the base. Labels that are null or belong
 to no document are ignored; repeated labels of a document count once, the best of them. With
@@ -18,8 +21,9 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlens.llm.common import GAP, let, words
@@ -39,25 +43,18 @@ class Condition:
     statistic: str
     above: bool
     bound: float
-    bin: int
 
     def column(self) -> Column:
         c = F.col(self.statistic)
         return c > F.lit(self.bound) if self.above else c <= F.lit(self.bound)
 
-    def on_bins(self) -> Column:
-        c = F.get("bins", F.lit(STATISTICS.index(self.statistic)))
-        return c > F.lit(self.bin) if self.above else c <= F.lit(self.bin)
-
     def __str__(self) -> str:
         return f"{self.statistic} {'>' if self.above else '<='} {self.bound:.6g}"
 
 
 @dataclass(frozen=True)
 class Settings:
-    bins: int = 32
-    max_rules: int = 8
-    max_conditions: int = 4
+    bins: int = 256  # of the first look; the result does not depend on it
     min_covered: int = 5
     min_precision: float = 0.9
 
@@ -138,35 +135,37 @@ def labelled_statistics(stats: DataFrame, labels: DataFrame) -> DataFrame:
     return rows.join(best, "doc_id")
 
 
+def foil_gain(p: float, n: float, before: float) -> float:
+    return p * (math.log2(p / (p + n)) - before) if p else 0.0
+
+
 class RuleLearner:
-    """Grows and prunes rules over the stored, binned rows of ``labelled``."""
+    """Grows and prunes rules over the stored rows of ``labelled``, with the bins of their statistics."""
 
     def __init__(self, labelled: DataFrame, settings: Settings = Settings()):
         self.settings = settings
         self.labelled = labelled = cut_lineage(labelled)
         marks = [i / settings.bins for i in range(1, settings.bins)]
         found = labelled.agg(*[F.percentile_approx(s, marks, 10_000).alias(s) for s in STATISTICS]).first()
-        self.cuts = {s: sorted(set(found[s] or [])) for s in STATISTICS}
         bins = []
         for s in STATISTICS:
-            cuts = F.array(*[F.lit(c) for c in self.cuts[s]]).cast("array<double>")
+            cuts = F.array(*[F.lit(c) for c in sorted(set(found[s] or []))]).cast("array<double>")
             bins.append(bin_of(F.col(s), cuts))
         fold = F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0
-        binned = labelled.select(F.array(*bins).alias("bins"), fold.alias("prune"), "bad")
-        self.rows = cut_lineage(binned.groupBy("bins", "prune").agg(
-            F.sum("bad").alias("bad"), F.sum(1 - F.col("bad")).alias("good")
-        ))
+        self.rows = cut_lineage(labelled.select(*STATISTICS, F.array(*bins).alias("bins"), fold.alias("prune"), "bad", (1 - F.col("bad")).alias("good")))
 
     def learn(self) -> list[list[Condition]]:
         rules: list[list[Condition]] = []
-        rest = self.rows
-        while len(rules) < self.settings.max_rules:
-            rule = self._prune(rest, self._grow(rest.where(~F.col("prune"))))
-            if not rule or not self._good_enough(rest, rule):
-                break
-            rules.append(rule)
-            rest = rest.where(~conjunction(rule, on_bins=True))
-        return self._centred(rules)
+        rest = growing = self.rows
+        while True:
+            grown, bad, good = self._grow(growing.where(~F.col("prune")))
+            if not grown or bad < self.settings.min_precision * (bad + good):
+                return self._centred(rules)
+            rule = self._prune(rest, grown)
+            growing = growing.where(~conjunction(rule))
+            if self._good_enough(rest, rule):
+                rules.append(rule)
+                rest = rest.where(~conjunction(rule))
 
     def _centred(self, rules: list[list[Condition]]) -> list[list[Condition]]:
         """Move each bound into the middle of the gap between the labelled values next to it."""
@@ -184,45 +183,92 @@ class RuleLearner:
             moved[c] = replace(c, bound=(low + high) / 2) if low is not None and high is not None else c
         return [[moved[c] for c in rule] for rule in rules]
 
-    def _histogram(self, rows: DataFrame) -> dict[str, dict[int, tuple[int, int]]]:
-        each = rows.select(F.posexplode("bins").alias("s", "bin"), "bad", "good")
-        counts = each.groupBy("s", "bin").agg(F.sum("bad"), F.sum("good")).collect()
-        out: dict[str, dict[int, tuple[int, int]]] = {s: {} for s in STATISTICS}
-        for s, b, bad, good in counts:
-            out[STATISTICS[s]][b] = (bad, good)
+    def _histogram(self, rows: DataFrame) -> dict[str, list[tuple[float, int, int, bool, int]]]:
+        """Per statistic its bins in order: largest value, bad and good rows, whether there is more than one value, number."""
+        value = F.get(F.array(*STATISTICS), F.col("s"))
+        each = rows.select(*STATISTICS, F.posexplode("bins").alias("s", "bin"), "bad").withColumn("value", value)
+        counts = each.groupBy("s", "bin").agg(
+            F.max("value").alias("top"), F.sum("bad").alias("b"), F.sum(1 - F.col("bad")).alias("g"), (F.max("value") > F.min("value")).alias("mixed")
+        )
+        out: dict[str, list[tuple[float, int, int, bool, int]]] = {s: [] for s in STATISTICS}
+        for r in sorted(counts.collect(), key=lambda r: (r["s"], r["bin"])):
+            out[STATISTICS[r["s"]]].append((r["top"], r["b"], r["g"], r["mixed"], r["bin"]))
         return out
 
-    def _grow(self, rows: DataFrame) -> list[Condition]:
-        """Add the threshold with the largest gain until no good row is covered or nothing gains."""
+    def _grow(self, rows: DataFrame) -> tuple[list[Condition], int, int]:
+        """Thresholds with the largest gain until no good row is covered or nothing gains; and the rows then covered."""
         rule: list[Condition] = []
-        while len(rule) < self.settings.max_conditions:
-            covered = rows.where(conjunction(rule, on_bins=True)) if rule else rows
-            best, gain, pure = self._best(self._histogram(covered))
-            if best is None or gain <= 0:
-                break
+        bad = good = 0
+        while True:
+            found = self._best(rows.where(conjunction(rule)) if rule else rows)
+            if found is None:
+                return rule, bad, good
+            best, bad, good = found
             rule.append(best)
-            if pure:
-                break
-        return rule
-
-    def _best(self, histogram) -> tuple[Condition | None, float, bool]:
-        best, best_gain, pure = None, 0.0, False
-        for s in STATISTICS:
-            bins = histogram[s]
-            bad_all, good_all = (sum(v[i] for v in bins.values()) for i in (0, 1))
-            if not bad_all or not good_all:
-                continue
-            before = math.log2(bad_all / (bad_all + good_all))
+            if not good:
+                return rule, bad, good
+
+    def _best(self, rows: DataFrame) -> tuple[Condition, int, int] | None:
+        """The threshold of the largest gain above 0 over all values, with the rows it covers.
+
+        Of equal gains (to nine digits) the first statistic, the smallest bound, and <= before > win.
+        """
+        tops: list[tuple[tuple, int, int]] = []  # (rank of the threshold, bad, good)
+        open_bins = []
+        histogram = self._histogram(rows)
+        for i, s in enumerate(STATISTICS):
+            all_bad, all_good = (sum(x[k] for x in histogram[s]) for k in (1, 2))
+            if not all_bad or not all_good:
+                return None
+            before = math.log2(all_bad / (all_bad + all_good))
             bad = good = 0
-            for k, bound in enumerate(self.cuts[s]):
-                bad, good = (x + y for x, y in zip((bad, good), bins.get(k, (0, 0))))
-                for above, p, n in ((False, bad, good), (True, bad_all - bad, good_all - good)):
-                    if p + n < self.settings.min_covered or not p:
-                        continue
-                    gain = p * (math.log2(p / (p + n)) - before)
-                    if gain > best_gain + 1e-9:
-                        best, best_gain, pure = Condition(s, above, bound, k), gain, n == 0
-        return best, best_gain, pure
+            for top, b, g, mixed, number in histogram[s]:
+                if mixed:  # the most that a threshold inside could gain, on either side
+                    most = max(foil_gain(bad + b, good, before), foil_gain(all_bad - bad, all_good - good - g, before))
+                    open_bins.append((most, i, number, bad, good))
+                bad, good = bad + b, good + g
+                if (bad, good) != (all_bad, all_good):
+                    tops += self._ranked(i, top, bad, good, all_bad, all_good, before)
+        best = min(tops, default=None)
+        least = -best[0][0] if best else 0.0
+        wanted = [x for x in open_bins if round(x[0], 9) >= least and x[0] > 0]
+        if wanted:
+            for r in self._inside(rows, wanted, all_bad, all_good).collect():
+                tops += self._ranked(r["s"], r["value"], r["bad"], r["good"], all_bad, all_good, before)
+            best = min(tops, default=None)
+        if best is None:
+            return None
+        (_, i, bound, above), bad, good = best
+        return Condition(STATISTICS[i], bool(above), bound), bad, good
+
+    def _ranked(self, i: int, bound: float, bad: int, good: int, all_bad: int, all_good: int, before: float) -> list:
+        """Both sides of a threshold, as far as they cover enough rows and gain."""
+        sides = ((0, bad, good), (1, all_bad - bad, all_good - good))
+        gains = [(round(foil_gain(p, n, before), 9), above, p, n) for above, p, n in sides if p + n >= self.settings.min_covered]
+        return [((-gain, i, bound, above), p, n) for gain, above, p, n in gains if gain > 0]
+
+    def _inside(self, rows: DataFrame, wanted: list[tuple], all_bad: int, all_good: int) -> DataFrame:
+        """For each wanted bin the values of the largest gains on either side, with the rows up to them."""
+        spark = rows.sparkSession
+        bins = spark.createDataFrame([(i, number, bad, good) for _, i, number, bad, good in wanted], "_s int, _bin int, bad0 long, good0 long")
+        value = F.get(F.array(*STATISTICS), F.col("s"))
+        each = rows.select(*STATISTICS, F.posexplode("bins").alias("s", "bin"), "bad").withColumn("value", value)
+        met = each.join(F.broadcast(bins), (F.col("s") == F.col("_s")) & (F.col("bin") == F.col("_bin")))
+        values = met.groupBy("s", "bin", "bad0", "good0", "value").agg(F.sum("bad").alias("b"), F.sum(1 - F.col("bad")).alias("g"))
+        upto = Window.partitionBy("s", "bin").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sums = values.withColumns({"bad": F.col("bad0") + F.sum("b").over(upto), "good": F.col("good0") + F.sum("g").over(upto)})
+        before = math.log2(all_bad / (all_bad + all_good))
+        gain = lambda p, n: F.round(F.when(p > 0, p * (F.log2(p / (p + n)) - before)).otherwise(0.0), 9)
+        enough = lambda p, n, x: F.when(p + n >= self.settings.min_covered, x)
+        below = enough(F.col("bad"), F.col("good"), gain(F.col("bad"), F.col("good")))
+        p, n = all_bad - F.col("bad"), all_good - F.col("good")
+        above = enough(p, n, gain(p, n))
+        kept = F.struct("value", "bad", "good")
+        order = lambda g: F.struct(g, -F.col("value"))  # noqa: E731  of equal gains the smallest value
+        best = sums.groupBy("s", "bin").agg(
+            F.array(F.max_by(kept, F.when(below.isNotNull(), order(below))), F.max_by(kept, F.when(above.isNotNull(), order(above)))).alias("two")
+        )
+        return best.select("s", F.explode("two").alias("x")).where(F.col("x").isNotNull()).select("s", "x.*").distinct()
 
     def _prune(self, rest: DataFrame, rule: list[Condition]) -> list[Condition]:
         """The prefix of the rule with the best value on the pruning fold, the shorter one on ties."""
@@ -230,7 +276,7 @@ class RuleLearner:
             return rule
         rows, sums = rest.where("prune"), []
         for k in range(1, len(rule) + 1):
-            hit = conjunction(rule[:k], on_bins=True)
+            hit = conjunction(rule[:k])
             sums += [F.sum(F.when(hit, F.col(c)).otherwise(0)) for c in ("bad", "good")]
         found = rows.agg(*sums).first()
         values = []
@@ -240,7 +286,7 @@ class RuleLearner:
         return rule[: values.index(max(values)) + 1]
 
     def _good_enough(self, rest: DataFrame, rule: list[Condition]) -> bool:
-        hit = rest.where(conjunction(rule, on_bins=True))
+        hit = rest.where(conjunction(rule))
         folds = {r["prune"]: (r["b"], r["g"]) for r in hit.groupBy("prune").agg(F.sum("bad").alias("b"), F.sum("good").alias("g")).collect()}
         bad, good = (sum(v[i] for v in folds.values()) for i in (0, 1))
         precise = all(b >= self.settings.min_precision * (b + g) for b, g in folds.values())
@@ -252,11 +298,8 @@ def bin_of(value: Column, cuts: Column) -> Column:
     return F.size(F.filter(cuts, lambda c: c < value))
 
 
-def conjunction(rule: list[Condition], on_bins: bool = False) -> Column:
-    out = F.lit(True)
-    for c in rule:
-        out = out & (c.on_bins() if on_bins else c.column())
-    return out
+def conjunction(rule: list[Condition]) -> Column:
+    return reduce(Column.__and__, [c.column() for c in rule], F.lit(True))
 
 
 def first_match(rules: list[list[Condition]]) -> Column:
