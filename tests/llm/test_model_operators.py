@@ -15,7 +15,7 @@ import sentencepiece
 from pyspark.sql import functions as F
 
 from visitlens.llm import html_text, kneser_ney, language, near_dups, pieces, warc
-from visitlens.llm.components import connected_components
+from visitlens.llm.components import connected_components, counted_components
 from visitlens.llm.queries import QUERIES
 from visitlens.llm.word_hashes import word_hashes
 
@@ -161,24 +161,27 @@ def test_clusters_in_one_bucket_are_compared_across_tiles(spark):
     names = [b"%04d" % k for k in range(n)]
     nodes = spark.createDataFrame(list(zip(names, samples)), "node binary, samples binary")
     buckets = nodes.select(F.lit(1).cast("long").alias("bucket"), "node")
-    alone, none = spark.createDataFrame([], "node binary, root binary"), spark.createDataFrame([], "a binary, b binary")
+    alone = near_dups.Roots(spark.createDataFrame([], "node binary, root binary"), 0)
+    none = spark.createDataFrame([], "a binary, b binary")
     members = near_dups.open_members(buckets, alone)
-    found = near_dups.open_pairs(members, nodes, none).collect()
+    rows, count = near_dups.open_pairs(members, nodes, none)
+    found = rows.collect()
+    assert count == len(found)
     want = [(k, k + n // 2, near_dups.LONG) for k in range(n // 2)]
     assert sorted((int(r["a"]), int(r["b"]), r["n"]) for r in found) == want
     known = spark.createDataFrame([(b"%04d" % k, b"%04d" % (k + n // 2)) for k in range(10)], none.schema)
-    assert near_dups.open_pairs(members, nodes, known).count() == len(want) - 10
+    assert near_dups.open_pairs(members, nodes, known)[1] == len(want) - 10
     linked = nodes.where("node > binary('0000')").select("node", F.lit(b"0000").alias("root"))
-    assert near_dups.open_members(buckets, linked).isEmpty()
+    assert near_dups.open_members(buckets, near_dups.Roots(linked, n - 1)).isEmpty()
 
 
 def test_later_links_merge_known_components(spark):
     rows = [(b"b", b"a"), (b"d", b"c"), (b"e", b"c")]
     links = spark.createDataFrame([(b"c", b"a"), (b"x", b"y"), (b"x", b"c")], "root_a binary, root_b binary")
-    roots, changes = near_dups.merged(spark.createDataFrame(rows, "node binary, root binary"), links)
-    got = {bytes(r["node"]).decode(): bytes(r["root"]).decode() for r in roots.collect()}
-    assert got == {"b": "a", "c": "a", "d": "a", "e": "a", "x": "a", "y": "a"}
-    assert {bytes(r["node"]).decode() for r in changes.collect()} == {"c", "x", "y"}
+    roots, changes = near_dups.Roots(spark.createDataFrame(rows, "node binary, root binary"), 3).after(links)
+    got = {bytes(r["node"]).decode(): bytes(r["root"]).decode() for r in roots.table.collect()}
+    assert got == {"b": "a", "c": "a", "d": "a", "e": "a", "x": "a", "y": "a"} and roots.count == 6
+    assert {bytes(r["node"]).decode() for r in changes.table.collect()} == {"c", "x", "y"}
 
 
 def test_samples_agree_as_often_as_weights_overlap():
@@ -203,8 +206,12 @@ def test_frequent_shingles_are_exact(docs, rows):
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (102, 101), (103, 103)]
     named = spark.createDataFrame([(f"{a:04d}", f"{b:04d}") for a, b in edges], "a string, b string")
-    got = {r["node"]: r["root"] for r in connected_components(named).collect()}
-    assert got == {f"{i:04d}": "0000" for i in range(1, 61)} | {"0101": "0100", "0102": "0100"}
+    want = {f"{i:04d}": "0000" for i in range(1, 61)} | {"0101": "0100", "0102": "0100"}
+    assert {r["node"]: r["root"] for r in connected_components(named).collect()} == want
+    for one_task in (0, 1_000):
+        found, count = counted_components(named, one_task)
+        assert {r["node"]: r["root"] for r in found.collect()} == want and count == len(want)
+        assert counted_components(named.limit(0), one_task)[1] == 0
 
 
 # --- language model

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.session import cut_lineage
@@ -55,9 +55,20 @@ def located(df: DataFrame, *columns: str, whole: bool = False) -> DataFrame:
         return cut_lineage(df).select(*wanted)
 
 
-def if_small(df: DataFrame) -> DataFrame:
-    """``df``, for broadcast if it has no more than SMALL_ROWS of its narrow rows; else for Spark to shuffle."""
-    return F.broadcast(df) if df.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS else df
+def stored(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written once, and its rows, counted while it is written."""
+    seen = Observation()
+    written = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return written, seen.get["n"]
+
+
+def if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df``, for broadcast if it has no more than SMALL_ROWS of its narrow rows; else for Spark to shuffle.
+
+    ``rows`` is their number where it is known.
+    """
+    rows = df.limit(SMALL_ROWS + 1).count() if rows is None else rows
+    return F.broadcast(df) if rows <= SMALL_ROWS else df
 
 
 def words(text: Column) -> Column:

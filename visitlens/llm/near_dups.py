@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -39,8 +40,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlens.llm.common import if_small, on_workers
-from visitlens.llm.components import connected_components
+from visitlens.llm.common import if_small, on_workers, stored
+from visitlens.llm.components import counted_components
 from visitlens.llm.kneser_ney import add_up, locate, narrow, pack, unpack
 from visitlens.llm.word_hashes import mix, word_hashes
 from visitlens.operators.slices import SLICE, running_sums, store_sliced
@@ -308,18 +309,29 @@ def candidate_pairs(buckets: DataFrame) -> DataFrame:
     return met.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
-def with_roots(rows: DataFrame, roots: DataFrame, node: str, root: str) -> DataFrame:
-    """``rows`` with the component of a column's nodes; a node without links is its own."""
-    named = roots.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
-    met = rows.join(if_small(named), F.col(node) == F.col("_node"), "left")
-    kept = [c for c in rows.columns if c != root]
-    return met.select(*kept, F.coalesce("_root", node).alias(root))
+@dataclass(frozen=True)
+class Roots:
+    """The components of nodes with links (node, root), stored, with their number; other nodes are their own."""
 
+    table: DataFrame
+    count: int
 
-def merged(roots: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The components after linking some of them (root_a, root_b), and the new root of each that has changed."""
-    changes = connected_components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
-    return cut_lineage(with_roots(roots, changes, "root", "new").select("node", F.col("new").alias("root")).union(changes)), changes
+    @staticmethod
+    def of(links: DataFrame) -> Roots:
+        return Roots(*counted_components(links))
+
+    def after(self, links: DataFrame) -> tuple[Roots, Roots]:
+        """The components after linking some of them (root_a, root_b), and the new root of each that has changed."""
+        changes = Roots.of(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+        moved = changes.on(self.table, "root", "new").select("node", F.col("new").alias("root"))
+        return Roots(*stored(moved.union(changes.table.select("node", "root")))), changes
+
+    def on(self, rows: DataFrame, node: str, root: str) -> DataFrame:
+        """``rows`` with the component of a column's nodes in the column ``root``."""
+        named = self.table.select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+        met = rows.join(if_small(named, self.count), F.col(node) == F.col("_node"), "left")
+        kept = [c for c in rows.columns if c != root]
+        return met.select(*kept, F.coalesce("_root", node).alias(root))
 
 
 def agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -332,12 +344,12 @@ def agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out
 
 
-def open_members(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+def open_members(buckets: DataFrame, roots: Roots) -> DataFrame:
     """(bucket, node, root) of the buckets whose members lie in different components, in stored ranges of that order.
 
     Buckets of two are left out: their only pair met as hub and member.
     """
-    rows = with_roots(buckets.select("bucket", "node"), roots, "node", "root")
+    rows = roots.on(buckets.select("bucket", "node"), "node", "root")
     several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     several = several.where((F.col("size") > 2) & (F.col("lo") != F.col("hi"))).select("bucket")
     return store_sliced(rows.join(several, "bucket"), ["bucket", "root", "node"])
@@ -346,7 +358,7 @@ def open_members(buckets: DataFrame, roots: DataFrame) -> DataFrame:
 def long_samples(held: DataFrame, members: DataFrame, weights: Weights) -> DataFrame:
     """(node, samples): LONG samples of the members, drawn apart from those of the bands; stored."""
     shared = held.sparkSession.sparkContext.broadcast(weights)
-    wanted = cut_lineage(members.select(F.col("node").alias("_wanted")).distinct())
+    wanted = if_small(*stored(members.select(F.col("node").alias("_wanted")).distinct()))
 
     def sign(batches):
         sampler = Sampler(11, LONG)
@@ -355,14 +367,14 @@ def long_samples(held: DataFrame, members: DataFrame, weights: Weights) -> DataF
             node = batch.column(batch.schema.get_field_index("node")).slice(start, len(bags))
             yield pa.RecordBatch.from_arrays([node, pa.array([row.tobytes() for row in samples], pa.binary())], names=["node", "samples"])
 
-    texts = held.join(if_small(wanted), F.col("node") == F.col("_wanted")).select("node", "text")
+    texts = held.join(wanted, F.col("node") == F.col("_wanted")).select("node", "text")
     return cut_lineage(texts.mapInArrow(sign, "node binary, samples binary"))
 
 
-def open_pairs(members: DataFrame, samples: DataFrame, tested: DataFrame) -> DataFrame:
+def open_pairs(members: DataFrame, samples: DataFrame, tested: DataFrame) -> tuple[DataFrame, int]:
     """All pairs (a < b) of members of a bucket in different components that agree in enough of LONG samples.
 
-    With the number ``n`` of these and both components, but for those ``tested``; stored. The members of
+    With the number ``n`` of these and both components, but for those ``tested``; stored, and counted. The members of
     a bucket stand in order of their components and are cut into tiles; all pairs of tiles are compared but
     those within one component, so a bucket of any size is spread over tasks.
     """
@@ -412,7 +424,7 @@ def open_pairs(members: DataFrame, samples: DataFrame, tested: DataFrame) -> Dat
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["a", "b", "root_a", "root_b", "n"])
 
     found = dealt.mapInArrow(compare, "a binary, b binary, root_a binary, root_b binary, n int")
-    return cut_lineage(found.distinct().join(if_small(tested), ["a", "b"], "left_anti"))
+    return stored(found.distinct().join(tested, ["a", "b"], "left_anti"))
 
 
 def weighted_jaccard(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> float:
@@ -428,8 +440,8 @@ def verified(pairs: DataFrame, held: DataFrame, weights: Weights, similarity: fl
     enough, stored. ``held`` has samples and text of every node; only those in pairs are moved.
     """
     kept = pairs.columns
-    asked = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("_asked")).distinct())
-    held = cut_lineage(held.join(if_small(asked), F.col("node") == F.col("_asked")).drop("_asked"))
+    asked = if_small(*stored(pairs.select(F.explode(F.array("a", "b")).alias("_asked")).distinct()))
+    held = cut_lineage(held.join(asked, F.col("node") == F.col("_asked")).drop("_asked"))
     left, right = (
         held.select(F.col("node").alias(c), F.struct("samples", "text").alias(f"of_{c}")) for c in ("a", "b")
     )
@@ -470,39 +482,40 @@ def classes(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
         )
     )
     buckets = shared_buckets(nodes)
-    near = cut_lineage(candidate_pairs(buckets).union(neighbours(buckets)).distinct())
-    if near.isEmpty():  # no bucket has two nodes
+    near, n = stored(candidate_pairs(buckets).union(neighbours(buckets)).distinct())
+    if not n:  # no bucket has two nodes
         return _members(signed, None)
     held = node_texts(docs, nodes, buckets)
-    roots = connected_components(verified(near, held, weights, similarity))
+    roots = Roots.of(verified(near, held, weights, similarity))
     members = open_members(buckets, roots)
-    rest = open_pairs(members, long_samples(held, members, weights), near)
-    # the likeliest pair of two components first: where it links them, their other pairs need no verifying
-    best = rest.groupBy("root_a", "root_b").agg(F.max_by(F.struct("a", "b"), F.struct("n", "a", "b")).alias("best"))
-    best = cut_lineage(best.select("best.a", "best.b", "root_a", "root_b"))
-    if not best.isEmpty():
-        roots, changes = merged(roots, verified(best, held, weights, similarity))
-        rest = rest.select("a", "b", "root_a", "root_b").join(if_small(best.select("a", "b")), ["a", "b"], "left_anti")
-        rest = with_roots(with_roots(rest, changes, "root_a", "root_a"), changes, "root_b", "root_b")
-        rest = cut_lineage(rest.where(F.col("root_a") != F.col("root_b")))
-        if not rest.isEmpty():
-            roots, _ = merged(roots, verified(rest, held, weights, similarity))
+    rest, left = open_pairs(members, long_samples(held, members, weights), if_small(near, n))
+    if left:
+        # the likeliest pair of two components first: where it links them, their other pairs need no verifying
+        best = rest.groupBy("root_a", "root_b").agg(F.max_by(F.struct("a", "b"), F.struct("n", "a", "b")).alias("best"))
+        best, n = stored(best.select("best.a", "best.b", "root_a", "root_b"))
+        roots, changes = roots.after(verified(best, held, weights, similarity))
+        rest = rest.select("a", "b", "root_a", "root_b").join(if_small(best.select("a", "b"), n), ["a", "b"], "left_anti")
+        rest = changes.on(changes.on(rest, "root_a", "root_a"), "root_b", "root_b")
+        rest, left = stored(rest.where(F.col("root_a") != F.col("root_b")))
+    if left:
+        roots, _ = roots.after(verified(rest, held, weights, similarity))
     return _members(signed, roots)
 
 
 def node_texts(docs: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
     """Samples and one text of each node that shares a bucket, stored."""
-    met = nodes.join(if_small(cut_lineage(buckets.select(F.col("node").alias("_met")).distinct())), F.col("node") == F.col("_met"))
-    held = cut_lineage(met.select("node", "samples", F.col("first.doc_id").alias("_id"), F.col("first.body").alias("_body")))
+    sharing = if_small(*stored(buckets.select(F.col("node").alias("_met")).distinct()))
+    met = nodes.join(sharing, F.col("node") == F.col("_met"))
+    held, n = stored(met.select("node", "samples", F.col("first.doc_id").alias("_id"), F.col("first.body").alias("_body")))
     on = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_body"))
-    found = docs.join(if_small(held), on).groupBy("node")
+    found = docs.join(if_small(held, n), on).groupBy("node")
     return cut_lineage(found.agg(F.first("samples").alias("samples"), F.first("text").alias("text")))
 
 
-def _members(signed: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _members(signed: DataFrame, roots: Roots | None) -> DataFrame:
     rows = signed.select("doc_id", "body", "node")
     if roots is not None:
-        named = roots.select(F.col("node").alias("_node"), "root")
+        named = roots.table.select(F.col("node").alias("_node"), "root")
         rows = rows.join(named, F.col("node") == F.col("_node"), "left").drop("_node")
     else:
         rows = rows.withColumn("root", F.lit(None).cast("binary"))
