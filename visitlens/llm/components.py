@@ -55,7 +55,7 @@ def _in_one_task(edges: DataFrame) -> DataFrame:
             for one, two in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
                 low, high = sorted((find(one), find(two)))
                 parent[high] = low
-        nodes = [x for x in parent if find(x) != x]
+        nodes = [x for x in parent if find(x) != x]  # an edge from a node to itself adds none
         columns = [pa.array(c, to_arrow_type(kind)) for c in (nodes, [find(x) for x in nodes])]
         yield pa.RecordBatch.from_arrays(columns, names=["node", "root"])
 
@@ -67,13 +67,17 @@ def connected_components(edges: DataFrame) -> DataFrame:
     return counted_components(edges)[0]
 
 
-def counted_components(edges: DataFrame, one_task: int = ONE_TASK) -> tuple[DataFrame, int]:
-    """The same, and the number of these nodes; ``one_task`` steers the way, not the result."""
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(F.col("a") != F.col("b"))
-    down, n = stored(down)
-    if n <= one_task:
-        return stored(_in_one_task(down))
-    stars = cut_lineage(down.distinct())
+def counted_components(edges: DataFrame, one_task: int = ONE_TASK, rows: int | None = None) -> tuple[DataFrame, int]:
+    """The same, and the number of these nodes; ``one_task`` steers the way, not the result.
+
+    ``rows`` is the number of edges, of stored ones, where it is known.
+    """
+    if rows is None:
+        edges, rows = stored(edges)
+    if rows <= one_task:
+        return stored(_in_one_task(edges))
+    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    stars = cut_lineage(down.where(F.col("a") != F.col("b")).distinct())
     seen = _fingerprint(stars)
     while seen[0]:
         stars = cut_lineage(_star(_star(stars, both_ways=True), both_ways=False))

@@ -147,8 +147,9 @@ def frequent_shingles(docs: DataFrame) -> Weights:
         keys, _, (n,) = add_up(np.concatenate([p["k"] for p in parts]), np.concatenate([p["n"].astype(np.int64) for p in parts]))
         return pd.DataFrame({"key": keys[n >= RARE * documents / 2].view(np.int64)})
 
-    found = local.where(F.col("bucket") >= 0).groupBy("bucket").applyInPandas(candidates, "key long").collect()
-    wanted = np.sort(np.array([r["key"] for r in found], dtype=np.int64).view(np.uint64))
+    # Arrow arrays: where texts are few, every shingle is frequent, and a Python object for each would fill the driver
+    found = local.where(F.col("bucket") >= 0).groupBy("bucket").applyInPandas(candidates, "key long").toArrow()
+    wanted = np.sort(found["key"].to_numpy().view(np.uint64))
     if not len(wanted):
         return Weights(wanted, wanted, documents)
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
@@ -162,8 +163,8 @@ def frequent_shingles(docs: DataFrame) -> Weights:
         yield pa.RecordBatch.from_arrays([pa.array(held_keys), pa.array(n[held_keys])], names=["place", "n"])
 
     total = np.zeros(len(wanted), np.int64)
-    for place, n in texts.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n")).collect():
-        total[place] = n
+    counts = texts.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    total[counts["place"].to_numpy()] = counts["n"].to_numpy()
     often = total >= RARE * documents
     return Weights(wanted[often], total[often], documents)
 
@@ -317,12 +318,12 @@ class Roots:
     count: int
 
     @staticmethod
-    def of(links: DataFrame) -> Roots:
-        return Roots(*counted_components(links))
+    def of(links: DataFrame, rows: int | None = None) -> Roots:
+        return Roots(*counted_components(links, rows=rows))
 
-    def after(self, links: DataFrame) -> tuple[Roots, Roots]:
+    def after(self, links: DataFrame, rows: int | None = None) -> tuple[Roots, Roots]:
         """The components after linking some of them (root_a, root_b), and the new root of each that has changed."""
-        changes = Roots.of(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+        changes = Roots.of(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), rows)
         moved = changes.on(self.table, "root", "new").select("node", F.col("new").alias("root"))
         return Roots(*stored(moved.union(changes.table.select("node", "root")))), changes
 
@@ -435,9 +436,9 @@ def weighted_jaccard(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarra
     return common / (both - common) if both > common else 1.0
 
 
-def verified(pairs: DataFrame, held: DataFrame, weights: Weights, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, held: DataFrame, weights: Weights, similarity: float) -> tuple[DataFrame, int]:
     """The stored pairs (with all their columns) that agree in enough samples and whose whole texts are similar
-    enough, stored. ``held`` has samples and text of every node; only those in pairs are moved.
+    enough, stored and counted. ``held`` has samples and text of every node; only those in pairs are moved.
     """
     kept = pairs.columns
     asked = if_small(*stored(pairs.select(F.explode(F.array("a", "b")).alias("_asked")).distinct()))
@@ -467,7 +468,7 @@ def verified(pairs: DataFrame, held: DataFrame, weights: Weights, similarity: fl
             yield batch.select(kept).filter(pa.array(keep, pa.bool_()))
 
     met = pairs.join(left, "a").join(right, "b").select(*kept, "of_a", "of_b")
-    return cut_lineage(met.mapInArrow(check, pairs.schema))
+    return stored(met.mapInArrow(check, pairs.schema))
 
 
 def classes(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
@@ -486,19 +487,19 @@ def classes(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     if not n:  # no bucket has two nodes
         return _members(signed, None)
     held = node_texts(docs, nodes, buckets)
-    roots = Roots.of(verified(near, held, weights, similarity))
+    roots = Roots.of(*verified(near, held, weights, similarity))
     members = open_members(buckets, roots)
     rest, left = open_pairs(members, long_samples(held, members, weights), if_small(near, n))
     if left:
         # the likeliest pair of two components first: where it links them, their other pairs need no verifying
         best = rest.groupBy("root_a", "root_b").agg(F.max_by(F.struct("a", "b"), F.struct("n", "a", "b")).alias("best"))
         best, n = stored(best.select("best.a", "best.b", "root_a", "root_b"))
-        roots, changes = roots.after(verified(best, held, weights, similarity))
+        roots, changes = roots.after(*verified(best, held, weights, similarity))
         rest = rest.select("a", "b", "root_a", "root_b").join(if_small(best.select("a", "b"), n), ["a", "b"], "left_anti")
         rest = changes.on(changes.on(rest, "root_a", "root_a"), "root_b", "root_b")
         rest, left = stored(rest.where(F.col("root_a") != F.col("root_b")))
     if left:
-        roots, _ = roots.after(verified(rest, held, weights, similarity))
+        roots, _ = roots.after(*verified(rest, held, weights, similarity))
     return _members(signed, roots)
 
 
