@@ -3,7 +3,7 @@
 The rows are written once in ranges of the whole sort key (group columns, order columns,
 unique row id; see ``slices``), so one group may span many slices and one slice may hold
 many groups. Window functions run inside a slice; what crosses a slice border (rows so far, the
-neighbours k rows away) comes from tables with a few rows per slice, which are broadcast.
+neighbours k rows away) comes from tables with a few rows per slice, which are broadcast while their bound of rows is small.
 There are as many slices as shuffle partitions, whatever the size of the input.
 """
 
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from visitlens.operators.slices import SLICE, nulls_last, store_sliced
+from visitlens.operators.slices import SLICE, border_table, nulls_last, slice_count, store_sliced
 
 
 @dataclass(frozen=True)
@@ -52,7 +52,8 @@ class OrderedScan:
         self.columns = df.columns
         self.order = list(order)
         self.group = list(group)
-        self.stored = store_sliced(df, [*group, *order], slices)
+        self.slices = slice_count(df, slices)
+        self.stored = store_sliced(df, [*group, *order], self.slices)
 
     def slice_sizes(self) -> DataFrame:
         """One row per slice: rows in it and rows before it."""
@@ -77,7 +78,7 @@ class OrderedScan:
 
         if shifts:
             sizes = self.slice_sizes()
-            out = out.join(F.broadcast(sizes.select(SLICE, "_before")), SLICE, "left")
+            out = out.join(border_table(sizes.select(SLICE, "_before"), self.slices), SLICE, "left")
             out = out.withColumn("_place", F.col("_before") + F.col("_place"))
             for k in sorted({s.k for s in shifts}):
                 out = self._fetch_across(out, sizes, k, [s for s in shifts if s.k == k])
@@ -85,7 +86,7 @@ class OrderedScan:
             same = F.col(SLICE) == F.col("_s")
             for g in self.group:
                 same = same & F.col(g).eqNullSafe(F.col(f"_c_{g}"))
-            out = out.join(F.broadcast(self._rows_before_slice()), same, "left")
+            out = out.join(border_table(self._rows_before_slice(), 2 * self.slices), same, "left")
             total = F.col("_count") + F.coalesce(F.col("_carried"), F.lit(0))
             out = out.withColumns({c.name: total.cast("bigint") for c in counters})
         return out.select(*self.columns, *[f.name for f in features])
@@ -94,7 +95,7 @@ class OrderedScan:
         """Fill the shifts whose source row lies in another slice."""
         donors = self._border_rows(sizes, k, sorted({s.value for s in shifts}))
         wanted = F.when(~F.col(f"_inside{k}"), F.col("_place") - k)
-        out = out.withColumn("_wanted", wanted).join(F.broadcast(donors), "_wanted", "left")
+        out = out.withColumn("_wanted", wanted).join(border_table(donors, abs(k) * self.slices), "_wanted", "left")
         same = F.col("_has_donor")
         for g in self.group:
             same = same & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
@@ -115,7 +116,7 @@ class OrderedScan:
             place = F.col("_before") + F.col("_rank") - 1
         narrow = self.stored.select(SLICE, *dict.fromkeys([*full, *values]))
         ranked = narrow.withColumn("_rank", F.row_number().over(Window.partitionBy(SLICE).orderBy(*ranking)))
-        border = ranked.where(F.col("_rank") <= abs(k)).join(F.broadcast(sizes), SLICE)
+        border = ranked.where(F.col("_rank") <= abs(k)).join(border_table(sizes, self.slices), SLICE)
         return border.select(
             place.alias("_wanted"),
             F.lit(True).alias("_has_donor"),
@@ -132,7 +133,7 @@ class OrderedScan:
         ends = keyed.groupBy(SLICE).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
         edges = ends.select(F.col(SLICE).alias("_s"), F.explode(F.array_distinct(F.array("lo", "hi"))).alias("_edge"))
         at_edge = keyed.join(
-            F.broadcast(edges), (F.col(SLICE) == F.col("_s")) & (key == F.col("_edge")), "left_semi"
+            border_table(edges, 2 * self.slices), (F.col(SLICE) == F.col("_s")) & (key == F.col("_edge")), "left_semi"
         )
         held = at_edge.groupBy(SLICE, *self.group).agg(F.count(F.lit(1)).alias("_rows"))
         earlier = Window.partitionBy(*self.group).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)

@@ -15,15 +15,26 @@ from pyspark.sql import functions as F
 from visitlens.session import cut_lineage
 
 SLICE = "_slice"
+#: Rows of a border table up to which it is broadcast.
+MOST_BROADCAST = 100_000
 
 
 def nulls_last(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
+def slice_count(df: DataFrame, slices: int | None = None) -> int:
+    return slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def border_table(df: DataFrame, most_rows: int) -> DataFrame:
+    """``df``, for broadcast if its known bound of rows is small, else left to Spark."""
+    return F.broadcast(df) if most_rows <= MOST_BROADCAST else df
+
+
 def store_sliced(df: DataFrame, order: Sequence[str], slices: int | None = None) -> DataFrame:
     """``df`` in ranges of ``order`` (nulls last), written once; as many slices as shuffle partitions."""
-    slices = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = slice_count(df, slices)
     keys = nulls_last(order)
     ranged = df.repartitionByRange(slices, *keys).sortWithinPartitions(*keys)
     return cut_lineage(ranged.withColumn(SLICE, F.spark_partition_id()))
