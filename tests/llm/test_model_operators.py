@@ -155,33 +155,36 @@ def test_neighbours_meet_across_ranges(spark):
     assert got == {(s + k, s + k + 1) for s in (0, 200) for k in range(99)}
 
 
-def test_clusters_in_one_bucket_are_compared_across_tiles(spark):
+def test_clusters_in_one_bucket_are_compared_across_tiles(spark, monkeypatch):
     n = near_dups.TILE + 150  # every other member is like the one half the bucket away and none else
-    samples = [np.full(near_dups.LONG, k % (n // 2), np.uint16).tobytes() for k in range(n)]
-    names = [b"%04d" % k for k in range(n)]
-    nodes = spark.createDataFrame(list(zip(names, samples)), "node binary, samples binary")
-    buckets = nodes.select(F.lit(1).cast("long").alias("bucket"), "node")
+    words = [" ".join(f"w{k % (n // 2)}x{i}" for i in range(12)) for k in range(n)]
+    words[3] = words[3 + n // 2] + " and a different end of it with so many words that little stays alike"
+    rows = []
+    for k in range(n):
+        long = np.full(near_dups.LONG, k % (n // 2), np.uint16).tobytes()
+        bands = [1, 0 if k % 2 == n // 2 % 2 else 7 + k] + [100 * k + j for j in range(10)]
+        rows.append((b"%04d" % k, bands, words[k], long))
+    sampled = spark.createDataFrame(rows, "node binary, bands array<long>, text string, long binary")
+    buckets = sampled.select(F.inline(F.transform(F.slice("bands", 1, 2), lambda b: F.struct(b.alias("bucket")))), "node")
+    weights = near_dups.Weights(np.zeros(0, np.uint64), np.zeros(0), n)
     alone = near_dups.Roots(spark.createDataFrame([], "node binary, root binary"), 0)
-    none = spark.createDataFrame([], "a binary, b binary")
     members = near_dups.open_members(buckets, alone)
-    rows, count = near_dups.open_pairs(members, nodes, none)
-    found = rows.collect()
-    assert count == len(found)
-    want = [(k, k + n // 2, near_dups.LONG) for k in range(n // 2)]
-    assert sorted((int(r["a"]), int(r["b"]), r["n"]) for r in found) == want
-    known = spark.createDataFrame([(b"%04d" % k, b"%04d" % (k + n // 2)) for k in range(10)], none.schema)
-    assert near_dups.open_pairs(members, nodes, known)[1] == len(want) - 10
-    linked = nodes.where("node > binary('0000')").select("node", F.lit(b"0000").alias("root"))
+    want = {(k, k + n // 2) for k in range(n // 2) if k != 3}
+    for tile_bytes in (near_dups.TILE_BYTES, 2_000):
+        monkeypatch.setattr(near_dups, "TILE_BYTES", tile_bytes)
+        links, count = near_dups.open_links(members, sampled, weights, 0.8)
+        found = [(int(bytes(r["root_a"])), int(bytes(r["root_b"]))) for r in links.collect()]
+        assert {tuple(sorted(f)) for f in found} == want and count == len(found) == len(want)
+    linked = sampled.where("node > binary('0000')").select("node", F.lit(b"0000").alias("root"))
     assert near_dups.open_members(buckets, near_dups.Roots(linked, n - 1)).isEmpty()
 
 
 def test_later_links_merge_known_components(spark):
     rows = [(b"b", b"a"), (b"d", b"c"), (b"e", b"c")]
     links = spark.createDataFrame([(b"c", b"a"), (b"x", b"y"), (b"x", b"c")], "root_a binary, root_b binary")
-    roots, changes = near_dups.Roots(spark.createDataFrame(rows, "node binary, root binary"), 3).after(links)
+    roots = near_dups.Roots(spark.createDataFrame(rows, "node binary, root binary"), 3).after(links)
     got = {bytes(r["node"]).decode(): bytes(r["root"]).decode() for r in roots.table.collect()}
     assert got == {"b": "a", "c": "a", "d": "a", "e": "a", "x": "a", "y": "a"} and roots.count == 6
-    assert {bytes(r["node"]).decode() for r in changes.table.collect()} == {"c", "x", "y"}
 
 
 def test_samples_agree_as_often_as_weights_overlap():

@@ -56,7 +56,8 @@ SAMPLES = BANDS * ROWS
 AGREEING = 26  # of 48 samples; a pair of similarity 0.8 has fewer with a chance of about 1 in 75,000
 LONG = 256  # samples of nodes whose pairs are all decided
 LONG_AGREEING = 176  # of 256; a pair of similarity 0.8 has fewer with a chance of about 1 in 100,000
-TILE = 256  # members of a bucket in a tile
+TILE = 256  # members of a bucket in a tile at most, and bytes of their texts
+TILE_BYTES = 8 << 20
 CHUNK = 2_000_000
 _PLACES = np.arange(1, WIDTH + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) | np.uint64(1)
 
@@ -321,11 +322,11 @@ class Roots:
     def of(links: DataFrame, rows: int | None = None) -> Roots:
         return Roots(*counted_components(links, rows=rows))
 
-    def after(self, links: DataFrame, rows: int | None = None) -> tuple[Roots, Roots]:
-        """The components after linking some of them (root_a, root_b), and the new root of each that has changed."""
+    def after(self, links: DataFrame, rows: int | None = None) -> Roots:
+        """The components after linking some of them (root_a, root_b)."""
         changes = Roots.of(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), rows)
         moved = changes.on(self.table, "root", "new").select("node", F.col("new").alias("root"))
-        return Roots(*stored(moved.union(changes.table.select("node", "root")))), changes
+        return Roots(*stored(moved.union(changes.table.select("node", "root"))))
 
     def on(self, rows: DataFrame, node: str, root: str) -> DataFrame:
         """``rows`` with the component of a column's nodes in the column ``root``."""
@@ -346,49 +347,57 @@ def agreeing(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def open_members(buckets: DataFrame, roots: Roots) -> DataFrame:
-    """(bucket, node, root) of the buckets whose members lie in different components, in stored ranges of that order.
+    """(bucket, node, root) of the buckets whose members lie in different components, stored.
 
     Buckets of two are left out: their only pair met as hub and member.
     """
     rows = roots.on(buckets.select("bucket", "node"), "node", "root")
     several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"))
     several = several.where((F.col("size") > 2) & (F.col("lo") != F.col("hi"))).select("bucket")
-    return store_sliced(rows.join(several, "bucket"), ["bucket", "root", "node"])
+    return cut_lineage(rows.join(several, "bucket"))
 
 
-def long_samples(held: DataFrame, members: DataFrame, weights: Weights) -> DataFrame:
-    """(node, samples): LONG samples of the members, drawn apart from those of the bands; stored."""
+def long_samples(held: DataFrame, nodes: DataFrame, members: DataFrame, weights: Weights) -> DataFrame:
+    """(node, bands, text, long) of the members, with LONG samples drawn apart from those of the bands; stored."""
     shared = held.sparkSession.sparkContext.broadcast(weights)
-    wanted = if_small(*stored(members.select(F.col("node").alias("_wanted")).distinct()))
+    names = if_small(*stored(members.select(F.col("node").alias("_member")).distinct()))
+    banded = nodes.join(names, F.col("node") == F.col("_member")).select(F.col("node").alias("_wanted"), "bands")
+    wanted = if_small(*stored(banded))
 
     def sign(batches):
         sampler = Sampler(11, LONG)
         for batch, start, bags in _bags(batches, CHUNK // 32):
             samples = sampler.samples([(keys, shared.value.of(keys, counts)) for keys, counts in bags]).astype(np.uint16)
-            node = batch.column(batch.schema.get_field_index("node")).slice(start, len(bags))
-            yield pa.RecordBatch.from_arrays([node, pa.array([row.tobytes() for row in samples], pa.binary())], names=["node", "samples"])
+            kept = [batch.column(batch.schema.get_field_index(c)).slice(start, len(bags)) for c in ("node", "bands", "text")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array([row.tobytes() for row in samples], pa.binary())], names=["node", "bands", "text", "long"])
 
-    texts = held.join(wanted, F.col("node") == F.col("_wanted")).select("node", "text")
-    return cut_lineage(texts.mapInArrow(sign, "node binary, samples binary"))
+    texts = held.join(wanted, F.col("node") == F.col("_wanted")).select("node", "bands", "text")
+    return cut_lineage(texts.mapInArrow(sign, "node binary, bands array<long>, text string, long binary"))
 
 
-def open_pairs(members: DataFrame, samples: DataFrame, tested: DataFrame) -> tuple[DataFrame, int]:
-    """All pairs (a < b) of members of a bucket in different components that agree in enough of LONG samples.
+def open_links(members: DataFrame, sampled: DataFrame, weights: Weights, similarity: float) -> tuple[DataFrame, int]:
+    """Links (root_a, root_b) between components, from all similar pairs of members of a bucket that lie in different ones.
 
-    With the number ``n`` of these and both components, but for those ``tested``; stored, and counted. The members of
-    a bucket stand in order of their components and are cut into tiles; all pairs of tiles are compared but
-    those within one component, so a bucket of any size is spread over tasks.
+    The members of a bucket stand in order of their components and are cut into tiles of bounded bytes; all pairs of tiles
+    meet but those within one component, so a bucket of any size is spread over tasks. In a unit of two tiles, pairs
+    that agree in enough of LONG samples are verified on whole texts, the likeliest first, but for those whose components
+    have been linked in the unit before. A pair that shares several buckets is decided in the least of them.
+    Stored, and counted.
     """
-    placed = running_sums(members.withColumn("one", F.lit(1)), {"place": "one"}, ["root", "node"], ["bucket"])
-    placed = placed.select("bucket", "node", "root", F.floor(F.col("place") / TILE).cast("int").alias("tile"))
-    samples = samples.select(F.col("node").alias("_node"), "samples")
-    placed = cut_lineage(placed.join(samples, F.col("node") == F.col("_node")).drop("_node"))
+    shared = members.sparkSession.sparkContext.broadcast(weights)
+    size = F.greatest(F.octet_length("text"), F.lit(TILE_BYTES // TILE)).cast("long").alias("size")
+    sizes = sampled.select(F.col("node").alias("_node"), size)
+    ranges = store_sliced(members.join(sizes, F.col("node") == F.col("_node")).drop("_node"), ["bucket", "root", "node"])
+    placed = running_sums(ranges, {"place": "size"}, ["root", "node"], ["bucket"])
+    placed = cut_lineage(placed.select("bucket", "node", "root", F.floor(F.col("place") / TILE_BYTES).cast("int").alias("tile")))
 
     tiles = placed.groupBy("bucket", "tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
     one, two = (tiles.select("bucket", F.col("tile").alias(c), F.col("lo").alias(f"lo_{c}"), F.col("hi").alias(f"hi_{c}")) for c in ("i", "j"))
     units = one.join(two, "bucket").where("i <= j AND NOT (lo_i = hi_i AND lo_j = hi_j AND lo_i = lo_j)")
     units = units.select("bucket", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("tile"))
-    dealt = placed.join(units, ["bucket", "tile"]).select("bucket", "i", "j", "tile", "node", "root", "samples")
+    sampled = sampled.withColumnRenamed("node", "_node")
+    dealt = placed.join(units, ["bucket", "tile"]).join(sampled, F.col("node") == F.col("_node"))
+    dealt = dealt.select("bucket", "i", "j", "tile", "root", "bands", "long", "text")
     dealt = dealt.repartition(F.col("bucket"), F.col("i"), F.col("j")).sortWithinPartitions("bucket", "i", "j", "tile")
 
     def compare(batches):
@@ -398,34 +407,53 @@ def open_pairs(members: DataFrame, samples: DataFrame, tested: DataFrame) -> tup
             table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
             keys = np.stack([table.column(c).to_numpy() for c in ("bucket", "i", "j")])
             cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            last = int(cuts[-1]) if len(cuts) else 0
-            if last:
-                yield compared(table.slice(0, last), [0, *cuts.tolist()])
-            rest = table.slice(last)  # a unit may go on in the next batch
+            starts = [0, *cuts.tolist()]
+            for start, stop in zip(starts, starts[1:]):
+                yield linked(table.slice(start, stop - start))
+            rest = table.slice(starts[-1])  # a unit may go on in the next batch
         if rest is not None and rest.num_rows:
-            yield compared(rest, [0, rest.num_rows])
+            yield linked(rest)
 
-    def compared(table, cuts):
-        node, root = (table.column(c).to_pylist() for c in ("node", "root"))
-        held = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint16).reshape(-1, LONG)
+    def linked(unit):
+        root, text = unit.column("root").to_pylist(), unit.column("text")
+        bucket, first = unit.column("bucket")[0].as_py(), unit.column("i")[0].as_py()
+        held = np.frombuffer(b"".join(unit.column("long").to_pylist()), np.uint16).reshape(-1, LONG)
+        bands = np.array(unit.column("bands").to_pylist(), dtype=np.int64)
         component = np.unique(np.array(root, dtype=object), return_inverse=True)[1]
-        first, tile = table.column("i").to_numpy(), table.column("tile").to_numpy()
-        out = []
-        for start, stop in zip(cuts, cuts[1:]):
-            middle = start + int((tile[start:stop] == first[start]).sum())
-            alike = middle == stop  # a tile with itself
-            other = start if alike else middle
-            n = agreeing(held[start:middle], held[other:stop])
-            near = (n >= LONG_AGREEING) & (component[start:middle][:, None] != component[other:stop][None, :])
-            for x, y in zip(*np.nonzero(np.triu(near) if alike else near)):
-                pair = sorted(((node[start + x], root[start + x]), (node[other + y], root[other + y])))
-                out.append((pair[0][0], pair[1][0], pair[0][1], pair[1][1], int(n[x, y])))
-        columns = list(zip(*out)) or [[]] * 5
-        types = [pa.binary()] * 4 + [pa.int32()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["a", "b", "root_a", "root_b", "n"])
-
-    found = dealt.mapInArrow(compare, "a binary, b binary, root_a binary, root_b binary, n int")
-    return stored(found.distinct().join(tested, ["a", "b"], "left_anti"))
+        middle = int((unit.column("tile").to_numpy() == first).sum())
+        alike = middle == len(root)  # a tile with itself
+        other = 0 if alike else middle
+        n = agreeing(held[:middle], held[other:])
+        near = (n >= LONG_AGREEING) & (component[:middle][:, None] != component[other:][None, :])
+        x, y = np.nonzero(np.triu(near) if alike else near)
+        common = np.where(bands[x] == bands[other + y], bands[x], np.iinfo(np.int64).max)
+        mine = common.min(axis=1, initial=np.iinfo(np.int64).max) == bucket
+        x, y = x[mine], y[mine]
+        order = np.argsort(-n[x, y].astype(np.int64), kind="stable")
+        bags: dict[int, tuple] = {}
+        parent = list(range(int(component.max()) + 1))
+        links = set()
+
+        def weighed(k: int) -> tuple:
+            if k not in bags:
+                keys, counts = bag(text[k].as_py())
+                bags[k] = (keys, shared.value.of(keys, counts))
+            return bags[k]
+
+        def find(c: int) -> int:
+            while parent[c] != c:
+                parent[c] = c = parent[parent[c]]
+            return c
+
+        for p, q in zip(x[order].tolist(), (other + y[order]).tolist()):
+            low, high = find(component[p]), find(component[q])
+            if low != high and weighted_jaccard(weighed(p), weighed(q)) >= similarity - 1e-9:
+                parent[high] = low
+                links.add((root[p], root[q]))
+        columns = list(zip(*sorted(links))) or [[], []]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], names=["root_a", "root_b"])
+
+    return stored(dealt.mapInArrow(compare, "root_a binary, root_b binary").distinct())
 
 
 def weighted_jaccard(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> float:
@@ -437,10 +465,10 @@ def weighted_jaccard(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarra
 
 
 def verified(pairs: DataFrame, held: DataFrame, weights: Weights, similarity: float) -> tuple[DataFrame, int]:
-    """The stored pairs (with all their columns) that agree in enough samples and whose whole texts are similar
-    enough, stored and counted. ``held`` has samples and text of every node; only those in pairs are moved.
+    """Stored pairs that agree in enough samples and whose whole texts are similar enough, stored and counted.
+
+    ``held`` has samples and text of every node; only those in pairs are moved.
     """
-    kept = pairs.columns
     asked = if_small(*stored(pairs.select(F.explode(F.array("a", "b")).alias("_asked")).distinct()))
     held = cut_lineage(held.join(asked, F.col("node") == F.col("_asked")).drop("_asked"))
     left, right = (
@@ -465,9 +493,9 @@ def verified(pairs: DataFrame, held: DataFrame, weights: Weights, similarity: fl
                     int(agreeing.sum()) >= AGREEING
                     and weighted_jaccard(weighed("a", one["text"].as_py()), weighed("b", two["text"].as_py())) >= similarity - 1e-9
                 )
-            yield batch.select(kept).filter(pa.array(keep, pa.bool_()))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    met = pairs.join(left, "a").join(right, "b").select(*kept, "of_a", "of_b")
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
     return stored(met.mapInArrow(check, pairs.schema))
 
 
@@ -489,18 +517,8 @@ def classes(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     held = node_texts(docs, nodes, buckets)
     roots = Roots.of(*verified(near, held, weights, similarity))
     members = open_members(buckets, roots)
-    rest, left = open_pairs(members, long_samples(held, members, weights), if_small(near, n))
-    if left:
-        # the likeliest pair of two components first: where it links them, their other pairs need no verifying
-        best = rest.groupBy("root_a", "root_b").agg(F.max_by(F.struct("a", "b"), F.struct("n", "a", "b")).alias("best"))
-        best, n = stored(best.select("best.a", "best.b", "root_a", "root_b"))
-        roots, changes = roots.after(*verified(best, held, weights, similarity))
-        rest = rest.select("a", "b", "root_a", "root_b").join(if_small(best.select("a", "b"), n), ["a", "b"], "left_anti")
-        rest = changes.on(changes.on(rest, "root_a", "root_a"), "root_b", "root_b")
-        rest, left = stored(rest.where(F.col("root_a") != F.col("root_b")))
-    if left:
-        roots, _ = roots.after(*verified(rest, held, weights, similarity))
-    return _members(signed, roots)
+    links, n = open_links(members, long_samples(held, nodes, members, weights), weights, similarity)
+    return _members(signed, roots.after(links, n) if n else roots)
 
 
 def node_texts(docs: DataFrame, nodes: DataFrame, buckets: DataFrame) -> DataFrame:
