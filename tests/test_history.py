@@ -127,3 +127,17 @@ def test_history_shares_one_shuffle(spark, data):
     plan = h.add_history(rows, features, V)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1
     assert "Python" not in plan
+
+
+def test_partitions_follow_the_rows_and_are_not_merged(spark, monkeypatch):
+    """With more rows than the cores' shares, a task gets a bounded number of them, and the features stay the same."""
+    rows = spark.range(4000).selectExpr(
+        "id AS row_id", "id * 7 % 500 AS Patient_ID", "id % 9 AS Health_Camp_ID",
+        "timestamp_ntz'2005-01-01' + make_dt_interval(int(id % 31)) AS Registration_Date",
+    )
+    features = [h.time_since_last(V), h.visits_so_far(V), h.visits_within(V, V.group, "in_camp"), h.visits_same_time(V)]
+    whole = h.add_history(rows, features, V)
+    monkeypatch.setattr(h, "ROWS_PER_TASK", 100)
+    spread = h.add_history(rows, features, V)
+    assert spread.rdd.getNumPartitions() == 40
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, whole.collect()))
