@@ -132,6 +132,25 @@ def test_date_layouts(spark):
     assert got == [dt.datetime(2005, 9, 10), dt.datetime(2005, 9, 10), dt.datetime(2005, 9, 10, 12, 30), None, None]
 
 
+def test_the_plan_of_a_scoring_pass_grows_with_its_rounds(spark):
+    """A tree is weighted twice in the plan at most (before: once for each later round, 21 times in all), and the sums are those of the trees."""
+    from pyspark.ml.feature import VectorAssembler
+
+    rows = [(i, float(i % 2), float(i % 7), float(i * 31 % 11)) for i in range(200)]
+    df = spark.createDataFrame(rows, "_id bigint, target double, a double, b double")
+    vectors = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(df)
+    model = training.classifier(CONFIGS["model1"], 8, depth=2).fit(vectors)
+    outputs = [{r[0]: r[1] for r in t.transform(vectors).select("_id", "prediction").collect()} for t in model.trees]
+    scored = training._add_outputs(model, vectors, range(2, 8))
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count(" * _tree") <= 12
+    for row in scored.collect():
+        total = None
+        for i in range(2, 8):
+            output = model.treeWeights[i] * outputs[i][row["_id"]]
+            total = output if total is None else total + output
+            assert row[f"_sum{i}"] == total
+
+
 def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([(1, 0.5), (2, None)], "k bigint, x double")
     files.write_table(df, str(tmp_path / "t"), "csv")
