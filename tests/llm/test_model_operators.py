@@ -5,6 +5,7 @@ import hashlib
 import html
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -490,6 +491,35 @@ def test_one_odd_text_opens_no_language():
     assert not language.bounds(cosines[:4], grams[:4], 0.005, 1.0).any()  # too few to tell
 
 
+def _peak_mb(made):
+    tracemalloc.start()
+    made()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak
+
+
+def test_learning_a_language_takes_little_more_than_its_rows():
+    rng = np.random.default_rng(2)
+    rows = rng.random((600, language.DIMENSION), dtype=np.float32)
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    centers = language.cluster(rows, 1)
+    want = rows.mean(axis=0)
+    assert np.array_equal(centers[0], want / float(np.linalg.norm(want)))
+    others = rows.sum(axis=0) - rows
+    want = (others * rows).sum(axis=1) / np.linalg.norm(others, axis=1)
+    assert np.array_equal(language.cosines_without_self(rows, centers), want)
+    assert _peak_mb(lambda: language.cluster(rows, 1)) < 2  # rows are 20 MB
+    assert _peak_mb(lambda: language.cosines_without_self(rows, centers)) < 8
+    texts = [" ".join(f"w{chr(97 + k % 26)}{chr(97 + j % 26)}" for j in range(k % 7 + 1)) for k in range(512)]
+    model = language.LanguageModel(np.ones(language.DIMENSION, np.float32), ["a"], centers, np.zeros((1, language.LENGTHS)))
+    assert _peak_mb(lambda: model.predict(texts)) < 20  # counts of 256 texts alone are 17 MB
+    held, places, grams = language.weighed_texts([None, *texts, "12"], model.idf)
+    counts = np.stack([language.gram_counts(t) for t in texts])
+    assert np.array_equal(held, language.weigh(counts, model.idf))
+    assert places == list(range(1, 513)) and np.array_equal(grams, counts.sum(axis=1))
+
+
 def test_texts_without_letters_and_foreign_ones(docs, empty, rows):
     out = language.digest(docs).collect()
     assert len(out) == len(rows)

@@ -22,6 +22,7 @@ are treated alike. Texts of any length are read whole. Other columns are ignored
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,6 +36,7 @@ from pyspark.sql import types as T
 from visitlens.llm.common import if_small, on_workers, packed, remainder
 
 DIMENSION = 1 << 13
+BLOCK = 256  # texts that are compared with the centroids at once
 SAMPLE_PER_LANGUAGE = 1_000
 FULL_GRAMS = 600
 LIKE = 50
@@ -90,6 +92,29 @@ def weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.linalg.norm(rows, axis=-1, keepdims=True), 1e-9)
 
 
+def weighed_texts(texts: Sequence[str | None], idf: np.ndarray) -> tuple[np.ndarray, list[int], np.ndarray]:
+    """Weighed rows of the texts with letters, the places of these texts, and their numbers of grams.
+
+    Counts are weighed text by text, so that a text takes no more memory than its row.
+    """
+    rows, places, grams = np.empty((len(texts), DIMENSION), np.float32), [], []
+    for i, text in enumerate(texts):
+        counts = gram_counts(text)
+        if counts is not None:
+            rows[len(places)] = weigh(counts, idf)
+            places.append(i)
+            grams.append(float(counts.sum()))
+    return rows[: len(places)], places, np.array(grams)
+
+
+def sum_of(rows: np.ndarray, members: np.ndarray) -> np.ndarray:
+    """Sum of some rows in their order, without a copy of them."""
+    total = np.zeros(rows.shape[1], rows.dtype)
+    for i in members:
+        total += rows[i]
+    return total
+
+
 def length_class(grams: np.ndarray | float) -> np.ndarray | int:
     classes = np.minimum(np.log2(np.maximum(grams, 1)), LENGTHS - 1).astype(np.int64)
     return classes if np.ndim(grams) else int(classes)
@@ -101,10 +126,13 @@ def cosines_without_self(rows: np.ndarray, centers: np.ndarray) -> np.ndarray:
     nearest = cosines.argmax(axis=1)
     for k in range(len(centers)):
         members = np.flatnonzero(nearest == k)
-        others = rows[members].sum(axis=0) - rows[members]
-        norms = np.linalg.norm(others, axis=1)
-        own = (others * rows[members]).sum(axis=1) / np.maximum(norms, 1e-9)
-        cosines[members, k] = np.where(norms > 1e-6, own, 0.0)
+        total = sum_of(rows, members)
+        for start in range(0, len(members), BLOCK // 8):
+            some = members[start : start + BLOCK // 8]
+            others = total - rows[some]
+            norms = np.linalg.norm(others, axis=1)
+            own = (others * rows[some]).sum(axis=1) / np.maximum(norms, 1e-9)
+            cosines[some, k] = np.where(norms > 1e-6, own, 0.0)
     return cosines.max(axis=1)
 
 
@@ -132,19 +160,18 @@ class LanguageModel:
         names, scores, rejected = [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
         if not self.languages:
             return names, scores, rejected
-        for start in range(0, len(texts), 256):
-            counted = [(i, gram_counts(texts[i])) for i in range(start, min(start + 256, len(texts)))]
-            counted = [(i, c) for i, c in counted if c is not None]
-            if not counted:
+        for start in range(0, len(texts), BLOCK):
+            rows, places, grams = weighed_texts(texts[start : start + BLOCK], self.idf)
+            if not places:
                 continue
-            cosines = weigh(np.stack([c for _, c in counted]), self.idf) @ self.centroids.T
+            cosines = rows @ self.centroids.T
             best = cosines.argmax(axis=1)
-            for (i, counts), b, row in zip(counted, best, cosines):
+            for place, n, b, row in zip(places, grams.tolist(), best, cosines):
+                i = start + place
                 names[i] = self.languages[b]
                 scores[i] = float(min(max(row[b], 0.0), 1.0))
-                grams = float(counts.sum())
-                least = LEAST * min(1.0, (grams / FULL_GRAMS) ** 0.5)
-                rejected[i] = bool(row[b] < max(least, self.reach[b, length_class(grams)]))
+                least = LEAST * min(1.0, (n / FULL_GRAMS) ** 0.5)
+                rejected[i] = bool(row[b] < max(least, self.reach[b, length_class(n)]))
         return names, scores, rejected
 
 
@@ -188,9 +215,9 @@ def cluster(rows: np.ndarray, clusters: int, rounds: int = 8) -> np.ndarray:
     for _ in range(rounds):
         nearest = (rows @ centers.T).argmax(axis=1)
         for k in range(len(centers)):
-            members = rows[nearest == k]
+            members = np.flatnonzero(nearest == k)
             if len(members):
-                mean = members.mean(axis=0)
+                mean = sum_of(rows, members) / len(members)
                 centers[k] = mean / max(float(np.linalg.norm(mean)), 1e-9)
     return centers
 
@@ -209,13 +236,11 @@ def fit(
     idf = (np.log((n + 1.0) / (seen + 1.0)) + 1.0).astype(np.float32)
 
     def centroids(pdf: pd.DataFrame) -> pd.DataFrame:
-        counted = [c for c in map(gram_counts, sorted(pdf["text"])) if c is not None]
-        if not counted:
+        rows, places, grams = weighed_texts(sorted(pdf["text"]), idf)
+        if not places:
             return pd.DataFrame({"lang": [], "centroid": [], "reach": []})
-        counts = np.stack(counted)
-        rows = weigh(counts, idf)
         centers = cluster(rows, clusters)
-        reach = bounds(cosines_without_self(rows, centers), counts.sum(axis=1), quantile, slack).tobytes()
+        reach = bounds(cosines_without_self(rows, centers), grams, quantile, slack).tobytes()
         return pd.DataFrame({"lang": pdf["lang"].iloc[0], "centroid": [c.astype(np.float32).tobytes() for c in centers], "reach": [reach] * len(centers)})
 
     sample = bounded_sample(training, per_language)
@@ -236,7 +261,9 @@ def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:
 
     def add(batches):
         for batch in batches:
-            names, scores, rejected = shared.value.predict(pc.struct_field(batch.column(0), "text").to_pylist())
+            texts = pc.struct_field(batch.column(0), "text")
+            blocks = [shared.value.predict(texts.slice(start, BLOCK).to_pylist()) for start in range(0, len(texts), BLOCK)]
+            names, scores, rejected = ([x for block in blocks for x in block[c]] for c in range(3))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 names=["doc", "lang_pred", "score", "rejected"],
