@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import string
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from visitlens.session import cut_lineage
+from visitlens.session import on_workers as on_workers
 
 #: Separators of words and characters stripped from lines: space and U+0009 to U+000D.
 SPACES = " \t\n\x0b\x0c\r"
@@ -23,19 +23,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def on_workers(docs: DataFrame) -> DataFrame:
-    """``docs``, with this package importable by Python workers of a local session.
-
-    A cluster gets the package from --py-files or its installation, as any library.
-    """
-    context = docs.sparkSession.sparkContext
-    if context.master.startswith("local["):
-        folder = Path(__file__).resolve().parents[1]
-        if not any(f.endswith(f"/{folder.name}") for f in context.listFiles):
-            context.addFile(str(folder), recursive=True)
-    return docs
-
-
 def packed(df: DataFrame, *columns: str | Column) -> DataFrame:
     """The given columns, and all columns as a struct ``doc``, so that no other name can clash."""
     return df.select(*columns, F.struct("*").alias("doc"))
