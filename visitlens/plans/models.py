@@ -25,7 +25,7 @@ def run_models(
     depth: int = MAX_DEPTH,
     last_rows: int = HELD_OUT_ROWS,
     groups: Sequence[int] = HELD_OUT_CAMPS,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> list[training.Trained]:
     """Train every configuration on ``folder``/train and /test; write predictions, metrics and their mean.
 
